@@ -123,8 +123,8 @@ def _compared(posts: str, comments: str) -> str:
   SELECT 'comment', i.id, i.text, {side} FROM {comments} i JOIN rc v USING (id) JOIN mc m USING (id))"""
 
 
-COMPARED_COLUMNS = ("content_type, id, text, vader_sentiment, round(vader_compound, 4) AS vader_compound, "
-                    "transformer_sentiment, round(transformer_compound, 4) AS transformer_compound, agreement")
+COMPARED_COLUMNS = ("content_type, id, text, vader_sentiment, round(vader_compound, 6) AS vader_compound, "
+                    "transformer_sentiment, round(transformer_compound, 6) AS transformer_compound, agreement")
 
 
 def _flow(posts: str, comments: str, text: str = "text") -> str:
@@ -253,40 +253,40 @@ def statements() -> dict[str, str]:
         "SELECT id, pos - 1 AS pos, w AS token, lag(w, 1) OVER x AS prev1, lag(w, 2) OVER x AS prev2, "
         "lag(w, 3) OVER x AS prev3 FROM r_l WINDOW x AS (PARTITION BY id ORDER BY pos)")
     out["negation_flip"] = s.with_(s.LEX, TONED, s.rule_words("r", "docs", "text")) + (
-        f"SELECT id, count(*) AS hits, count(*) FILTER (f < 0) AS flipped, round(sum(f), 4) AS factors FROM ("
+        f"SELECT id, count(*) AS hits, count(*) FILTER (f < 0) AS flipped, round(sum(f), 6) AS factors FROM ("
         f"SELECT id, {neg} AS f FROM r_ctx WHERE v IS NOT NULL) GROUP BY id")
     out["but_reweight"] = s.with_(s.LEX, TONED, s.rule_words("r", "docs", "text")) + (
-        "SELECT id, round(sum(coalesce(v, 0)), 4) AS plain, round(sum(coalesce(v, 0) * CASE WHEN but IS NULL OR pos = but "
-        f"THEN 1.0::DOUBLE WHEN pos < but THEN {lx.BEFORE_BUT}::DOUBLE ELSE {lx.AFTER_BUT}::DOUBLE END), 4) AS weighed "
+        "SELECT id, round(sum(coalesce(v, 0)), 6) AS plain, round(sum(coalesce(v, 0) * CASE WHEN but IS NULL OR pos = but "
+        f"THEN 1.0::DOUBLE WHEN pos < but THEN {lx.BEFORE_BUT}::DOUBLE ELSE {lx.AFTER_BUT}::DOUBLE END), 6) AS weighed "
         "FROM r_ctx GROUP BY id")
     out["emphasis_features"] = s.with_(s.LEX, TONED, s.rule_words("r", "docs", "text")) + (
-        f"""SELECT d.id, round(least(length(text) - length(replace(text, '!', '')), 4) * {lx.EXCLAMATION}::DOUBLE, 4)
+        f"""SELECT d.id, round(least(length(text) - length(replace(text, '!', '')), 4) * {lx.EXCLAMATION}::DOUBLE, 6)
         AS exclamation, round(CASE WHEN qn <= 1 THEN 0.0::DOUBLE WHEN qn <= 3 THEN qn * {lx.QUESTION}::DOUBLE
-        ELSE {lx.QUESTION_MAX}::DOUBLE END, 4) AS question, u.capitals, u.mixed
+        ELSE {lx.QUESTION_MAX}::DOUBLE END, 6) AS question, u.capitals, u.mixed
         FROM (SELECT id, text, length(text) - length(replace(text, '?', '')) AS qn FROM docs) d
         JOIN (SELECT id, count(*) FILTER (up) AS capitals, bool_or(caps) AS mixed FROM r_ctx GROUP BY id) u USING (id)""")
-    c = "round(value / 100 - 0.15::DOUBLE, 3)"
+    c = "round(value / 100 - 0.15::DOUBLE, 6)"
     out["classify_compound"] = (
         f"SELECT event_id, compound, CASE WHEN compound >= {lx.THRESHOLD} THEN 'positive' WHEN compound <= "
         f"-{lx.THRESHOLD} THEN 'negative' ELSE 'neutral' END AS sentiment FROM (SELECT event_id, {c} AS compound FROM events)")
     rules = s.with_(s.LEX, P, _posts_rules("posts"))
     out["score_posts_rules"] = rules + (
-        f"SELECT ro.id, round(rt.compound, 4) AS title_compound, round(rx.compound, 4) AS text_compound, "
+        f"SELECT ro.id, round(rt.compound, 6) AS title_compound, round(rx.compound, 6) AS text_compound, "
         f"{s.rounded('ro.')}, ro.sentiment FROM ro JOIN rt USING (id) JOIN rx USING (id)")
     out["overall_sentiment"] = rules + _score_select("ro")
     out["score_comments_rules"] = s.with_(s.LEX, C, s.rule_scores("rc", "comments", "text")) + _score_select("rc")
     out["score_raw_vs_normalized"] = s.with_(
         s.LEX, TONED, f"norm AS (SELECT id, {s.normalized('text')} AS text FROM docs)",
         s.rule_scores("a", "docs", "text"), s.rule_scores("b", "norm", "text")) + (
-        "SELECT id, round(a.compound, 4) AS raw_compound, round(b.compound, 4) AS normalized_compound "
+        "SELECT id, round(a.compound, 6) AS raw_compound, round(b.compound, 6) AS normalized_compound "
         "FROM a JOIN b USING (id)")
     out["analysis_metadata"] = (
         f"WITH {P} SELECT id, 'vader' AS method, CAST(NULL AS VARCHAR) AS model, '2024-02-01T00:00:00.000000Z' "
         "AS analyzed_at, true AS used_normalized_text FROM posts")
     out["score_json"] = s.with_(s.LEX, C, s.rule_scores("rc", "comments", "text")) + (
-        "SELECT id, sentiment AS label, round(compound, 4) AS compound FROM rc")
+        "SELECT id, sentiment AS label, round(compound, 6) AS compound FROM rc")
 
-    part = lambda a, b: f"round(list_sum(list_transform(embedding[{a}:{b}], lambda x: CAST(x AS DOUBLE))), 4)"
+    part = lambda a, b: f"round(list_sum(list_transform(embedding[{a}:{b}], lambda x: CAST(x AS DOUBLE))), 6)"
     out["softmax_scores"] = s.with_(
         f"src AS (SELECT vec_id AS id, [{part(1, 21)}, {part(22, 42)}, {part(43, 64)}] AS lg0 FROM embeddings)",
         s.model_scores("m", "src", "lg0")) + f"SELECT id AS vec_id, {s.rounded()}, sentiment FROM m"
@@ -297,7 +297,7 @@ def statements() -> dict[str, str]:
         s.model_scores("m", "src", s.letters("text"))) + _score_select("m")
     modelled = s.with_(P, _posts_model("posts"))
     out["score_posts_model"] = modelled + (
-        f"SELECT mo.id, round(mt.compound, 4) AS title_compound, round(mx.compound, 4) AS text_compound, "
+        f"SELECT mo.id, round(mt.compound, 6) AS title_compound, round(mx.compound, 6) AS text_compound, "
         f"{s.rounded('mo.')}, mo.sentiment FROM mo JOIN mt USING (id) JOIN mx USING (id)")
     out["overall_sentiment_model"] = modelled + _score_select("mo")
     out["score_comments_model"] = s.with_(C, s.model_scores("mc", "comments", s.letters("text"))) + _score_select("mc")
@@ -365,8 +365,8 @@ def statements() -> dict[str, str]:
           SELECT id, title, text, {s.cleaned('title')} AS tc, {s.cleaned('text')} AS xc FROM raw))""",
         _posts_rules("cp", "tn", "xn"), _posts_model("cp", "tn", "xn")) + (
         "SELECT cp.id, title, text, tc AS title_cleaned, xc AS text_cleaned, tn AS title_normalized, xn AS text_normalized, "
-        "true AS cleaned, round(ro.compound, 4) AS vader_compound, ro.sentiment AS vader_label, "
-        "round(mo.compound, 4) AS transformer_compound, mo.sentiment AS transformer_label "
+        "true AS cleaned, round(ro.compound, 6) AS vader_compound, ro.sentiment AS vader_label, "
+        "round(mo.compound, 6) AS transformer_compound, mo.sentiment AS transformer_label "
         "FROM cp JOIN ro USING (id) JOIN mo USING (id)")
     out["shard_key"] = (
         f"WITH {C} SELECT id, CASE WHEN length(id) >= 4 THEN substr(id, 1, 2) ELSE 'root' END AS s1, "

@@ -45,7 +45,7 @@ def query(fn: Query) -> Query:
 
 
 def rounded(struct: str) -> list:
-    return [F.round(F.col(struct)[c], 4).alias(c) for c in SCORE_COLUMNS] + [
+    return [F.round(F.col(struct)[c], 6).alias(c) for c in SCORE_COLUMNS] + [
         F.col(struct)["sentiment"].alias("sentiment")]
 
 
@@ -341,7 +341,7 @@ def negation_flip(spark, d):
     hits = c.select("id", "w", F.posexplode("w").alias("pos", "token")).filter(lookup(F.col("token")).isNotNull())
     return (hits.select("id", factor.alias("factor")).groupBy("id")
             .agg(F.count(F.lit(1)).alias("hits"), F.count_if(F.col("factor") < 0).alias("flipped"),
-                 F.round(F.sum("factor"), 4).alias("factors")))
+                 F.round(F.sum("factor"), 6).alias("factors")))
 
 
 @query
@@ -351,15 +351,15 @@ def but_reweight(spark, d):
     known = F.transform("w", lambda x, i: F.struct(i.alias("pos"), lookup(F.lower(x)).alias("valence")))
     hits = F.filter(known, lambda hit: hit["valence"].isNotNull())
     add = lambda values: F.aggregate(values, F.lit(0.0), lambda acc, hit: acc + hit["valence"])
-    return t.select("id", F.round(add(hits), 4).alias("plain"),
-                    F.round(add(lx.contrast(hits, F.col("w"))), 4).alias("weighed"))
+    return t.select("id", F.round(add(hits), 6).alias("plain"),
+                    F.round(add(lx.contrast(hits, F.col("w"))), 6).alias("weighed"))
 
 
 @query
 def emphasis_features(spark, d):
     t = toned(spark, d).withColumn("w", lx.rule_tokens(F.col("text")))
-    return t.select("id", F.round(lx.exclamation_emphasis(F.col("text")), 4).alias("exclamation"),
-                    F.round(lx.question_emphasis(F.col("text")), 4).alias("question"),
+    return t.select("id", F.round(lx.exclamation_emphasis(F.col("text")), 6).alias("exclamation"),
+                    F.round(lx.question_emphasis(F.col("text")), 6).alias("question"),
                     F.size(F.filter("w", lx.is_upper)).cast("long").alias("capitals"),
                     lx.mixed_case(F.col("w")).alias("mixed"))
 
@@ -367,7 +367,7 @@ def emphasis_features(spark, d):
 @query
 def classify_compound(spark, d):
     e = v.table(spark, d, "events")
-    compound = F.round(F.col("value") / 100 - 0.15, 3)
+    compound = F.round(F.col("value") / 100 - 0.15, 6)
     return e.select("event_id", compound.alias("compound"), lx.classify(compound).alias("sentiment"))
 
 
@@ -378,8 +378,8 @@ def _scored_posts(spark, d):
 @query
 def score_posts_rules(spark, d):
     s = _scored_posts(spark, d)
-    return s.select("id", F.round("title_sentiment.compound", 4).alias("title_compound"),
-                    F.round("text_sentiment.compound", 4).alias("text_compound"),
+    return s.select("id", F.round("title_sentiment.compound", 6).alias("title_compound"),
+                    F.round("text_sentiment.compound", 6).alias("text_compound"),
                     *rounded("overall_sentiment"))
 
 
@@ -399,8 +399,8 @@ def score_raw_vs_normalized(spark, d):
     n = on.normalize_batch(toned(spark, d), "comment")
     both = orl.score_rules(n, {"raw": orl.source_column(n, "text", False),
                                "norm": orl.source_column(n, "text", True)}, v.LEXICON)
-    return both.select("id", F.round("raw.compound", 4).alias("raw_compound"),
-                       F.round("norm.compound", 4).alias("normalized_compound"))
+    return both.select("id", F.round("raw.compound", 6).alias("raw_compound"),
+                       F.round("norm.compound", 6).alias("normalized_compound"))
 
 
 @query
@@ -417,7 +417,7 @@ def score_json(spark, d):
     s = orl.score_rules_batch(v.comments(spark, d), "comment", lexicon=v.LEXICON, run_ts=v.RUN_TS)
     back = F.from_json(F.to_json("sentiment"), s.schema["sentiment"].dataType)
     return (s.select("id", back.alias("back"), F.get_json_object(F.to_json("sentiment"), "$.sentiment").alias("label"))
-            .select("id", "label", F.round("back.compound", 4).alias("compound")))
+            .select("id", "label", F.round("back.compound", 6).alias("compound")))
 
 
 # --- model scores -----------------------------------------------------------
@@ -425,7 +425,7 @@ def score_json(spark, d):
 def _logits(spark, d):
     e = v.table(spark, d, "embeddings")
     part = lambda start, size: F.round(F.aggregate(
-        F.slice("embedding", start, size), F.lit(0.0), lambda acc, x: acc + x.cast("double")), 4)
+        F.slice("embedding", start, size), F.lit(0.0), lambda acc, x: acc + x.cast("double")), 6)
     return e.select(F.col("vec_id"), F.array(part(1, 21), part(22, 21), part(43, 22)).alias("logits"))
 
 
@@ -456,8 +456,8 @@ def _modelled_posts(spark, d):
 @query
 def score_posts_model(spark, d):
     s = _modelled_posts(spark, d)
-    return s.select("id", F.round("title_sentiment.compound", 4).alias("title_compound"),
-                    F.round("text_sentiment.compound", 4).alias("text_compound"),
+    return s.select("id", F.round("title_sentiment.compound", 6).alias("title_compound"),
+                    F.round("text_sentiment.compound", 6).alias("text_compound"),
                     *rounded("overall_sentiment"))
 
 
@@ -487,8 +487,8 @@ def _comparison(spark, d):
 @query
 def compare_models(spark, d):
     return _comparison(spark, d).withColumns({
-        "vader_compound": F.round("vader_compound", 4),
-        "transformer_compound": F.round("transformer_compound", 4)})
+        "vader_compound": F.round("vader_compound", 6),
+        "transformer_compound": F.round("transformer_compound", 6)})
 
 
 @query
@@ -535,8 +535,8 @@ REGISTRY["run_metadata"] = REGISTRY.pop("run_metadata_counts")
 def analyze_topic_comparison(spark, d):
     """The flagship: search with a budget, first comments, both scores, comparison."""
     return topic(spark, d).comparison().withColumns({
-        "vader_compound": F.round("vader_compound", 4),
-        "transformer_compound": F.round("transformer_compound", 4)})
+        "vader_compound": F.round("vader_compound", 6),
+        "transformer_compound": F.round("transformer_compound", 6)})
 
 
 def topic(spark, d):
@@ -662,9 +662,9 @@ def storage_rows(spark, d):
     p = v.posts(spark, d).withColumn("text", noisy("text"))
     s = tables.to_storage(score_items(p, "submission", v.letter_scorer, **opts), "submission")
     return s.select("id", "title", "text", "title_cleaned", "text_cleaned", "title_normalized", "text_normalized",
-                    "cleaned", F.round("vader_compound", 4).alias("vader_compound"),
+                    "cleaned", F.round("vader_compound", 6).alias("vader_compound"),
                     F.col("vader_sentiment.sentiment").alias("vader_label"),
-                    F.round("transformer_compound", 4).alias("transformer_compound"),
+                    F.round("transformer_compound", 6).alias("transformer_compound"),
                     F.col("transformer_sentiment.sentiment").alias("transformer_label"))
 
 

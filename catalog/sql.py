@@ -259,4 +259,4 @@ def overall(name: str, title: str, text: str, by_threshold: bool) -> str:
 
 
 def rounded(prefix: str = "", columns=("neg", "neu", "pos", "compound")) -> str:
-    return ", ".join(f"round({prefix}{c}, 4) AS {c}" for c in columns)
+    return ", ".join(f"round({prefix}{c}, 6) AS {c}" for c in columns)

@@ -53,7 +53,7 @@ def disagreements(comparison: DataFrame, examples: int | None = None) -> DataFra
     differing = comparison.filter(~F.col("agreement"))
     if examples is None:
         return differing
-    two_digits = lambda name: F.format_number(name, "0.00").alias(name)
+    two_digits = lambda name: F.format_string("%.2f", F.col(name)).alias(name)
     return (differing.orderBy("content_type", "id").limit(examples)
             .select("content_type", "id", F.substring("text", 1, 100).alias("text"),
                     "vader_sentiment", two_digits("vader_compound"),
