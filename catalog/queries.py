@@ -54,7 +54,7 @@ def noisy(column: str):
 
 
 def toned(spark, d, name="documents", key="doc_id"):
-    df = v.table(spark, d, name)
+    df = v.texts(spark, d, name)
     return df.select(F.col(key).cast("string").alias("id"), F.concat("text", F.lit(v.TONE)).alias("text"))
 
 
@@ -62,7 +62,7 @@ def toned(spark, d, name="documents", key="doc_id"):
 
 @query
 def keyword_match(spark, d):
-    p = v.posts(spark, d)
+    p = v.posts(spark, d, v.texts)
     return p.select("id", keywords.matches(KEYWORDS, F.col("title"), F.col("text")).alias("matched"))
 
 
@@ -103,14 +103,14 @@ for _mode in se.SORT_MODES:
 
 @query
 def keyword_search_all(spark, d):
-    found = se.keyword_search(v.posts(spark, d), KEYWORDS, search_all=True, time_filter="week",
+    found = se.keyword_search(v.posts(spark, d, v.texts), KEYWORDS, search_all=True, time_filter="week",
                               sort="top", limit=50, as_of=v.POSTS_AS_OF)
     return found.select("id", "title", "score", "subreddit", "created_utc")
 
 
 @query
 def keyword_search_quota(spark, d):
-    found = se.keyword_search(v.posts(spark, d), KEYWORDS, GROUPS, time_filter="week", sort="top",
+    found = se.keyword_search(v.posts(spark, d, v.texts), KEYWORDS, GROUPS, time_filter="week", sort="top",
                               limit=BUDGET, weights=WEIGHTS, limits=LIMITS, as_of=v.POSTS_AS_OF)
     return found.select("id", "subreddit", "score", F.col("rank").cast("long").alias("rank"),
                         F.col("phase").cast("long").alias("phase"))
@@ -215,13 +215,13 @@ def project_comments(spark, d):
 
 @query
 def strip_html(spark, d):
-    pages = v.table(spark, d, "pages")
+    pages = v.texts(spark, d, "pages")
     return pages.select("page_id", cl.strip_html(F.col("html")).alias("text"))
 
 
 def _text_step(name, fn):
     def run(spark, d):
-        docs = v.table(spark, d, "documents")
+        docs = v.texts(spark, d, "documents")
         return docs.select("doc_id", fn(noisy("text")).alias("text"))
     run.__name__ = name
     return query(run)
@@ -238,25 +238,25 @@ _text_step("collapse_whitespace", cl.collapse_whitespace)
 
 @query
 def clean_text_full(spark, d):
-    docs = v.table(spark, d, "documents").select("doc_id", noisy("text").alias("text"))
+    docs = v.texts(spark, d, "documents").select("doc_id", noisy("text").alias("text"))
     return oc.clean(docs, ["text"])
 
 
 @query
 def clean_posts(spark, d):
-    p = v.posts(spark, d).select("id", "title", noisy("text").alias("text"))
+    p = v.posts(spark, d, v.texts).select("id", "title", noisy("text").alias("text"))
     return oc.clean_batch(p, "submission")
 
 
 @query
 def clean_comments(spark, d):
-    c = v.comments(spark, d).select("id", noisy("text").alias("text"))
+    c = v.comments(spark, d, v.texts).select("id", noisy("text").alias("text"))
     return oc.clean_batch(c, "comment")
 
 
 @query
 def empty_text_guard(spark, d):
-    docs = v.table(spark, d, "documents")
+    docs = v.texts(spark, d, "documents")
     text = F.when(F.col("lang") == "en", F.col("text")).when(F.col("lang") == "de", F.lit(""))
     df = oc.clean(docs.select(F.col("doc_id").cast("string").alias("id"), text.alias("text")), ["text"])
     scored = orl.score_rules(df, {"score": "text"}, v.LEXICON)
@@ -266,7 +266,7 @@ def empty_text_guard(spark, d):
 # --- normalisation ----------------------------------------------------------
 
 def _with_contractions(spark, d):
-    docs = v.table(spark, d, "documents")
+    docs = v.texts(spark, d, "documents")
     return docs.select("doc_id", F.concat("text", F.lit(v.CONTRACTIONS)).alias("text"))
 
 
@@ -304,13 +304,13 @@ def normalize_nolemma(spark, d):
 
 @query
 def normalize_posts(spark, d):
-    p = v.posts(spark, d).select("id", "title", "text")
+    p = v.posts(spark, d, v.texts).select("id", "title", "text")
     return on.normalize_batch(p, "submission")
 
 
 @query
 def normalize_comments(spark, d):
-    c = v.comments(spark, d).select("id", "text")
+    c = v.comments(spark, d, v.texts).select("id", "text")
     return on.normalize_batch(c, "comment")
 
 
@@ -324,7 +324,7 @@ def lexicon_score(spark, d):
 
 @query
 def token_context(spark, d):
-    c = v.comments(spark, d)
+    c = v.comments(spark, d, v.texts)
     return (c.select("id", F.explode(lx.token_context(lx.rule_tokens(F.col("text")))).alias("t"))
             .select("id", F.col("t.pos").cast("long").alias("pos"), "t.token", "t.prev1", "t.prev2", "t.prev3"))
 
@@ -372,7 +372,7 @@ def classify_compound(spark, d):
 
 
 def _scored_posts(spark, d):
-    return orl.score_rules_batch(v.posts(spark, d), "submission", lexicon=v.LEXICON, run_ts=v.RUN_TS)
+    return orl.score_rules_batch(v.posts(spark, d, v.texts), "submission", lexicon=v.LEXICON, run_ts=v.RUN_TS)
 
 
 @query
@@ -390,7 +390,7 @@ def overall_sentiment(spark, d):
 
 @query
 def score_comments_rules(spark, d):
-    s = orl.score_rules_batch(v.comments(spark, d), "comment", lexicon=v.LEXICON, run_ts=v.RUN_TS)
+    s = orl.score_rules_batch(v.comments(spark, d, v.texts), "comment", lexicon=v.LEXICON, run_ts=v.RUN_TS)
     return s.select("id", *rounded("sentiment"))
 
 
@@ -414,7 +414,7 @@ def analysis_metadata(spark, d):
 
 @query
 def score_json(spark, d):
-    s = orl.score_rules_batch(v.comments(spark, d), "comment", lexicon=v.LEXICON, run_ts=v.RUN_TS)
+    s = orl.score_rules_batch(v.comments(spark, d, v.texts), "comment", lexicon=v.LEXICON, run_ts=v.RUN_TS)
     back = F.from_json(F.to_json("sentiment"), s.schema["sentiment"].dataType)
     return (s.select("id", back.alias("back"), F.get_json_object(F.to_json("sentiment"), "$.sentiment").alias("label"))
             .select("id", "label", F.round("back.compound", 6).alias("compound")))
@@ -437,19 +437,19 @@ def softmax_scores(spark, d):
 
 @query
 def truncate_tokens(spark, d):
-    docs = v.table(spark, d, "documents")
+    docs = v.texts(spark, d, "documents")
     return docs.select("doc_id", tk.truncate_tokens(F.col("text"), 512).alias("text"))
 
 
 @query
 def score_model_batch(spark, d):
-    docs = v.table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("id"), "text")
+    docs = v.texts(spark, d, "documents").select(F.col("doc_id").cast("string").alias("id"), "text")
     s = om.score_model(docs, {"score": "text"}, v.letter_scorer, batch_size=64, max_length=None)
     return s.select("id", *rounded("score"))
 
 
 def _modelled_posts(spark, d):
-    return om.score_model_batch(v.posts(spark, d), "submission", v.letter_scorer, batch_size=64,
+    return om.score_model_batch(v.posts(spark, d, v.texts), "submission", v.letter_scorer, batch_size=64,
                                 max_length=None, model_name="letters", run_ts=v.RUN_TS)
 
 
@@ -468,7 +468,7 @@ def overall_sentiment_model(spark, d):
 
 @query
 def score_comments_model(spark, d):
-    s = om.score_model_batch(v.comments(spark, d), "comment", v.letter_scorer, batch_size=64,
+    s = om.score_model_batch(v.comments(spark, d, v.texts), "comment", v.letter_scorer, batch_size=64,
                              max_length=None, model_name="letters", run_ts=v.RUN_TS)
     return s.select("id", *rounded("sentiment"))
 
@@ -478,8 +478,8 @@ def score_comments_model(spark, d):
 def _comparison(spark, d):
     rules_p = _scored_posts(spark, d)
     model_p = _modelled_posts(spark, d)
-    rules_c = orl.score_rules_batch(v.comments(spark, d), "comment", lexicon=v.LEXICON, run_ts=v.RUN_TS)
-    model_c = om.score_model_batch(v.comments(spark, d), "comment", v.letter_scorer, batch_size=64,
+    rules_c = orl.score_rules_batch(v.comments(spark, d, v.texts), "comment", lexicon=v.LEXICON, run_ts=v.RUN_TS)
+    model_c = om.score_model_batch(v.comments(spark, d, v.texts), "comment", v.letter_scorer, batch_size=64,
                                    max_length=None, model_name="letters", run_ts=v.RUN_TS)
     return cmp.compare(rules_p, model_p, "submission").unionByName(cmp.compare(rules_c, model_c, "comment"))
 
@@ -505,15 +505,15 @@ def disagreements_top5(spark, d):
 def _scored_twice(spark, d):
     """Both results in one row, no join."""
     opts = dict(lexicon=v.LEXICON, max_length=None, batch_size=64, run_ts=v.RUN_TS)
-    p = score_items(v.posts(spark, d), "submission", v.letter_scorer, **opts)
-    c = score_items(v.comments(spark, d), "comment", v.letter_scorer, **opts)
+    p = score_items(v.posts(spark, d, v.texts), "submission", v.letter_scorer, **opts)
+    c = score_items(v.comments(spark, d, v.texts), "comment", v.letter_scorer, **opts)
     return cmp.compare_scored(p, "submission").unionByName(cmp.compare_scored(c, "comment"))
 
 
 @query
 def agreement_rate(spark, d):
     """Rule scores of the cleaned texts against the human quality labels."""
-    docs = v.table(spark, d, "documents").select("doc_id", F.concat("text", F.lit(v.NOISE_TAIL)).alias("text"))
+    docs = v.texts(spark, d, "documents").select("doc_id", F.concat("text", F.lit(v.NOISE_TAIL)).alias("text"))
     labels = v.table(spark, d, "labels").select(
         "doc_id", F.when(F.col("quality") == 1, "positive").otherwise("negative").alias("label"))
     cleaned = oc.clean(docs.join(labels, "doc_id"), ["text"])
@@ -541,7 +541,7 @@ def analyze_topic_comparison(spark, d):
 
 def topic(spark, d):
     return analyze_topic(
-        v.posts(spark, d), v.comments(spark, d), KEYWORDS, GROUPS, v.letter_scorer, limit=BUDGET,
+        v.posts(spark, d, v.texts), v.comments(spark, d, v.texts), KEYWORDS, GROUPS, v.letter_scorer, limit=BUDGET,
         comment_limit=4, time_filter="week", sort="top", as_of=v.POSTS_AS_OF, run_ts=v.RUN_TS,
         search_options={"weights": WEIGHTS, "limits": LIMITS}, lexicon=v.LEXICON, max_length=None,
         batch_size=64)
@@ -648,7 +648,7 @@ def store_batch_counts(spark, d):
 
 @query
 def ingest_counts(spark, d):
-    p, c = v.posts(spark, d), v.comments(spark, d)
+    p, c = v.posts(spark, d, v.texts), v.comments(spark, d, v.texts)
     raw = p.select(*POSTS_RAW.fieldNames())
     stored_p = raw.withColumns({"processed": F.lit(False), "processed_at": F.lit(None).cast("timestamp")})
     stored_c = c.withColumns({"processed": F.lit(False), "processed_at": F.lit(None).cast("timestamp")})
@@ -659,7 +659,7 @@ def ingest_counts(spark, d):
 @query
 def storage_rows(spark, d):
     opts = dict(lexicon=v.LEXICON, max_length=None, batch_size=64, run_ts=v.RUN_TS)
-    p = v.posts(spark, d).withColumn("text", noisy("text"))
+    p = v.posts(spark, d, v.texts).withColumn("text", noisy("text"))
     s = tables.to_storage(score_items(p, "submission", v.letter_scorer, **opts), "submission")
     return s.select("id", "title", "text", "title_cleaned", "text_cleaned", "title_normalized", "text_normalized",
                     "cleaned", F.round("vader_compound", 6).alias("vader_compound"),

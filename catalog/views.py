@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from threadlens.scale import spread
+
 START = "2024-01-01 00:00:00"
 RUN_TS = "2024-02-01 00:00:00"
 POSTS_AS_OF = "2024-01-08 01:00:00"
@@ -34,8 +36,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents")
+def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose texts are worked on: small inputs are spread over the cores."""
+    return spread(table(spark, sf_dir, name))
+
+
+def posts(spark: SparkSession, sf_dir: str, source=table) -> DataFrame:
+    documents = source(spark, sf_dir, "documents")
     replies = (table(spark, sf_dir, "conversations").groupBy(F.col("conv_id").alias("doc_id"))
                .agg(F.count(F.lit(1)).alias("n")))
     start = F.expr(f"timestamp_ntz'{START}'")
@@ -51,8 +58,8 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(F.expr("doc_id % 101") / F.lit(100.0), 2).alias("upvote_ratio"), "lang")
 
 
-def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = table(spark, sf_dir, "conversations")
+def comments(spark: SparkSession, sf_dir: str, source=table) -> DataFrame:
+    turns = source(spark, sf_dir, "conversations")
     thread = F.col("conv_id").cast("string")
     parent = F.floor((F.col("turn") - 1) / 2).cast("string")
     start = F.expr(f"timestamp_ntz'{START}'")
@@ -67,10 +74,16 @@ def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("turn") == 0).alias("is_root"))
 
 
-def letter_scorer():
-    """A deterministic stand-in for a model: logits from letter shares."""
+def _letters():
+    """A deterministic stand-in for a model: logits from letter shares. Local
+    functions travel to the workers by value."""
+
+    def make_scorer():
+        def predict(texts):
+            return [[10.0 * text.count(letter) / max(len(text), 1) for letter in "ane"] for text in texts]
+        return predict
+
+    return make_scorer
 
-    def predict(texts):
-        return [[10.0 * text.count(letter) / max(len(text), 1) for letter in "ane"] for text in texts]
 
-    return predict
+letter_scorer = _letters()

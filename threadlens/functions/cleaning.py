@@ -141,10 +141,6 @@ def collapse_whitespace(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, _UNEVEN_SPACE, " "))
 
 
-def _nfkc_batches(batch: pd.Series) -> pd.Series:
-    return batch.map(lambda text: unicodedata.normalize("NFKC", text), na_action="ignore")
-
-
 @lru_cache(maxsize=1)
 def nfkc_sensitive() -> str:
     """Character class of everything NFKC can change: characters with another
@@ -179,12 +175,22 @@ def has_non_ascii(text: Column) -> Column:
     return F.octet_length(text) > F.length(text)
 
 
-def nfkc(text: Column) -> Column:
-    """NFKC. Python sees only texts that it may change; the rest cross as NULL."""
-    udf = F.pandas_udf(_nfkc_batches, "string")
-    parts = let(text, lambda t: F.struct(
-        t.alias("text"), F.when(has_non_ascii(t) & t.rlike(nfkc_sensitive()), t).alias("exposed")))
-    return F.coalesce(udf(parts["exposed"]), parts["text"])
+def nfkc_exposed(texts: Column) -> Column:
+    """The texts that NFKC may change, NULL for the others and for none at all."""
+    changes = lambda t: has_non_ascii(t) & t.rlike(nfkc_sensitive())
+    marked = F.transform(texts, lambda t: F.when(changes(t), t))
+    return let(marked, lambda ts: F.when(F.exists(ts, lambda t: t.isNotNull()), ts))
+
+
+def nfkc_of(exposed: Column) -> Column:
+    """NFKC of arrays of texts. The function is local so that it travels to the
+    workers by value and they need no copy of this package."""
+
+    def normalize(batch: pd.Series) -> pd.Series:
+        one = lambda text: None if text is None else unicodedata.normalize("NFKC", text)
+        return batch.map(lambda texts: [one(text) for text in texts], na_action="ignore")
+
+    return F.pandas_udf(normalize, "array<string>")(exposed)
 
 
 def fold_fullwidth(text: Column) -> Column:
@@ -221,6 +227,7 @@ class Step:
 
 
 def steps(options: CleanOptions = CleanOptions()) -> list[Step]:
+    """The stages before the Unicode forms."""
     chain = []
     if options.remove_html:
         chain.append(Step(strip_markup, lambda c: c.contains("<")))
@@ -236,14 +243,11 @@ def steps(options: CleanOptions = CleanOptions()) -> list[Step]:
         chain.append(Step(remove_mentions, lambda c: c.contains("@")))
     if options.lowercase:
         chain.append(Step(F.lower))
-    chain.append(Step(nfkc))
-    if options.normalize_whitespace:
-        chain.append(Step(collapse_whitespace))
     return chain
 
 
-def clean_text(text: Column, options: CleanOptions = CleanOptions()) -> Column:
-    """The whole chain; NULL gives the empty text."""
+def strip_all(text: Column, options: CleanOptions = CleanOptions()) -> Column:
+    """The chain up to and without the Unicode forms; NULL gives the empty text."""
     text = empty_if_null(text)
     for step in steps(options):
         text = step.guarded(text)

@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from threadlens.functions.cleaning import WORD
+from threadlens.scale import let
 
 
 def as_list(value: str | Sequence[str] | None) -> list[str]:
@@ -17,23 +18,35 @@ def as_list(value: str | Sequence[str] | None) -> list[str]:
     return [value] if isinstance(value, str) else list(value)
 
 
+def _phrases(keywords: str | Sequence[str]) -> list[list[str]]:
+    phrases = [k.lower().split() for k in as_list(keywords)]
+    return [words for words in phrases if words]
+
+
 def keyword_pattern(keywords: str | Sequence[str]) -> str | None:
-    """One pattern for all keywords: exact phrases at word edges, any case."""
-    phrases = [r"\s+".join(re.escape(word) for word in k.split()) for k in as_list(keywords)]
-    phrases = [p for p in phrases if p]
-    if not phrases:
-        return None
-    return rf"(?iu)(?<!{WORD})(?:{'|'.join(phrases)})(?!{WORD})"
+    """One pattern for all keywords, for lower-cased text: phrases at word edges."""
+    phrases = [r"\s+".join(map(re.escape, words)) for words in _phrases(keywords)]
+    return rf"(?<!{WORD})(?:{'|'.join(phrases)})(?!{WORD})" if phrases else None
 
 
 def matches(keywords: str | Sequence[str], *texts: Column) -> Column:
-    """True where any keyword occurs in any of the texts; no keywords match nothing."""
+    """True where any keyword occurs, in any case, in any of the texts; no keywords
+    match nothing. A text without the longest word of a keyword is passed over by a
+    plain substring search before the pattern is tried."""
     pattern = keyword_pattern(keywords)
     if pattern is None:
         return F.lit(False)
+    longest = sorted({max(words, key=len) for words in _phrases(keywords)})
+
+    def hit(lowered: Column) -> Column:
+        possible = F.lit(False)
+        for word in longest:
+            possible = possible | lowered.contains(word)
+        return possible & lowered.rlike(pattern)
+
     found = F.lit(False)
     for text in texts:
-        found = found | F.coalesce(text.rlike(pattern), F.lit(False))
+        found = found | F.coalesce(let(F.lower(text), hit), F.lit(False))
     return found
 
 
@@ -42,7 +55,7 @@ def occurrences(keywords: str | Sequence[str], *texts: Column) -> Column:
     count = F.lit(0)
     if pattern is not None:
         for text in texts:
-            count = count + F.coalesce(F.regexp_count(text, F.lit(pattern)), F.lit(0))
+            count = count + F.coalesce(F.regexp_count(F.lower(text), F.lit(pattern)), F.lit(0))
     return count
 
 

@@ -119,9 +119,9 @@ def is_negation(word: Column) -> Column:
 
 def token_context(tokens: Column) -> Column:
     """Each token with the three before it, read off the array."""
-    return F.transform(tokens, lambda token, i: F.struct(
-        i.alias("pos"), token.alias("token"), F.get(tokens, i - 1).alias("prev1"),
-        F.get(tokens, i - 2).alias("prev2"), F.get(tokens, i - 3).alias("prev3")))
+    return let(tokens, lambda ts: F.transform(ts, lambda token, i: F.struct(
+        i.alias("pos"), token.alias("token"), F.get(ts, i - 1).alias("prev1"),
+        F.get(ts, i - 2).alias("prev2"), F.get(ts, i - 3).alias("prev3"))))
 
 
 def negation_factor(lower: Column, i: Column, distance: Column) -> Column:

@@ -2,28 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadlens.functions import tokens as tk
 from threadlens.functions.cleaning import empty_if_null
-from threadlens.scale import attach_hits, inline_lookup, small_mapping
+from threadlens.scale import attach_hits, inline_lookup, map_columns, small_mapping
 from threadlens.schemas import TEXT_COLUMNS, check_item_type
 
 LEMMA_MODES = ("dictionary", "lower", "none")
 
 
-def _normalized(words: Column, lemma: str, lookup: Callable[[Column], Column],
-                stopwords: Sequence[str], keep: Sequence[str], keeps_some: bool) -> Column:
-    if stopwords:
-        words = tk.remove_stopwords(words, stopwords, keep)
-    if lemma != "none":
-        words = tk.lemmatize(words, lookup, stopwords, keep, keeps_some)
-    return tk.join_tokens(words)
-
-
 def normalize(df: DataFrame, columns: Sequence[str], lemma: str = "dictionary",
               lemmas: Mapping[str, str] | DataFrame | None = None,
               stopwords: Iterable[str] | None = None,
@@ -39,9 +30,7 @@ def normalize(df: DataFrame, columns: Sequence[str], lemma: str = "dictionary",
         raise ValueError(f"lemma must be one of {LEMMA_MODES}")
     stop = sorted(set(stopwords or ()))
     keep = tk.KEEP_WORDS if keep_important_stopwords else ()
-    originals = {f"{name}_original": F.col(name) for name in columns}
-    words = {name: tk.tokenize(empty_if_null(F.col(name)), split_contractions)
-             for name in columns}
+    words_of = lambda text: tk.tokenize(empty_if_null(text), split_contractions)
 
     entries: Mapping[str, str] | None = {} if lemma != "dictionary" else (
         tk.STARTER_LEMMAS if lemmas is None else lemmas if isinstance(lemmas, Mapping) else None)
@@ -58,7 +47,7 @@ def normalize(df: DataFrame, columns: Sequence[str], lemma: str = "dictionary",
 
     scratch: list[str] = []
     if entries is None:
-        lower_words = {n: F.transform(w, F.lower) for n, w in words.items()}
+        lower_words = {name: F.transform(words_of(F.col(name)), F.lower) for name in columns}
         df = attach_hits(df, lower_words, table.dropDuplicates(["token"]), "token", "lemma", row_id)
         scratch.append("_hits")
         lookup = lambda token: F.try_element_at(F.col("_hits"), token)
@@ -68,9 +57,17 @@ def normalize(df: DataFrame, columns: Sequence[str], lemma: str = "dictionary",
         lookup = lambda token: F.lit(None).cast("string")
 
     keeps_some = entries is None or "" in entries.values()
-    added = {f"{name}_normalized": _normalized(w, lemma, lookup, stop, keep, keeps_some)
-             for name, w in words.items()}
-    return df.withColumns({**added, **originals}).drop(*scratch)
+
+    def normalized(text: Column) -> Column:
+        words = words_of(text)
+        if stop:
+            words = tk.remove_stopwords(words, stop, keep)
+        if lemma != "none":
+            words = tk.lemmatize(words, lookup, stop, keep, keeps_some)
+        return tk.join_tokens(words)
+
+    df = map_columns(df, {f"{name}_normalized": name for name in columns}, normalized).drop(*scratch)
+    return df.withColumns({f"{name}_original": F.col(name) for name in columns})
 
 
 def normalize_batch(df: DataFrame, item_type: str = "submission", **options) -> DataFrame:

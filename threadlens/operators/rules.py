@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from threadlens.functions import lexicon as lx
 from threadlens.functions.cleaning import empty_if_null
 from threadlens.functions.dates import run_stamp
-from threadlens.scale import attach_hits, inline_lookup, small_mapping
+from threadlens.scale import attach_hits, inline_lookup, map_columns, small_mapping
 from threadlens.schemas import TEXT_COLUMNS, check_item_type
 
 
@@ -56,8 +56,7 @@ def score_rules(df: DataFrame, columns: Mapping[str, str] | Sequence[str],
         lookup = lambda token: F.try_element_at(F.col("_hits"), token)
     else:
         lookup = inline_lookup(entries, "double")
-    scores = {out: lx.rule_score(F.col(name), lookup, threshold) for out, name in columns.items()}
-    return df.withColumns(scores).drop(*scratch)
+    return map_columns(df, columns, lambda t: lx.rule_score(t, lookup, threshold)).drop(*scratch)
 
 
 def score_rules_batch(df: DataFrame, item_type: str = "submission", use_normalized: bool = True,

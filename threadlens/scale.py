@@ -23,6 +23,24 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body).getItem(0)
 
 
+def map_columns(df: DataFrame, columns: Mapping[str, str], body: Callable[[Column], Column]) -> DataFrame:
+    """Add ``{output: input}`` columns by one expression applied to all inputs. The
+    expression is in the plan once, however many columns it serves."""
+    if len(columns) == 1:
+        (out, name), = columns.items()
+        return df.withColumn(out, body(F.col(name)))
+    df = df.withColumn("_mapped", F.transform(F.array(*map(F.col, columns.values())), body))
+    return df.withColumns({out: F.get("_mapped", F.lit(i)) for i, out in enumerate(columns)}).drop("_mapped")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores where an input has fewer partitions than there are cores (small
+    files, single row groups). Larger inputs are left as they are, unshuffled. Meant
+    for plain scans: asking a plan with joins for its partitions would run them."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared scratch folder; a local one only where none is named."""
     named = spark.conf.get("spark.checkpoint.dir", None)
