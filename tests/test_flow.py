@@ -72,7 +72,7 @@ def test_summary_and_disagreements(spark):
 
 def test_ingest_and_read_back(spark, source, tmp_path):
     posts, comments = source
-    ask = {k: v for k, v in ASK.items()}
+    ask = {**ASK, "sort": "comments"}
     result = ingest(posts, comments, tables.empty_table(spark, "submission"), tables.empty_table(spark, "comment"),
                     comment_limit=3, run_ts="2024-02-01T00:00:00", **ask)
     counts = result.counts.first()

@@ -79,7 +79,7 @@ def test_read_json_and_lexicon(spark, tmp_path):
 
 
 NASTY = [("ab12", ' lead, "quoted" and \\ back\\" ', 1), ("ab34", "line\nbreak\r\nand ; tab\t", None),
-         ("cd12", "", 2), ("ab1", None, 3), ("é🚀xy", "emoji 🚀", 4)]
+         ("cd12", "", 2), ("ab1", None, 3), ("é🚀xy", "emoji 🚀", 4), ("ef56", "\\N", 5), ("ef78", "\\\\N", 6)]
 ITEMS = "id string, text string, score long"
 
 
@@ -88,7 +88,7 @@ def test_batch_round_trip(spark, tmp_path, compress):
     df = spark.createDataFrame(NASTY, ITEMS).withColumn("created_utc", F.lit("2024-01-02 03:04:05.678901").cast("timestamp"))
     store = csvstore.CsvStore(spark, str(tmp_path), compress)
     done = store.store_batch(df, "submission", "b1")
-    assert done == {"success": 5, "failure": 0, "batch_id": "b1"}
+    assert done == {"success": 7, "failure": 0, "batch_id": "b1"}
     back = store.retrieve_batch(store.batch_path("submission", "b1"), df.schema)
     assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
     assert bool(list((tmp_path / "submissions_csv").rglob("*.csv.gz"))) == compress
@@ -104,7 +104,7 @@ def test_empty_batch_has_no_id(spark, tmp_path):
 def test_failed_batch_counts_every_row(spark, tmp_path):
     (tmp_path / "submissions_csv").write_text("a file, not a folder")
     done = csvstore.CsvStore(spark, str(tmp_path)).store_batch(spark.createDataFrame(NASTY, ITEMS), "submission", "b")
-    assert done == {"success": 0, "failure": 5, "batch_id": "b"}
+    assert done == {"success": 0, "failure": 7, "batch_id": "b"}
 
 
 def test_items_by_folder(spark, tmp_path):

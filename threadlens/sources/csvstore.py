@@ -14,7 +14,8 @@ from threadlens.schemas import check_item_type
 FOLDERS = {"submission": "submissions_csv", "comment": "comments_csv"}
 SHORT_ID = "root"
 
-_DIALECT = {"header": "true", "quote": '"', "escape": '"',
+# Missing values are written as \N so that empty texts stay apart from them.
+_DIALECT = {"header": "true", "quote": '"', "escape": '"', "nullValue": "\\N",
             "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
@@ -29,10 +30,17 @@ def shard_of(item_id: str) -> tuple[str, str]:
     return (item_id[:2], item_id[2:4]) if len(item_id) >= 4 else (SHORT_ID, SHORT_ID)
 
 
+_LOOKS_MISSING = r"^\\+N$"
+
+
 def _as_text(df: DataFrame) -> DataFrame:
-    """Times in ISO form and nested values as JSON, as CSV has neither."""
+    """Times in ISO form and nested values as JSON, as CSV has neither. Texts that
+    look like the sign for a missing value get one more backslash."""
     changed = {}
     for field in df.schema:
+        if isinstance(field.dataType, T.StringType):
+            text = F.col(field.name)
+            changed[field.name] = F.when(text.rlike(_LOOKS_MISSING), F.concat(F.lit("\\"), text)).otherwise(text)
         if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
             changed[field.name] = format_iso(F.col(field.name).cast("timestamp"))
         elif isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
@@ -50,6 +58,9 @@ def _revived(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Declared times and nested values back from text."""
     changed = {}
     for field in schema:
+        if isinstance(field.dataType, T.StringType):
+            text = F.col(field.name)
+            changed[field.name] = F.when(text.rlike(_LOOKS_MISSING), F.expr(f"substring(`{field.name}`, 2)")).otherwise(text)
         if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
             changed[field.name] = parse_iso(F.col(field.name)).cast(field.dataType)
         elif isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
@@ -105,10 +116,11 @@ class CsvStore:
     def store_batch(self, items: DataFrame, item_type: str, batch_id: str | None = None) -> dict:
         """Write one batch, all or nothing, and count it in the same job."""
         batch_id = batch_id or f"batch_{datetime.now(timezone.utc):%Y%m%d_%H%M%S}"
+        path = self.batch_path(item_type, batch_id)
         seen = Observation("stored rows")
         try:
             rows = _as_text(items).observe(seen, F.count(F.lit(1)).alias("rows"))
-            self._writer(rows).mode("overwrite").csv(self.batch_path(item_type, batch_id))
+            self._writer(rows).mode("overwrite").csv(path)
         except Exception:
             return {"success": 0, "failure": items.count(), "batch_id": batch_id}
         stored = seen.get["rows"]

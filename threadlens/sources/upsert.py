@@ -63,8 +63,9 @@ def upsert(base: DataFrame, incoming: DataFrame, key: str = "id", seq: str | Non
                                         "full_outer").select(*select))
     kept = (base.alias("base").join(hinted.alias("inc"), F.col(f"base.{key}") == F.col(f"inc.{key}"), "left")
             .select(*select))
+    # Keys are unique in the base table, so no more of them match than the batch has.
     known = base.select(key).join(F.broadcast(batch.select(key)), key, "left_semi")
-    added = batch.join(known, key, "left_anti")
+    added = batch.join(F.broadcast(known), key, "left_anti")
     missing = {n: F.lit(None).cast(base.schema[n].dataType) for n in base.columns if n not in columns}
     return kept.unionByName(added.withColumns(missing).select(*base.columns))
 
