@@ -104,3 +104,12 @@ def test_salted_top_n_is_exact_for_a_hot_group(spark):
     for g in {r.g for r in rows}:
         want |= {(g, r.id) for r in sorted((r for r in rows if r.g == g), key=lambda r: (-r.v, r.id))[:7]}
     assert got == want
+
+
+def test_time_and_columns_reach_the_scan(spark, posts, tmp_path):
+    posts.write.parquet(str(tmp_path / "posts"))
+    table = spark.read.parquet(str(tmp_path / "posts"))
+    found = se.keyword_search(table, "climate change", search_all=True, sort="top", as_of=AS_OF).select("id", "score")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(created_utc" in plan and "TakeOrderedAndProject" in plan
+    assert "num_comments" not in plan and "subreddit" not in plan

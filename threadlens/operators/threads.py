@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,42 +17,38 @@ def breadth_first() -> list[Column]:
     return [F.col("depth").asc_nulls_last(), F.col("created_utc").asc(), F.col("id").asc()]
 
 
-def comment_depth(comments: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+def comment_depth(comments: DataFrame, carry: Sequence[str] = (),
+                  max_rounds: int = MAX_ROUNDS) -> DataFrame:
     """``(id, depth)`` of every comment; top-level comments have depth 0.
 
     Each round lets every open pointer jump to where its target points, so the
-    number of joins grows with the logarithm of the tree depth. Only ids travel, and
-    finished comments are not joined again. Comments whose ancestors are missing get
-    a NULL depth. The result of a round is checkpointed, as the next one reads it
-    twice. The left side of the join is the one with hot keys (a comment with very
-    many replies), which adaptive execution may split.
+    number of joins grows with the logarithm of the tree depth. Only ids and the
+    columns to ``carry`` travel. A round checkpoints the comments it moved, since the
+    next one reads them twice; settled ones are not joined or written again.
+    Comments whose ancestors are missing get a NULL depth. The left side of the join
+    holds the hot keys (a comment with very many replies): adaptive execution may
+    split that side.
     """
     top_level = F.col("parent_id").startswith("t3_")
-    parent = F.expr("substring(parent_id, 4)")
-    state = comments.select("id", F.when(~top_level, parent).alias("up"),
+    edges = comments.select("id", *carry, F.when(~top_level, F.expr("substring(parent_id, 4)")).alias("up"),
                             F.when(top_level, 0).otherwise(1).alias("hops"))
+    settled, active = edges.filter("up is null"), edges.filter("up is not null")
     for _ in range(max_rounds):
-        target = state.select(F.col("id").alias("up"), F.col("up").alias("next"),
-                              F.col("hops").alias("more"))
-        moved = (state.filter(F.col("up").isNotNull()).join(target, "up", "left")
-                 .select("id", F.col("next").alias("up"), (F.col("hops") + F.col("more")).alias("hops")))
-        state = cut_lineage(state.filter(F.col("up").isNull()).unionByName(moved))
-        if state.filter(F.col("up").isNotNull()).isEmpty():
+        target = settled.unionByName(active).select(
+            F.col("id").alias("up"), F.col("up").alias("next"), F.col("hops").alias("more"))
+        moved = cut_lineage(active.join(target, "up", "left").select(
+            "id", *carry, F.col("next").alias("up"), (F.col("hops") + F.col("more")).alias("hops")))
+        settled, active = settled.unionByName(moved.filter("up is null")), moved.filter("up is not null")
+        if active.isEmpty():
             break
-    return state.select("id", F.when(F.col("up").isNull(), F.col("hops")).alias("depth"))
-
-
-def _scoped_ranking(narrow: DataFrame) -> DataFrame:
-    return narrow.join(comment_depth(narrow), "id")
-
-
-_NARROW = ("id", "submission_id", "parent_id", "created_utc")
+    lost = active.withColumn("hops", F.lit(None).cast("int"))
+    return settled.unionByName(lost).select("id", *carry, F.col("hops").alias("depth"))
 
 
 def comments_of_post(comments: DataFrame, post_id: str, limit: int | None = None) -> DataFrame:
     """Comments of one post, breadth first; ``limit=None`` gives all of them."""
     own = comments.filter(F.col("submission_id") == post_id)
-    ordered = (own.join(comment_depth(own.select(*_NARROW)), "id").orderBy(*breadth_first()))
+    ordered = own.join(comment_depth(own), "id").orderBy(*breadth_first())
     return ordered if limit is None else ordered.limit(limit)
 
 
@@ -67,9 +65,9 @@ def top_comments_per_post(comments: DataFrame, posts: DataFrame, n: int | None)
     Ranking sees ids only; texts join the winners at the end, by broadcast where
     the winners' measured size allows it.
     """
-    wanted = posts.select(F.col("id").alias("submission_id"))
-    narrow = comments.select(*_NARROW).join(wanted, "submission_id", "left_semi")
-    placed = _scoped_ranking(narrow)
+    wanted = broadcast_if_small(posts.select(F.col("id").alias("submission_id")))
+    own = comments.join(wanted, "submission_id", "left_semi")
+    placed = comment_depth(own, carry=("submission_id", "created_utc"))
     if n is None:
         return comments.join(placed.select("id", "depth"), "id")
     best = top_n_per_group(placed, ["submission_id"], breadth_first(), n)
@@ -78,7 +76,18 @@ def top_comments_per_post(comments: DataFrame, posts: DataFrame, n: int | None)
 
 
 def with_posts(posts: DataFrame, comments: DataFrame, how: str = "inner") -> DataFrame:
-    """Posts joined with their comments; columns of a comment start with ``comment_``."""
+    """Posts joined with their comments; columns of a comment start with ``comment_``.
+
+    ``how="left"`` adds the posts without comments by an anti join. A single outer
+    join could not split the comments of a very popular post over several tasks, as
+    they are its optional side; an inner join can.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("how must be 'inner' or 'left'")
     replies = comments.select(*[F.col(c).alias(c if c == "submission_id" else f"comment_{c}")
                                 for c in comments.columns])
-    return posts.join(replies, posts["id"] == replies["submission_id"], how).drop("submission_id")
+    both = posts.join(replies, posts["id"] == replies["submission_id"]).drop("submission_id")
+    if how == "inner":
+        return both
+    answered = comments.select(F.col("submission_id").alias("id")).distinct()
+    return both.unionByName(posts.join(answered, "id", "left_anti"), allowMissingColumns=True)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 # Largest side that is broadcast on our own decision.
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+BROADCAST_MAX_ROWS = 1_000_000
 # Largest dictionary that is put into the plan as a constant.
 INLINE_MAX_ENTRIES = 20_000
 
@@ -63,9 +64,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES,
+                       max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Hint a broadcast when the measured size allows it; else leave the join
-    strategy to the optimizer. Costs one aggregate over ``df``."""
+    strategy to the optimizer.
+
+    Needed where Spark has no size estimate, as after a checkpoint. The row test
+    stops reading at ``max_rows``; only a table below it is measured in bytes.
+    """
+    if not df.select(F.lit(1)).offset(max_rows).isEmpty():
+        return df
     width = F.coalesce(F.octet_length(F.to_json(F.struct("*"))), F.lit(0)).cast("long")
     measured = df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()["bytes"]
     return F.broadcast(df) if measured <= max_bytes else df
@@ -121,11 +129,11 @@ def attach_hits(df: DataFrame, tokens: Mapping[str, Column], table: DataFrame, k
 
     Adds one map column per entry of ``tokens`` holding the dictionary hits of
     that row. Only distinct tokens are exploded and only hits come back, so what
-    is shuffled by ``row_id`` is small; the join strategy is Spark's own choice.
+    is shuffled by ``row_id`` is small.
     """
     hits = (df.select(row_id, F.array_distinct(F.flatten(F.array(*tokens.values()))).alias("_t"))
               .select(row_id, F.explode("_t").alias(key))
-              .join(table.select(key, value), key)
+              .join(broadcast_if_small(table.select(key, value)), key)
               .groupBy(row_id)
               .agg(F.map_from_entries(F.collect_list(F.struct(key, value))).alias("_hits")))
     return df.join(hits, row_id, "left")

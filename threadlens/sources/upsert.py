@@ -75,17 +75,22 @@ def check_reference(items: DataFrame, parents: DataFrame, column: str = "submiss
     """Add ``accepted``: the row has an id and its parent exists. One join serves
     both the accepted and the rejected rows."""
     known = parents.select(F.col(parent_key).alias(column), F.lit(True).alias("_known"))
+    known = broadcast_if_small(known)
     return (items.join(known, column, "left")
             .withColumn("accepted", F.coalesce("_known", F.lit(False)) & F.col("id").isNotNull())
             .drop("_known"))
 
 
+def _post_ids(posts: DataFrame) -> DataFrame:
+    return broadcast_if_small(posts.select(F.col("id").alias("submission_id")))
+
+
 def accepted_comments(comments: DataFrame, posts: DataFrame) -> DataFrame:
-    return comments.join(posts.select(F.col("id").alias("submission_id")), "submission_id", "left_semi")
+    return comments.join(_post_ids(posts), "submission_id", "left_semi")
 
 
 def rejected_comments(comments: DataFrame, posts: DataFrame) -> DataFrame:
-    return comments.join(posts.select(F.col("id").alias("submission_id")), "submission_id", "left_anti")
+    return comments.join(_post_ids(posts), "submission_id", "left_anti")
 
 
 def outcome_counts(checked: DataFrame) -> DataFrame:
