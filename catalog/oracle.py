@@ -143,7 +143,7 @@ def _score_select(source: str) -> str:
 
 
 def _pages_text() -> str:
-    c = "html"
+    c = "regexp_replace(html, '(&#?[a-zA-Z0-9][-.a-zA-Z0-9]*)<', '\\1;<', 'g')"
     for tag in ("script", "style", "template"):
         c = s.replaced(c, rf"(?is)<{tag}(?:[\s/][^>]*)?>.*?(?:</{tag}\s*>|\z)")
     c = s.replaced(c, r"(?s)<!--.*?(?:-->|\z)")

@@ -32,6 +32,7 @@ def cleaned(spark, texts, options=cl.CleanOptions()):
     ("AT&T; &unknown; R&D &", "AT&T &unknown R&D &"),
     ("&#xD800;&#1114112;&#99999999999;", "���"),
     ("&notin; &NotEqualTilde;", "∉ ≂̸"),
+    ("x&amp<b>Y</b>&amp;lt;", "x&Y&lt;"),
     ("<scripty>s</scripty>", "s"),
 ])
 def test_strip_html(spark, html, text):

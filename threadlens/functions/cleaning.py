@@ -72,6 +72,7 @@ _MARKUP = (
     r"""|</?[a-zA-Z][^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+)*+>"""
     r"|</?[a-zA-Z][^>]*>"
 )
+_OPEN_REFERENCE = r"(&#?[a-zA-Z0-9][-.a-zA-Z0-9]*)(?=<)"
 _REFERENCE_PIECES = (r"&#[0-9]+;?|&#[xX][0-9a-fA-F]+;?|&[a-zA-Z][-.a-zA-Z0-9]*;?|[^&]+|&")
 
 
@@ -108,8 +109,11 @@ def decode_references(text: Column) -> Column:
 
 
 def strip_markup(text: Column) -> Column:
-    """Drop script, style and template content, comments, declarations and tags."""
-    return F.regexp_replace(F.regexp_replace(text, _HIDDEN_ELEMENT, ""), _MARKUP, "")
+    """Drop script, style and template content, comments, declarations and tags. A
+    reference that ends at a tag is closed first, or the text after the tag would
+    become part of its name."""
+    closed = F.regexp_replace(text, _OPEN_REFERENCE, "$1;")
+    return F.regexp_replace(F.regexp_replace(closed, _HIDDEN_ELEMENT, ""), _MARKUP, "")
 
 
 def strip_html(text: Column) -> Column:
