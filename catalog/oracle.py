@@ -151,7 +151,8 @@ def _pages_text() -> str:
     c = s.replaced(c, r"</?[a-zA-Z][^>]*>")
     for name, char in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("lt", "<"), ("gt", ">"), ("nbsp", " ")):
         c = f"replace({c}, '&{name};', {s.q(char)})"
-    return f"replace({c}, '&amp;', '&')"
+    unknown = f"regexp_replace(replace({c}, '&amp;', chr(1)), '(&[a-zA-Z][-.a-zA-Z0-9]*);', '\\1', 'g')"
+    return f"replace({unknown}, chr(1), '&')"
 
 
 def statements() -> dict[str, str]:

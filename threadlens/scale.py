@@ -47,9 +47,10 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    local = tempfile.mkdtemp(prefix="threadlens-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="threadlens-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -58,9 +59,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives the loss of executors, unlike a local one."""
+    folder = shared_dir(df.sparkSession)
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
+        context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
 
