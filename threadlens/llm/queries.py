@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadlens.llm import apportion, compression, hilbert, mixture, pieces, sampling, styletree
+from threadlens.llm import apportion, compression, hilbert, jaccard, mixture, pieces, sampling, styletree
 from threadlens.llm.common import table
 
 
@@ -33,6 +33,10 @@ def op6_piece_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_texts(table(spark, sf_dir, "documents"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_classes(table(spark, sf_dir, "documents"))
+
+
 def op8_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.compression_bands(table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sainte_lague": op4_sainte_lague,
     "op5_language_mixture": op5_language_mixture,
     "op6_piece_scan": op6_piece_scan,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_compression_bands": op8_compression_bands,
     "op10_weighted_sampling": op10_weighted_sampling,
 }

@@ -38,7 +38,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _hash_piece(piece: bytes) -> np.ndarray:
+def _hash_piece(piece: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of a piece, and where in it each word starts."""
     data = np.frombuffer(piece, np.uint8)
     inside = np.empty(len(data) + 2, np.int8)
     inside[0] = inside[-1] = 0
@@ -50,41 +51,50 @@ def _hash_piece(piece: bytes) -> np.ndarray:
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=total[1:])
     value = (total[end] - total[start]) * down[start]
-    return mix(value ^ ((end - start).astype(np.uint64) << np.uint64(48)))
+    return mix(value ^ ((end - start).astype(np.uint64) << np.uint64(48))), start
 
 
 def hash_words(text: bytes) -> np.ndarray:
     """One uint64 for each word of one text, in order; bounded work space unless a
     single word is longer than the step."""
     if len(text) <= _STEP:
-        return _hash_piece(text)
+        return _hash_piece(text)[0]
     parts, at = [], 0
     while at < len(text):
         end = min(at + _STEP, len(text))
         while end < len(text) and text[end] not in _SPACES:
             end += 1
-        parts.append(_hash_piece(text[at:end]))
+        parts.append(_hash_piece(text[at:end])[0])
         at = end
     return np.concatenate(parts)
 
 
 def hash_texts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of many texts in one array, and the offsets of each text in it."""
-    counts = np.array([len(t.split()) for t in texts], np.int64)
-    parts, group, held = [], [], 0
-    for text in [*texts, None]:
-        if text is None or held + len(text) > _STEP:
-            if group:
-                parts.append(hash_words(b" ".join(group)))
-            group, held = [], 0
-        if text is not None:
-            group.append(text)
-            held += len(text) + 1
+    parts, counts, group, held = [], [], [], 0
+
+    def flush() -> None:
+        if len(group) == 1:
+            parts.append(hash_words(group[0]))
+            counts.append(np.array([len(parts[-1])]))
+        elif group:
+            value, start = _hash_piece(b" ".join(group))
+            ends = np.cumsum([len(text) + 1 for text in group])
+            parts.append(value)
+            counts.append(np.diff(np.searchsorted(start, ends), prepend=0))
+        group.clear()
+
+    for text in texts:
+        if held + len(text) > _STEP:
+            flush()
+            held = 0
+        group.append(text)
+        held += len(text) + 1
+    flush()
     offsets = np.zeros(len(texts) + 1, np.int64)
-    np.cumsum(counts, out=offsets[1:])
-    words = np.concatenate(parts) if parts else np.empty(0, np.uint64)
-    assert len(words) == offsets[-1]
-    return words, offsets
+    if parts:
+        np.cumsum(np.concatenate(counts), out=offsets[1:])
+    return (np.concatenate(parts) if parts else np.empty(0, np.uint64)), offsets
 
 
 def runs(words: np.ndarray, offsets: np.ndarray, width: int, short: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -119,10 +129,14 @@ def runs(words: np.ndarray, offsets: np.ndarray, width: int, short: bool) -> tup
     return value, owner_of, place_of
 
 
-def distinct(value: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct hashes of each text, sorted by text, then hash."""
-    order = np.lexsort((value, owner))
-    value, owner = value[order], owner[order]
+def distinct(value: np.ndarray, owner: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes of each text in ascending order, and the offsets of each text.
+    ``owner`` ascends; texts are sorted one by one, which is faster than all at once."""
+    cut = np.searchsorted(owner, np.arange(texts + 1))
+    value = value.copy()
+    for a, b in zip(cut[:-1], cut[1:]):
+        value[a:b].sort()
     keep = np.ones(len(value), bool)
     keep[1:] = (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])
-    return value[keep], owner[keep]
+    total = np.concatenate([[0], np.cumsum(keep)])
+    return value[keep], total[cut]
