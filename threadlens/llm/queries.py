@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadlens.llm import apportion, compression, hilbert, jaccard, mixture, pieces, sampling, styletree
+from threadlens.llm import apportion, compression, hilbert, jaccard, mixture, pieces, repeats, sampling, styletree
 from threadlens.llm.common import table
 
 
@@ -41,6 +41,10 @@ def op8_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.compression_bands(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -53,5 +57,6 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_piece_scan": op6_piece_scan,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_compression_bands": op8_compression_bands,
+    "op9_suffix_repeats": op9_suffix_repeats,
     "op10_weighted_sampling": op10_weighted_sampling,
 }

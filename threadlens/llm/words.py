@@ -21,7 +21,7 @@ _STEP = 1 << 20
 
 
 @lru_cache(maxsize=2)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     def series(base: int) -> np.ndarray:
         out = np.full(size, base, np.uint64)
         out[0] = 1
@@ -47,7 +47,7 @@ def _hash_piece(piece: bytes) -> tuple[np.ndarray, np.ndarray]:
     turn = np.diff(inside)
     start, end = np.flatnonzero(turn == 1), np.flatnonzero(turn == -1)
     size = 1 << max(16, len(data).bit_length())
-    up, down = _powers(size)
+    up, down = powers(size)
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=total[1:])
     value = (total[end] - total[start]) * down[start]
