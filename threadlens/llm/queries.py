@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadlens.llm import apportion, compression, hilbert, jaccard, mixture, pieces, repeats, sampling, styletree
+from threadlens.llm import apportion, chaining, compression, hilbert, jaccard, mixture, pieces, repeats, sampling, styletree
 from threadlens.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op2_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.hilbert_shards(table(spark, sf_dir, "documents"))
 
 
+def op3_collinear_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chaining.passages(table(spark, sf_dir, "documents"))
+
+
 def op4_sainte_lague(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apportion.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -52,6 +56,7 @@ def op10_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_style_tree": op1_style_tree,
     "op2_hilbert_shards": op2_hilbert_shards,
+    "op3_collinear_chains": op3_collinear_chains,
     "op4_sainte_lague": op4_sainte_lague,
     "op5_language_mixture": op5_language_mixture,
     "op6_piece_scan": op6_piece_scan,
