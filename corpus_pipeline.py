@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threadlens.llm import mixture, pieces
+from threadlens.llm import apportion, jaccard, mixture, pieces, repeats
 from threadlens.llm.common import shared_dir, table
 
 
@@ -16,12 +16,35 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return guessed.filter(guessed["_lang_pred"] != mixture.UNKNOWN).select(*docs.columns)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one text of each class of similar texts, that of the least id."""
+    return jaccard.one_of_each(docs)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts bytes that lie in strings of 400 bytes found elsewhere as well."""
+    return repeats.without_repeats(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes each source's share of words, repeating texts where the share asks for it."""
+    return apportion.mixed(docs)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text that is left."""
     return pieces.encode_texts(docs)
 
 
-STAGES = [("language ID", identify_language), ("SentencePiece encoding and decoding", encode)]
+STAGES = [
+    ("language ID", identify_language),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("suffix-array dedup", cut_repeats),
+    ("mixing sources to target weights", mix_sources),
+    ("SentencePiece encoding and decoding", encode),
+]
+# Mixtures, similarity classes, repeats in bytes and lattices are beyond SQL; the tests
+# hold the stages against brute force.
 ORACLE_SQL = None
 
 

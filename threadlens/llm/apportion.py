@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from threadlens.llm.common import n_words, settle
+from threadlens.llm.common import WORD, n_words, settle, sized_side
 
 # Blocks of the whole mix, and blocks for each source on top; bounds the quotients.
 BLOCKS = 65536
@@ -118,3 +118,23 @@ def mix(docs: DataFrame, seed: int = 7, shards: int = SHARDS, id_column: str = "
             .select("doc_id", "source", "size", "source_size", "target",
                     (F.col("_passes") * F.col("size")
                      + F.greatest(F.lit(0), F.least(F.col("size"), F.col("_reach") - F.col("_at")))).cast("long").alias("taken")))
+
+
+def mixed(docs: DataFrame, seed: int = 7) -> DataFrame:
+    """The mix itself, with the columns of ``docs``: each text as often as it is taken, and at
+    most one text of a source cut to the words that are left for it.
+
+    Texts that the mix does not take, and texts without words, are not in it. Rows alike in
+    id, source and size are taken alike.
+    """
+    taken = (mix(docs, seed).filter("taken > 0").groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_of"), F.col("size").alias("_size"))
+             .agg(F.max("taken").alias("_taken")))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_of")) & (n_words(F.col("text")) == F.col("_size"))
+    times = F.expr("sequence(1L, (_taken + _size - 1) div _size)")
+    rest = F.expr("_taken - (_copy - 1) * _size")
+    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)), F.lit(1), F.col("_rest").cast("int")), " ")
+    out = (docs.join(sized_side(taken), same).withColumn("_copy", F.explode(times)).withColumn("_rest", rest)
+           .withColumn("text", F.when(F.col("_rest") < F.col("_size"), cut).otherwise(F.col("text"))))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.char_length("text").cast(dict(docs.dtypes)["n_chars"]))
+    return out.select(*docs.columns)

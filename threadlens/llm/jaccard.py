@@ -275,3 +275,19 @@ def similar_classes(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     named = classes.join(least, "root").select(F.col("sig").alias("_sig"), "component_id")
     return (described.join(sized_side(named), F.col("sig") == F.col("_sig"), "left")
             .select(F.col("doc_id").alias(id_column), F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id is the least of its class; of rows that repeat, one.
+
+    Rows without an id stay unless their class has an id.
+    """
+    first = (similar_classes(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+             .select(F.col("doc_id").alias("_kept")).distinct())
+    stay = docs.join(sized_side(first), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    again = settle(docs.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_again")))
+    if again.isEmpty():
+        return stay
+    same = F.col("doc_id").eqNullSafe(F.col("_again"))
+    side = sized_side(again)
+    return stay.join(side, same, "left_anti").union(stay.join(side, same, "left_semi").dropDuplicates(["doc_id", "text"]))

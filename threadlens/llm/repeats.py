@@ -304,3 +304,21 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
 
     return in_batches(rows, body, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
                                   "starts array<long>, ends array<long>").withColumnRenamed("doc_id", id_column)
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` with repeated bytes cut from each text; a character that loses a byte goes with
+    it. A text of which nothing is left stays as an empty text, a null text as null."""
+    columns = docs.columns
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+
+    def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [text if not starts else kept(text.encode(), starts, ends).decode("utf-8", "ignore") for text, starts, ends in
+                     zip(*(batch.column(n).to_pylist() for n in ("text", "_starts", "_ends")))]
+            new = {"text": pa.array(texts, batch.schema.field("text").type)}
+            if "n_chars" in columns:
+                new["n_chars"] = pa.array([None if t is None else len(t) for t in texts], batch.schema.field("n_chars").type)
+            yield pa.RecordBatch.from_arrays([new.get(name, batch.column(name)) for name in columns], names=columns)
+
+    return in_batches(with_spans(docs), body, schema)
