@@ -256,7 +256,7 @@ def test_stages_against_brute_force(spark, docs, rows, tmp_path):
             total = sum(len(WORD.findall(t)) for t in kept.values())
             assert abs(sum(len(WORD.findall(t)) for _, t in got) - total) <= 3 * len({r["source"] for r in before.collect()}) + 3
             assert all(t == kept[d] or kept[d].split()[:len(t.split())] == t.split() for d, t in got)
-            texts = sorted(t for _, t in got)
+            texts, got_before = sorted(t for _, t in got), got
         else:
             out = now.collect()
             assert {r["doc_id"] for r in out if not r["exact"]} <= {d for d, t in got_before if "▁" in t}      # a mark decodes to a space
