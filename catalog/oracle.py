@@ -187,8 +187,14 @@ def statements() -> dict[str, str]:
         f"AND {_matched(sq.KEYWORDS)} ORDER BY score DESC, id LIMIT 50")
     out["keyword_search_quota"] = f"WITH {P}, {SEARCH} SELECT id, subreddit, score, rank, phase FROM found"
 
-    out["group_counts"] = (f"WITH {P} SELECT subreddit, count(*) AS available, least(count(*), 45) AS taken "
-                           "FROM posts GROUP BY subreddit")
+    out["search_defaults"] = (
+        f"WITH {P} SELECT id, subreddit, created_utc FROM posts WHERE {_week(v.POSTS_AS_OF)} AND {_matched(sq.RELEVANCE_WORDS)} "
+        f"ORDER BY {_hits(sq.RELEVANCE_WORDS)} DESC, id LIMIT 100")
+    out["keyword_search_every_match"] = (
+        f"WITH {P} SELECT id, subreddit FROM posts WHERE subreddit IN ('src0', 'src3') AND {_matched(sq.KEYWORDS)}")
+    out["group_counts"] = (
+        f"WITH {P}, {_quotas()}, available AS (SELECT lower(subreddit) AS grp, count(*) AS n FROM posts GROUP BY 1), "
+        f"{_allocation(sq.BUDGET)} SELECT grp AS subreddit, n AS available, base + extra AS taken FROM alloc")
     out["normalize_weights"] = (f"WITH {EVENT_QUOTAS} SELECT grp, round(CAST(weight AS DOUBLE) / "
                                 "(SELECT sum(weight) FROM quotas), 6) AS share FROM quotas")
     out["validate_limits"] = f'WITH {EVENT_QUOTAS} SELECT grp, mn AS "min", mx AS "max" FROM quotas'
@@ -224,7 +230,10 @@ def statements() -> dict[str, str]:
     out["remove_hashtags"] = _step(s.replaced(noisy, s.HASHTAG))
     out["remove_mentions"] = _step(s.replaced(noisy, s.MENTION))
     out["lowercase_text"] = _step(f"lower({noisy})")
-    out["nfkc_fullwidth"] = _step(s.fold(noisy))
+    forms = f"concat({noisy}, {s.q(v.FORMS)})"
+    for form, plain in (("ﬁ", "fi"), ("½", "1⁄2"), ("①", "1")):
+        forms = f"replace({forms}, '{form}', '{plain}')"
+    out["nfkc_fullwidth"] = _step(s.fold(forms))
     out["collapse_whitespace"] = _step(s.collapse(noisy))
     out["clean_text_full"] = _step(s.cleaned(noisy))
     out["clean_posts"] = (f"WITH {P} SELECT id, {s.cleaned('title')} AS title, {s.cleaned(noisy)} AS text, "
@@ -249,6 +258,17 @@ def statements() -> dict[str, str]:
         f"WITH {C} SELECT id, text, {s.normalized('text')} AS text_normalized, text AS text_original, "
         "true AS normalized FROM comments")
 
+    words = "words AS (SELECT DISTINCT w FROM (SELECT unnest(string_split(text, ' ')) AS w FROM documents) WHERE length(w) >= 2)"
+    out["lemmatize_table"] = f"""WITH {CONTRACTED}, {words}, lem AS (
+      SELECT lower(w) AS k, max(concat(substr(w, 1, 3), CAST(length(w) AS VARCHAR))) AS m FROM words
+      WHERE (unicode(w) + length(w)) % 2 = 0 AND NOT regexp_matches(w, '^\\p{{N}}+$') GROUP BY 1),
+    toks AS (SELECT doc_id, unnest(t) AS token, unnest(range(len(t))) AS pos FROM (SELECT doc_id, {s.tokens('text')} AS t FROM docs))
+    SELECT doc_id, string_agg(coalesce(m, lower(token)), ' ' ORDER BY pos) AS lemmas
+    FROM toks LEFT JOIN lem ON k = lower(token) GROUP BY doc_id"""
+    table = f"""{words}, lex(token, valence) AS (
+      SELECT lower(w), max(CAST((unicode(w) * 7 + length(w)) % 9 - 4 AS DOUBLE) / 2) FROM words
+      WHERE (unicode(w) + length(w)) % 2 = 1 GROUP BY 1)"""
+    out["lexicon_score_table"] = s.with_(table, TONED, s.rule_scores("r", "docs", "text")) + _score_select("r")
     out["lexicon_score"] = s.with_(s.LEX, TONED, s.rule_scores("r", "docs", "text")) + _score_select("r")
     out["token_context"] = s.with_(s.LEX, C, s.rule_words("r", "comments", "text")) + (
         "SELECT id, pos - 1 AS pos, w AS token, lag(w, 1) OVER x AS prev1, lag(w, 2) OVER x AS prev2, "
@@ -346,6 +366,21 @@ def statements() -> dict[str, str]:
       SELECT coalesce(b.id, l.id) AS id, CASE WHEN l.id IS NOT NULL THEN l.text ELSE b.text END AS text,
              CASE WHEN l.id IS NOT NULL THEN l.author ELSE b.author END AS author
       FROM posts b FULL OUTER JOIN last l ON b.id = l.id"""
+    out["upsert_duplicates"] = f"""WITH {P}, last AS (
+        SELECT * FROM (SELECT CAST(conv_id AS VARCHAR) AS id, text, role AS author, row_number() OVER (
+          PARTITION BY conv_id ORDER BY text DESC NULLS LAST, role DESC NULLS LAST) AS n FROM conversations) WHERE n = 1)
+      SELECT coalesce(b.id, l.id) AS id, CASE WHEN l.id IS NOT NULL THEN l.text ELSE b.text END AS text,
+             CASE WHEN l.id IS NOT NULL THEN l.author ELSE b.author END AS author
+      FROM posts b FULL OUTER JOIN last l ON b.id = l.id"""
+    out["upsert_defaults"] = f"""WITH {P}, {C}, {changes}
+      SELECT coalesce(b.id, c.id) AS id, CASE WHEN c.id IS NOT NULL THEN c.score ELSE b.score END AS score,
+             CASE WHEN b.id IS NULL THEN false ELSE lang = 'en' END AS cleaned,
+             CASE WHEN b.id IS NULL THEN false ELSE lang <> 'en' END AS processed
+      FROM posts b FULL OUTER JOIN changes c ON b.id = c.id"""
+    out["csv_latest_items"] = (f"WITH {C} SELECT id, text, CASE WHEN score < 25 THEN score + 100 ELSE score END AS score FROM comments")
+    out["topic_files"] = (f"SELECT content_type, c.id, vader_sentiment, transformer_sentiment, agreement, p.source AS subreddit "
+                          f"FROM ({out['analyze_topic']}) c LEFT JOIN documents p "
+                          "ON content_type = 'submission' AND CAST(p.doc_id AS VARCHAR) = c.id")
     out["upsert_comments"] = f"""WITH {P}, {C} SELECT c.id, submission_id,
       CASE WHEN author = 'assistant' AND submission_id IN {english} THEN concat(text, ' [edited]') ELSE text END AS text,
       score + CAST(author = 'assistant' AND submission_id IN {english} AS BIGINT) AS score,

@@ -89,7 +89,7 @@ def time_filter_week(spark, d):
 
 def _sorted(sort):
     def run(spark, d):
-        p = se.sort_posts(v.posts(spark, d), sort, 100, RELEVANCE_WORDS)
+        p = se.sort_posts(v.posts(spark, d, replies=sort == "comments"), sort, 100, RELEVANCE_WORDS)
         w = Window.orderBy(F.col("sort_key").desc_nulls_last(), "id")
         key = F.round(F.col("sort_key"), 6).alias("sort_key") if sort == "hot" else F.col("sort_key")
         return p.withColumn("place", F.row_number().over(w)).select("place", "id", key)
@@ -108,6 +108,20 @@ def keyword_search_all(spark, d):
     return found.select("id", "title", "score", "subreddit", "created_utc")
 
 
+@query
+def search_defaults(spark, d):
+    """No options: the last week's hundred most relevant posts."""
+    found = se.keyword_search(v.posts(spark, d, v.texts), RELEVANCE_WORDS, as_of=v.POSTS_AS_OF)
+    return found.select("id", "subreddit", "created_utc")
+
+
+@query
+def keyword_search_every_match(spark, d):
+    """No limit, no time window: all matches in the named groups."""
+    found = se.keyword_search(v.posts(spark, d, v.texts), KEYWORDS, ["src0", "SRC0", "src3"], time_filter=None, limit=None)
+    return found.select("id", "subreddit")
+
+
 @query
 def keyword_search_quota(spark, d):
     found = se.keyword_search(v.posts(spark, d, v.texts), KEYWORDS, GROUPS, time_filter="week", sort="top",
@@ -134,9 +148,13 @@ def event_quotas(spark, d):
 
 @query
 def group_counts(spark, d):
-    p = v.posts(spark, d)
-    return p.groupBy("subreddit").agg(F.count(F.lit(1)).alias("available"),
-                                      F.least(F.count(F.lit(1)), F.lit(45)).alias("taken"))
+    """Rows there are and rows a budget takes, for each named group."""
+    counts = v.posts(spark, d).groupBy(F.lower("subreddit").alias("grp")).agg(F.count(F.lit(1)).alias("n"))
+    named = se.folded(GROUPS)
+    low = lambda given: {group.lower(): value for group, value in given.items()}
+    quotas = oq.quota_table(spark, named, low(WEIGHTS), low(LIMITS), BUDGET)
+    return oq.allocate_budget(counts, quotas, BUDGET).select(
+        F.col("grp").alias("subreddit"), F.col("n").alias("available"), F.col("take").alias("taken"))
 
 
 @query
@@ -181,7 +199,7 @@ def comment_depth(spark, d):
 
 @query
 def comments_topn_per_post(spark, d):
-    p = v.posts(spark, d).filter(F.col("num_comments") > 0)
+    p = v.posts(spark, d, replies=True).filter(F.col("num_comments") > 0)
     best = th.top_comments_per_post(v.comments(spark, d), p, 3)
     return best.select("submission_id", F.col("rank").cast("long").alias("rank"), "id", "depth", "text")
 
@@ -197,7 +215,7 @@ def post_comment_join(spark, d):
 
 @query
 def project_posts(spark, d):
-    raw = v.posts(spark, d).select(
+    raw = v.posts(spark, d, replies=True).select(
         "id", "title", F.col("text").alias("selftext"), "score",
         (F.lit(1704067200) + F.col("id").cast("long") * 60).alias("created_utc"),
         F.when(F.col("author") != "u5", F.col("author")).alias("author"),
@@ -232,10 +250,18 @@ _text_step("remove_emojis", cl.remove_emojis)
 _text_step("remove_hashtags", cl.remove_hashtags)
 _text_step("remove_mentions", cl.remove_mentions)
 _text_step("lowercase_text", F.lower)
-_text_step("nfkc_fullwidth", cl.fold_fullwidth)
 _text_step("collapse_whitespace", cl.collapse_whitespace)
 
 
+@query
+def nfkc_fullwidth(spark, d):
+    """The chain's own step, over full-width letters, ligatures, fractions and circled digits."""
+    docs = v.texts(spark, d, "documents")
+    texts = F.array(F.concat(noisy("text"), F.lit(v.FORMS)))
+    forms = docs.select("doc_id", texts.alias("t"), cl.nfkc_of(cl.nfkc_exposed(texts)).alias("n"))
+    return forms.select("doc_id", F.coalesce(F.get("n", F.lit(0)), F.get("t", F.lit(0))).alias("text"))
+
+
 @query
 def clean_text_full(spark, d):
     docs = v.texts(spark, d, "documents").select("doc_id", noisy("text").alias("text"))
@@ -296,6 +322,20 @@ def lemmatize_tokens(spark, d):
     return _with_contractions(spark, d).select("doc_id", tk.join_tokens(t).alias("lemmas"))
 
 
+def _words(spark, d):
+    """Words of all documents as they are written, so many occur in two spellings."""
+    w = v.texts(spark, d, "documents").select(F.explode(F.split("text", " ")).alias("w"))
+    return w.filter(F.length("w") >= 2).distinct()
+
+
+@query
+def lemmatize_table(spark, d):
+    """Lemmas from a table with an entry for every second word of the documents."""
+    w = _words(spark, d).filter((F.ascii("w") + F.length("w")) % 2 == 0)
+    lemmas = w.select(F.col("w").alias("token"), F.concat(F.substring("w", 1, 3), F.length("w").cast("string")).alias("lemma"))
+    return on.normalize(_with_contractions(spark, d), ["text"], lemmas=lemmas).select("doc_id", F.col("text_normalized").alias("lemmas"))
+
+
 @query
 def normalize_nolemma(spark, d):
     df = _with_contractions(spark, d)
@@ -322,6 +362,15 @@ def lexicon_score(spark, d):
     return scored.select("id", *rounded("score"))
 
 
+@query
+def lexicon_score_table(spark, d):
+    """Scores by a lexicon table with an entry for every second word of the documents."""
+    w = _words(spark, d).filter((F.ascii("w") + F.length("w")) % 2 == 1)
+    valence = ((F.ascii("w") * 7 + F.length("w")) % 9 - 4).cast("double") / 2
+    scored = orl.score_rules(toned(spark, d), {"score": "text"}, w.select(F.col("w").alias("token"), valence.alias("valence")))
+    return scored.select("id", *rounded("score"))
+
+
 @query
 def token_context(spark, d):
     c = v.comments(spark, d, v.texts)
@@ -578,7 +627,7 @@ def batch_id_format(spark, d):
 
 @query
 def post_by_id(spark, d):
-    return tables.by_id(v.posts(spark, d), "7").select(*POSTS_RAW.fieldNames())
+    return tables.by_id(v.posts(spark, d, replies=True), "7").select(*POSTS_RAW.fieldNames())
 
 
 def _label_changes(spark, d):
@@ -594,7 +643,7 @@ def _label_changes(spark, d):
 
 @query
 def upsert_posts(spark, d):
-    base = v.posts(spark, d).drop("lang")
+    base = v.posts(spark, d, replies=True).drop("lang")
     changed = up.upsert(base, _label_changes(spark, d), strategy="shuffle")
     return changed
 
@@ -613,6 +662,23 @@ def upsert_last_wins(spark, d):
     return up.upsert(base, turns, seq="turn")
 
 
+@query
+def upsert_duplicates(spark, d):
+    """A batch with many rows a key and no sequence: the greatest row is kept."""
+    base = v.posts(spark, d).select("id", "text", "author")
+    turns = v.table(spark, d, "conversations").select(
+        F.col("conv_id").cast("string").alias("id"), "text", F.col("role").alias("author"))
+    return up.upsert(base, turns)
+
+
+@query
+def upsert_defaults(spark, d):
+    """New rows take the defaults of the columns that the batch lacks."""
+    done = F.col("lang") == "en"
+    base = v.posts(spark, d).select("id", "score", done.alias("cleaned"), (~done).alias("processed"))
+    return up.upsert(base, _label_changes(spark, d))
+
+
 def _comment_edits(spark, d):
     return v.comments(spark, d).filter(F.col("author") == "assistant").select(
         "id", F.concat("text", F.lit(" [edited]")).alias("text"), "submission_id",
@@ -648,7 +714,7 @@ def store_batch_counts(spark, d):
 
 @query
 def ingest_counts(spark, d):
-    p, c = v.posts(spark, d, v.texts), v.comments(spark, d, v.texts)
+    p, c = v.posts(spark, d, v.texts, replies=True), v.comments(spark, d, v.texts)
     raw = p.select(*POSTS_RAW.fieldNames())
     stored_p = raw.withColumns({"processed": F.lit(False), "processed_at": F.lit(None).cast("timestamp")})
     stored_c = c.withColumns({"processed": F.lit(False), "processed_at": F.lit(None).cast("timestamp")})
@@ -685,7 +751,28 @@ def csv_roundtrip(spark, d):
     p = _csv_posts(spark, d)
     store = csvstore.CsvStore(spark, scratch_path(spark, "csv"))
     done = store.store_batch(p, "submission", "batch_1")
-    return store.retrieve_batch(store.batch_path("submission", done["batch_id"]), p.schema)
+    return store.retrieve_batch(done["path"], p.schema)
+
+
+@query
+def csv_latest_items(spark, d):
+    """Two versions of some items; the later one is read."""
+    c = v.comments(spark, d).select("id", "text", "score")
+    store = csvstore.CsvStore(spark, scratch_path(spark, "versions"))
+    store.store_items(c, "comment", "2024-02-01T00:00:00")
+    store.store_items(c.filter("score < 25").withColumn("score", F.col("score") + 100), "comment", "2024-02-02T00:00:00")
+    return store.latest_items("comment", c.schema).select("id", "text", "score")
+
+
+@query
+def topic_files(spark, d):
+    """The topic analysis written as JSON lines and CSV, and read from there."""
+    path = scratch_path(spark, "topic")
+    topic(spark, d).write(path)
+    rows = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(f"{path}/comparison")
+    posts = spark.read.json(f"{path}/submissions").select(F.lit("submission").alias("content_type"), "id", "subreddit")
+    return (rows.select("content_type", "id", "vader_sentiment", "transformer_sentiment", F.col("agreement").cast("boolean").alias("agreement"))
+            .join(posts, ["content_type", "id"], "left"))
 
 
 @query

@@ -29,7 +29,7 @@ def with_(*ctes: str) -> str:
 
 
 POSTS = f"""posts AS (
-  SELECT CAST(d.doc_id AS VARCHAR) AS id, left(d.text, 80) AS title, d.text AS text,
+  SELECT CAST(d.doc_id AS VARCHAR) AS id, concat('The great post ', CAST(d.doc_id % 7 AS VARCHAR), ' of ', d.source, ' in ', d.lang) AS title, d.text AS text,
          CAST(d.doc_id * 37 % 1001 AS BIGINT) AS score,
          TIMESTAMP '{views.START}' + d.doc_id * INTERVAL '1' MINUTE AS created_utc,
          concat('u', CAST(d.doc_id % 97 AS VARCHAR)) AS author,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadlens.scale import spread
@@ -24,6 +24,7 @@ STOPWORDS = ("the", "of", "and", "a", "in", "to", "no", "not", "only", "le", "de
 NOISE_HEAD = "See https://ex.org/a?b=1#frag "
 NOISE_TAIL = " #Tag_é @user1 ❤️ 🚀 Ａ"
 TONE = " It is NOT the very GOOD but never so bad! without doubt great, no joy?? I kinda like it :)"
+FORMS = " ﬁne ½ ① ＺＡ"
 CONTRACTIONS = " I don't know, it's what they'll say: we CAN'T."
 
 
@@ -41,16 +42,24 @@ def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(table(spark, sf_dir, name))
 
 
-def posts(spark: SparkSession, sf_dir: str, source=table) -> DataFrame:
+def minutes_after_start(minutes: str) -> Column:
+    return F.expr(f"cast(timestamp_seconds(unix_timestamp(timestamp'{START}') + 60L * ({minutes})) as timestamp_ntz)")
+
+
+def posts(spark: SparkSession, sf_dir: str, source=table, replies: bool = False) -> DataFrame:
+    """``num_comments`` is counted with ``replies`` only, as that takes a join; else it is zero."""
     documents = source(spark, sf_dir, "documents")
-    replies = (table(spark, sf_dir, "conversations").groupBy(F.col("conv_id").alias("doc_id"))
-               .agg(F.count(F.lit(1)).alias("n")))
-    start = F.expr(f"timestamp_ntz'{START}'")
-    return documents.join(replies, "doc_id", "left").select(
+    if replies:
+        counted = (table(spark, sf_dir, "conversations").groupBy(F.col("conv_id").alias("doc_id"))
+                   .agg(F.count(F.lit(1)).alias("n")))
+        documents = documents.join(counted, "doc_id", "left")
+    else:
+        documents = documents.withColumn("n", F.lit(None).cast("long"))
+    return documents.select(
         F.col("doc_id").cast("string").alias("id"),
-        F.substring("text", 1, 80).alias("title"), "text",
-        F.expr("doc_id * 37 % 1001").cast("long").alias("score"),
-        (start + F.expr("make_dt_interval(0, 0, cast(doc_id as int))")).alias("created_utc"),
+        F.concat(F.lit("The great post "), F.expr("doc_id % 7").cast("string"), F.lit(" of "), "source", F.lit(" in "), "lang").alias("title"),
+        "text", F.expr("doc_id * 37 % 1001").cast("long").alias("score"),
+        minutes_after_start("doc_id").alias("created_utc"),
         F.concat(F.lit("u"), F.expr("doc_id % 97").cast("string")).alias("author"),
         F.coalesce("n", F.lit(0)).cast("long").alias("num_comments"),
         F.concat(F.lit("https://ex.org/p/"), F.col("doc_id").cast("string")).alias("url"),
@@ -62,12 +71,11 @@ def comments(spark: SparkSession, sf_dir: str, source=table) -> DataFrame:
     turns = source(spark, sf_dir, "conversations")
     thread = F.col("conv_id").cast("string")
     parent = F.floor((F.col("turn") - 1) / 2).cast("string")
-    start = F.expr(f"timestamp_ntz'{START}'")
     return turns.select(
         F.concat(thread, F.lit("_"), F.col("turn").cast("string")).alias("id"),
         thread.alias("submission_id"), "text",
         (F.length("text") % 50).cast("long").alias("score"),
-        (start + F.expr("make_dt_interval(0, 0, cast(conv_id * 60 + turn as int))")).alias("created_utc"),
+        minutes_after_start("conv_id * 60 + turn").alias("created_utc"),
         F.col("role").alias("author"),
         F.when(F.col("turn") == 0, F.concat(F.lit("t3_"), thread))
          .otherwise(F.concat(F.lit("t1_"), thread, F.lit("_"), parent)).alias("parent_id"),

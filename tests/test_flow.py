@@ -49,7 +49,7 @@ def test_storage_columns(analysis, source):
 
 
 def test_nothing_found(source):
-    empty = analyze_topic(*source, keywords=[], groups=["src0"], make_scorer=views.letter_scorer)
+    empty = analyze_topic(*source, keywords=[], groups=["src0"], make_scorer=views.letter_scorer, lexicon=views.LEXICON)
     assert empty.metadata.first().error == "No submissions found" and empty.comparison().count() == 0
 
 

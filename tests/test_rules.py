@@ -77,24 +77,29 @@ def test_posts_weigh_title_and_text(spark):
 
 def test_normalised_text_is_preferred_where_present(spark):
     df = spark.createDataFrame([("1", "good", "bad")], "id string, text string, text_normalized string")
-    assert score_rules_batch(df, "comment", True, LEXICON).first().sentiment.sentiment == "negative"
-    assert score_rules_batch(df, "comment", False, LEXICON).first().sentiment.sentiment == "positive"
-    assert score_rules_batch(df.drop("text_normalized"), "comment", True, LEXICON).first().sentiment.sentiment == "positive"
+    assert score_rules_batch(df, "comment", True, lexicon=LEXICON).first().sentiment.sentiment == "negative"
+    assert score_rules_batch(df, "comment", False, lexicon=LEXICON).first().sentiment.sentiment == "positive"
+    assert score_rules_batch(df.drop("text_normalized"), "comment", True, lexicon=LEXICON).first().sentiment.sentiment == "positive"
     with pytest.raises(ValueError):
-        score_rules_batch(df, "post")
+        score_rules_batch(df, "post", lexicon=LEXICON)
 
 
-def test_table_inlined_and_joined_agree(spark, monkeypatch):
-    table = spark.createDataFrame(list(LEXICON.items()), "token string, valence double")
-    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(
-        ["Not a GOOD day, but great!", "bad bad", "none here", None, "no good or no bad"])], "id string, text string")
-    mapping = score_rules(df, {"s": "text"}, LEXICON).orderBy("id").collect()
-    assert score_rules(df, {"s": "text"}, table).orderBy("id").collect() == mapping
-    monkeypatch.setattr(scale, "INLINE_MAX_ENTRIES", 2)
-    assert score_rules(df, {"s": "text"}, table).orderBy("id").collect() == mapping
+def test_one_result_whatever_the_dictionary_size(spark, monkeypatch):
+    spelled = [*LEXICON.items(), ("Good", 0.1), ("GREAT", -3.0), ("bad", -9.0)]
+    table = spark.createDataFrame(spelled, "token string, valence double")
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(
+        ["Not a GOOD day, but great!", "bad bad", "none here", None, "no good or no bad"] * 2)] + [(None, "good"), (None, "bad")], "k int, text string")
+    rows = lambda d: sorted(map(str, d.collect()))
+    mapping = rows(score_rules(df, {"s": "text"}, {**LEXICON, "Good": 0.1, "GREAT": -3.0}))
+    sent = rows(score_rules(df, {"s": "text"}, table))
+    plain = scale.attach_dictionary
+    monkeypatch.setattr("threadlens.operators.rules.attach_dictionary", lambda *a: plain(*a, max_rows=2))
+    joined = rows(score_rules(df, {"s": "text"}, table))
+    assert mapping == sent == joined and "_hits" not in score_rules(df, {"s": "text"}, table).columns
+    assert rows(score_rules(df, {"s": "text"}, table.limit(0))) == rows(score_rules(df, {"s": "text"}, {}))
 
 
 def test_scoring_needs_no_shuffle(spark):
     df = spark.range(5).select(F.col("id").cast("string").alias("id"), F.lit("good").alias("text"))
-    plan = score_rules(df, {"s": "text"})._jdf.queryExecution().executedPlan().toString()
+    plan = score_rules(df, {"s": "text"}, LEXICON)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from threadlens import scale
@@ -8,15 +9,10 @@ def test_shared_folder_is_the_named_one(spark):
     assert scale.scratch_path(spark, "x") != scale.scratch_path(spark, "x")
 
 
-def test_a_local_folder_only_where_none_is_named():
+def test_without_a_shared_folder_there_is_an_error():
     class Context:
-        folder = None
-
         def getCheckpointDir(self):
-            return self.folder
-
-        def setCheckpointDir(self, folder):
-            self.folder = folder
+            return None
 
     class Conf:
         def get(self, key, default):
@@ -25,8 +21,17 @@ def test_a_local_folder_only_where_none_is_named():
     class Session:
         conf, sparkContext = Conf(), Context()
 
-    session = Session()
-    assert scale.shared_dir(session) == scale.shared_dir(session) == session.sparkContext.folder
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scale.shared_dir(Session())
+
+
+def test_measuring_collects_no_rows(spark, monkeypatch):
+    seen = []
+    plain = type(spark.range(1)).count
+    monkeypatch.setattr(type(spark.range(1)), "count", lambda self: seen.append(
+        self.groupBy().count()._jdf.queryExecution().executedPlan().toString()) or plain(self))
+    scale.broadcast_if_small(spark.range(100, numPartitions=7))
+    assert len(seen) == 1 and "Limit" not in seen[0] and "partial_count" in seen[0]
 
 
 def test_broadcast_follows_the_measured_size(spark):

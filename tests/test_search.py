@@ -50,13 +50,42 @@ def test_search_everything(posts):
 
 
 def test_defaults_are_week_hundred_relevance(posts):
-    found = se.keyword_search(posts, "climate change", limit=0, as_of=AS_OF).collect()
+    found = se.keyword_search(posts, "climate change", as_of=AS_OF).collect()
     recent = [r for r in local(posts) if int(r.id[1:]) <= 168]
     hits = lambda r: ("Climate" in r.title) + r.text.count("climate")
     want = sorted(recent, key=lambda r: (-hits(r), r.id))[:100]
     assert [r.id for r in found] == [r.id for r in want]
 
 
+def test_no_limit_means_all(posts):
+    every = se.keyword_search(posts, "climate change", time_filter=None, limit=None)
+    assert every.count() == len(local(posts)) > 100
+    own = se.keyword_search(posts, "climate change", ["tech", "ART"], time_filter=None, limit=None)
+    assert {r.id for r in own.collect()} == {r.id for r in local(posts) if r.subreddit in ("Tech", "Art")}
+    with pytest.raises(ValueError):
+        se.keyword_search(posts, "x", ["tech"], limit=None, limits={"tech": {"max": 3}})
+
+
+def test_two_spellings_are_one_group(posts):
+    args = dict(time_filter="all", sort="new", limit=20, as_of=AS_OF)
+    once = se.keyword_search(posts, "climate change", ["science"], weights={"Science": 2}, **args)
+    twice = se.keyword_search(posts, "climate change", ["SCIENCE", "science", "Science"], weights={"SCIENCE": 2}, **args)
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
+    assert se.keyword_search(posts, "climate change", [], **args).count() == 0
+
+
+def test_group_key_reaches_the_scan(spark, posts, tmp_path):
+    se.with_group_key(posts).write.parquet(str(tmp_path / "p"))
+    plan = se.in_groups(spark.read.parquet(str(tmp_path / "p")), ["TECH", "art"])._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters"):].split("]")[0]
+    assert "In(group_key, [art,tech" in pushed
+
+
+def test_spaces_inside_phrases(spark):
+    df = spark.createDataFrame([("climate\u00a0change",), ("climate \u2003 change",), ("climatechange",)], "t string")
+    assert [r[0] for r in df.select(kw.matches("climate change", F.col("t"))).collect()] == [True, True, False]
+
+
 def test_budget_over_groups(posts):
     args = dict(time_filter="all", sort="new", limit=30, as_of=AS_OF)
     rows = se.keyword_search(posts, "climate change", ["science", "tech", "art"],

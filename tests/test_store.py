@@ -27,6 +27,25 @@ def test_last_of_a_batch_wins(spark, base, strategy):
     assert got == {"a": ("x", 1), "b": (None, 2), "c": (None, 3), "n": ("new", None)}
 
 
+@pytest.mark.parametrize("strategy", up.STRATEGIES)
+def test_keys_stay_unique_without_a_sequence(spark, base, strategy):
+    incoming = spark.createDataFrame([("a", "1", 5), ("a", "2", None), ("n", None, 3), ("n", None, 4)], base.schema)
+    got = sorted(map(tuple, up.upsert(base, incoming, strategy=strategy).collect()))
+    assert got == [("a", "2", None), ("b", "y", 2), ("c", None, 3), ("n", None, 4)]
+
+
+def test_too_large_for_a_broadcast(spark, base):
+    with pytest.raises(ValueError, match="too large"):
+        up.upsert(base, base, strategy="broadcast", max_bytes=1)
+
+
+@pytest.mark.parametrize("strategy", up.STRATEGIES)
+def test_defaults_of_new_rows(spark, strategy):
+    base = spark.createDataFrame([("a", 1, True, None)], "id string, score int, cleaned boolean, processed boolean")
+    incoming = spark.createDataFrame([("a", 2), ("b", 3)], "id string, score int")
+    assert sorted(map(tuple, up.upsert(base, incoming, strategy=strategy).collect())) == [("a", 2, True, None), ("b", 3, False, False)]
+
+
 def test_upsert_is_idempotent(spark, base):
     incoming = spark.createDataFrame([("b", "z"), ("d", "w")], "id string, text string")
     once = up.upsert(base, incoming)
@@ -88,8 +107,10 @@ def test_batch_round_trip(spark, tmp_path, compress):
     df = spark.createDataFrame(NASTY, ITEMS).withColumn("created_utc", F.lit("2024-01-02 03:04:05.678901").cast("timestamp"))
     store = csvstore.CsvStore(spark, str(tmp_path), compress)
     done = store.store_batch(df, "submission", "b1")
-    assert done == {"success": 7, "failure": 0, "batch_id": "b1"}
-    back = store.retrieve_batch(store.batch_path("submission", "b1"), df.schema)
+    assert (done["success"], done["failure"], done["batch_id"]) == (7, 0, "b1")
+    again = store.store_batch(df.limit(1), "submission", "b1")
+    back = store.retrieve_batch(done["path"], df.schema)        # the earlier write stays
+    assert again["path"] != done["path"] and again["path"].startswith(store.batch_path("submission", "b1"))
     assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
     assert bool(list((tmp_path / "submissions_csv").rglob("*.csv.gz"))) == compress
 
@@ -101,10 +122,10 @@ def test_empty_batch_has_no_id(spark, tmp_path):
         store.store_batch(spark.createDataFrame([], ITEMS), "page")
 
 
-def test_failed_batch_counts_every_row(spark, tmp_path):
+def test_failed_batch_tells_why(spark, tmp_path):
     (tmp_path / "submissions_csv").write_text("a file, not a folder")
     done = csvstore.CsvStore(spark, str(tmp_path)).store_batch(spark.createDataFrame(NASTY, ITEMS), "submission", "b")
-    assert done == {"success": 0, "failure": 7, "batch_id": "b"}
+    assert (done["success"], done["failure"], done["batch_id"]) == (0, None, "b") and done["error"]
 
 
 def test_items_by_folder(spark, tmp_path):
@@ -120,6 +141,8 @@ def test_items_by_folder(spark, tmp_path):
     newer = spark.createDataFrame([("ab12", "second", 7)], ITEMS)
     store.store_items(newer, "comment", "2024-03-01T00:00:00")
     assert store.retrieve_item("ab12", "comment", df.schema).first().text == "second"
+    latest = {r.id: r.text for r in store.latest_items("comment", df.schema).collect()}
+    assert latest == {**{item_id: text for item_id, text, _ in NASTY}, "ab12": "second"}
 
 
 def test_iso_times(spark):

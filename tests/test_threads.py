@@ -42,10 +42,31 @@ def test_depth_of_every_comment(spark, data):
 def test_orphans_and_cycles_have_no_depth(spark):
     rows = [("a", "p", "t3_p"), ("b", "p", "t1_gone"), ("c", "p", "t1_b"), ("x", "p", "t1_y"), ("y", "p", "t1_x")]
     df = spark.createDataFrame(rows, "id string, submission_id string, parent_id string")
-    assert {r.id: r.depth for r in th.comment_depth(df, max_rounds=4).collect()} == {
+    assert {r.id: r.depth for r in th.comment_depth(df).collect()} == {
         "a": 0, "b": None, "c": None, "x": None, "y": None}
 
 
+@pytest.mark.parametrize("length", [2, 3, 5, 8])
+def test_circles_end(spark, length):
+    rows = [(f"x{i}", "p", f"t1_x{(i + 1) % length}") for i in range(length)] + [
+        ("y", "p", "t1_x0"), ("a", "p", "t3_p"), *((f"b{i}", "p", f"t1_b{i - 1}" if i else "t1_a") for i in range(20))]
+    df = spark.createDataFrame(rows, "id string, submission_id string, parent_id string")
+    got = {r.id: r.depth for r in th.comment_depth(df).collect()}
+    assert got == {**{f"x{i}": None for i in range(length)}, "y": None, "a": 0, **{f"b{i}": i + 1 for i in range(20)}}
+
+
+def test_the_source_is_read_once(spark, data, tmp_path):
+    reads = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for batch in batches:
+            reads.add(len(batch))
+            yield batch
+
+    df = data[0].select("id", "submission_id", "parent_id").coalesce(1).mapInPandas(look, "id string, submission_id string, parent_id string")
+    assert th.comment_depth(df).count() == reads.value == len(data[1])
+
+
 def test_first_comments_per_post(spark, data):
     comments, rows, depth = data
     posts = spark.createDataFrame([("p0",), ("p1",), ("p9",)], "id string")

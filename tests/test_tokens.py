@@ -43,13 +43,14 @@ def test_kept_stopwords_are_not_lemmatised(spark):
     assert row.text_normalized == "NOT cat"
 
 
-def test_dictionary_table_inlined_and_joined_agree(spark, monkeypatch):
-    lemmas = spark.createDataFrame([("cats", "cat", "NOUN"), ("paris", "pari", "PROPN"), ("7", "seven", "NUM")],
+def test_one_result_whatever_the_lemma_table_size(spark, monkeypatch):
+    lemmas = spark.createDataFrame([("cats", "cat", "NOUN"), ("Cats", "CAT", "NOUN"), ("paris", "pari", "PROPN"), ("7", "seven", "NUM")],
                                    "token string, lemma string, pos string")
-    df = spark.createDataFrame([("1", "Cats in Paris 7"), ("2", "nothing here"), ("3", None)], "id string, text string")
-    inlined = normalize(df, ["text"], lemmas=lemmas).orderBy("id").collect()
-    monkeypatch.setattr(scale, "INLINE_MAX_ENTRIES", 1)
+    df = spark.createDataFrame([("1", "Cats in Paris 7"), ("2", "nothing here"), (None, None), (None, "cats")], "k string, text string")
+    rows = lambda d: sorted(r.text_normalized for r in d.collect())
+    want = ["", "cat", "cat in Paris 7", "nothing here"]
+    assert rows(normalize(df, ["text"], lemmas=lemmas)) == want
+    plain = scale.attach_dictionary
+    monkeypatch.setattr("threadlens.operators.normalize.attach_dictionary", lambda *a: plain(*a, max_rows=1))
     joined = normalize(df, ["text"], lemmas=lemmas)
-    assert "_hits" not in joined.columns
-    assert [r.text_normalized for r in joined.orderBy("id").collect()] == ["cat in Paris 7", "nothing here", ""]
-    assert [r.text_normalized for r in inlined] == ["cat in Paris 7", "nothing here", ""]
+    assert "_hits" not in joined.columns and rows(joined) == want

@@ -94,8 +94,10 @@ def _code_point(number: Column) -> Column:
 
 def _decode_piece(piece: Column) -> Column:
     body = F.translate(piece, "&#;", "")
-    hexadecimal = F.when(F.length(body) <= 9, F.conv(F.substring(body, 2, 8), 16, 10).cast("long"))
-    decimal = F.when(F.length(body) <= 9, body.cast("long"))
+    digits = F.ltrim(F.ltrim(body, F.lit("xX")), F.lit("0"))
+    # Leading zeros do not count; more digits than these are beyond the last code point.
+    hexadecimal = F.when(F.length(digits) <= 8, F.coalesce(F.conv(digits, 16, 10).cast("long"), F.lit(0)))
+    decimal = F.when(F.length(digits) <= 9, F.when(digits == "", F.lit(0)).otherwise(digits.try_cast("long")))
     return (F.when(~piece.startswith("&") | (piece == "&"), piece)
              .when(piece.rlike("^&#[xX]"), _code_point(hexadecimal))
              .when(piece.startswith("&#"), _code_point(decimal))
@@ -197,12 +199,6 @@ def nfkc_of(exposed: Column) -> Column:
     return F.pandas_udf(normalize, "array<string>")(exposed)
 
 
-def fold_fullwidth(text: Column) -> Column:
-    """The full-width ASCII forms only, without leaving the JVM."""
-    return F.translate(text, "".join(map(chr, range(0xFF01, 0xFF5F))),
-                       "".join(map(chr, range(0x21, 0x7F))))
-
-
 @dataclass(frozen=True)
 class CleanOptions:
     remove_html: bool = True

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from threadlens.functions.cleaning import WORD
+from threadlens.functions.cleaning import SPACE, WORD
 from threadlens.scale import let
 
 
@@ -25,7 +25,7 @@ def _phrases(keywords: str | Sequence[str]) -> list[list[str]]:
 
 def keyword_pattern(keywords: str | Sequence[str]) -> str | None:
     """One pattern for all keywords, for lower-cased text: phrases at word edges."""
-    phrases = [r"\s+".join(map(re.escape, words)) for words in _phrases(keywords)]
+    phrases = [rf"{SPACE}+".join(map(re.escape, words)) for words in _phrases(keywords)]
     return rf"(?<!{WORD})(?:{'|'.join(phrases)})(?!{WORD})" if phrases else None
 
 

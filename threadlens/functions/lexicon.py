@@ -55,32 +55,6 @@ NEGATIONS = (
     "werent", "without", "wont", "wouldnt",
 )
 
-# A small starter lexicon of our own; load a published one for real use.
-STARTER_LEXICON = {
-    "amazing": 2.8, "awesome": 3.1, "beautiful": 2.7, "best": 3.1, "better": 1.9,
-    "brilliant": 2.8, "charming": 2.6, "clean": 1.3, "cool": 1.4, "delight": 2.9,
-    "enjoy": 2.2, "enjoyed": 2.2, "excellent": 2.9, "excited": 1.8, "fair": 1.2,
-    "fantastic": 2.7, "favorite": 2.1, "fine": 0.9, "friendly": 2.2, "fun": 2.3,
-    "glad": 2.1, "good": 1.8, "grateful": 2.1, "great": 3.0, "happy": 2.7,
-    "helpful": 1.9, "honest": 2.2, "hope": 1.8, "impressed": 2.0, "improve": 1.8,
-    "interesting": 1.6, "joy": 2.9, "kind": 2.3, "like": 1.4, "love": 3.1,
-    "loved": 2.9, "nice": 1.8, "perfect": 2.8, "pleasant": 2.2, "positive": 2.4,
-    "pretty": 2.1, "proud": 2.0, "reliable": 1.9, "safe": 1.8, "smart": 1.8,
-    "strong": 2.1, "success": 2.6, "thanks": 1.9, "useful": 1.8, "win": 2.7,
-    "wonderful": 2.6, "abuse": -3.1, "afraid": -2.1, "angry": -2.2, "annoying": -1.8,
-    "awful": -2.1, "bad": -2.4, "boring": -1.4, "broken": -1.9, "cheat": -2.1,
-    "cruel": -2.7, "damage": -2.0, "danger": -2.3, "dead": -3.2, "disappointed": -2.0,
-    "disaster": -3.0, "dislike": -1.7, "error": -1.6, "evil": -3.3, "fail": -2.4,
-    "failure": -2.3, "fake": -2.0, "fear": -2.2, "fraud": -2.7, "hate": -2.8,
-    "harm": -2.4, "horrible": -2.6, "hurt": -2.3, "ignorant": -1.8, "lie": -1.7,
-    "lose": -1.8, "lost": -1.4, "mad": -2.1, "mess": -1.6, "no": -1.2, "pain": -2.2,
-    "poor": -2.0, "problem": -1.7, "sad": -2.2, "scam": -2.6, "scared": -1.9,
-    "sick": -1.9, "skeptical": -1.2, "slow": -0.9, "stupid": -2.3, "terrible": -2.3,
-    "threat": -2.3, "ugly": -2.2, "unfair": -2.0, "useless": -1.9, "war": -2.8,
-    "waste": -1.8, "weak": -1.8, "worse": -2.2, "worst": -3.0, "worthless": -2.1,
-    "wrong": -2.1, ":)": 2.0, ":(": -1.9, ":d": 2.3, ":/": -1.3, "<3": 1.9, "lol": 2.1,
-}
-
 
 def rule_tokens(text: Column) -> Column:
     """White-space words without outer punctuation; a word that would be left with

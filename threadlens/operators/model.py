@@ -59,10 +59,10 @@ def logits_of(texts: Column, make_scorer: ScorerFactory, batch_size: int = 8) ->
 
 def score_model(df: DataFrame, columns: Mapping[str, str] | Sequence[str],
                 make_scorer: ScorerFactory, labels: Sequence[str] = LABELS, batch_size: int = 8,
-                max_length: int | None = 512) -> DataFrame:
+                max_length: int | None = None) -> DataFrame:
     """Add one score struct per text column (``{output: input}`` or a list, which
-    adds ``<input>_sentiment``). ``max_length`` is the model's input limit in
-    words; None sends whole texts."""
+    adds ``<input>_sentiment``). Whole texts are
+    sent unless the caller names ``max_length``, a limit in words."""
     if not isinstance(columns, Mapping):
         columns = {f"{name}_sentiment": name for name in columns}
     texts = [empty_if_null(F.col(name)) for name in columns.values()]
@@ -76,7 +76,7 @@ def score_model(df: DataFrame, columns: Mapping[str, str] | Sequence[str],
 
 def score_model_batch(df: DataFrame, item_type: str, make_scorer: ScorerFactory,
                       use_normalized: bool = True, labels: Sequence[str] = LABELS,
-                      batch_size: int = 8, max_length: int | None = 512, model_name: str = "model",
+                      batch_size: int = 8, max_length: int | None = None, model_name: str = "model",
                       run_ts=None, prefix: str = "") -> DataFrame:
     """Score posts (title, text and their weighted whole) or comments (text)."""
     names = TEXT_COLUMNS[check_item_type(item_type)]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from threadlens.functions import tokens as tk
 from threadlens.functions.cleaning import empty_if_null
-from threadlens.scale import attach_hits, inline_lookup, map_columns, small_mapping
+from threadlens.scale import attach_dictionary, inline_lookup, map_columns, settled_entries
 from threadlens.schemas import TEXT_COLUMNS, check_item_type
 
 LEMMA_MODES = ("dictionary", "lower", "none")
@@ -18,13 +18,13 @@ LEMMA_MODES = ("dictionary", "lower", "none")
 def normalize(df: DataFrame, columns: Sequence[str], lemma: str = "dictionary",
               lemmas: Mapping[str, str] | DataFrame | None = None,
               stopwords: Iterable[str] | None = None,
-              keep_important_stopwords: bool = True, split_contractions: bool = True,
-              row_id: str = "id") -> DataFrame:
+              keep_important_stopwords: bool = True, split_contractions: bool = True) -> DataFrame:
     """Add ``<column>_normalized`` and ``<column>_original``.
 
     ``stopwords=None`` keeps every word. ``lemmas`` is a mapping or a table
-    ``(token, lemma[, pos])``; proper nouns in the table stay as written. A small
-    dictionary is inlined and needs no shuffle, a large table is joined.
+    ``(token, lemma[, pos])``; proper nouns in the table stay as written. Case does not
+    matter; of several lemmas of a token the greatest counts, and staying as written
+    gives way to any. No row moves unless the table is too large for the tasks.
     """
     if lemma not in LEMMA_MODES:
         raise ValueError(f"lemma must be one of {LEMMA_MODES}")
@@ -43,15 +43,12 @@ def normalize(df: DataFrame, columns: Sequence[str], lemma: str = "dictionary",
         numeric = F.col("token").rlike(r"^\p{N}+$")
         table = table.select(F.lower("token").alias("token"), "lemma").filter(
             F.col("lemma").isNotNull() & ~numeric)
-        entries = small_mapping(table, "token", "lemma")
 
-    scratch: list[str] = []
     if entries is None:
-        lower_words = {name: F.transform(words_of(F.col(name)), F.lower) for name in columns}
-        df = attach_hits(df, lower_words, table.dropDuplicates(["token"]), "token", "lemma", row_id)
-        scratch.append("_hits")
-        lookup = lambda token: F.try_element_at(F.col("_hits"), token)
+        words = [F.transform(words_of(F.col(name)), F.lower) for name in columns]
+        df, lookup = attach_dictionary(df, words, table, "token", "lemma")
     elif entries:
+        entries = settled_entries(entries)
         lookup = inline_lookup(entries, "string")
     else:
         lookup = lambda token: F.lit(None).cast("string")
@@ -66,7 +63,7 @@ def normalize(df: DataFrame, columns: Sequence[str], lemma: str = "dictionary",
             words = tk.lemmatize(words, lookup, stop, keep, keeps_some)
         return tk.join_tokens(words)
 
-    df = map_columns(df, {f"{name}_normalized": name for name in columns}, normalized).drop(*scratch)
+    df = map_columns(df, {f"{name}_normalized": name for name in columns}, normalized).drop("_hits")
     return df.withColumns({f"{name}_original": F.col(name) for name in columns})
 
 

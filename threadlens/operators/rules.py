@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from threadlens.functions import lexicon as lx
 from threadlens.functions.cleaning import empty_if_null
 from threadlens.functions.dates import run_stamp
-from threadlens.scale import attach_hits, inline_lookup, map_columns, small_mapping
+from threadlens.scale import attach_dictionary, inline_lookup, map_columns, settled_entries
 from threadlens.schemas import TEXT_COLUMNS, check_item_type
 
 
@@ -28,39 +28,28 @@ def analysis_metadata(method: str, used_normalized: bool, run_ts=None,
 
 
 def score_rules(df: DataFrame, columns: Mapping[str, str] | Sequence[str],
-                lexicon: Mapping[str, float] | DataFrame | None = None,
-                threshold: float = lx.THRESHOLD, row_id: str = "id") -> DataFrame:
+                lexicon: Mapping[str, float] | DataFrame,
+                threshold: float = lx.THRESHOLD) -> DataFrame:
     """Add one score struct per text column (``{output: input}`` or a list, which
     adds ``<input>_sentiment``).
 
-    ``lexicon`` is a mapping or a table ``(token, valence)``. A mapping or a small
-    table is inlined, so scoring is a plain projection; a large table is joined.
+    ``lexicon`` is a mapping, for a short list, or a table ``(token, valence)`` of any
+    size. Case does not matter; of several valences of a token the greatest counts.
+    Scoring is a plain projection unless the table is too large to be sent to the tasks.
     """
     if not isinstance(columns, Mapping):
         columns = {f"{name}_sentiment": name for name in columns}
-    if lexicon is None:
-        lexicon = lx.STARTER_LEXICON
-    scratch: list[str] = []
     if isinstance(lexicon, DataFrame):
-        table = lexicon.select(F.lower("token").alias("token"),
-                               F.col("valence").cast("double").alias("valence"))
-        entries = small_mapping(table, "token", "valence")
+        table = lexicon.select(F.lower("token").alias("token"), F.col("valence").cast("double").alias("valence"))
+        words = [F.transform(lx.rule_tokens(empty_if_null(F.col(name))), F.lower) for name in columns.values()]
+        df, lookup = attach_dictionary(df, words, table, "token", "valence")
     else:
-        entries = {token.lower(): float(v) for token, v in lexicon.items()}
-    if entries is None:
-        words = {out: F.transform(lx.rule_tokens(empty_if_null(F.col(name))), F.lower)
-                 for out, name in columns.items()}
-        df = attach_hits(df, words, table.groupBy("token").agg(F.max("valence").alias("valence")),
-                         "token", "valence", row_id)
-        scratch.append("_hits")
-        lookup = lambda token: F.try_element_at(F.col("_hits"), token)
-    else:
-        lookup = inline_lookup(entries, "double")
-    return map_columns(df, columns, lambda t: lx.rule_score(t, lookup, threshold)).drop(*scratch)
+        lookup = inline_lookup(settled_entries({t: float(v) for t, v in lexicon.items()}), "double")
+    return map_columns(df, columns, lambda t: lx.rule_score(t, lookup, threshold)).drop("_hits")
 
 
 def score_rules_batch(df: DataFrame, item_type: str = "submission", use_normalized: bool = True,
-                      lexicon: Mapping[str, float] | DataFrame | None = None,
+                      *, lexicon: Mapping[str, float] | DataFrame,
                       threshold: float = lx.THRESHOLD, run_ts=None, prefix: str = "") -> DataFrame:
     """Score posts (title, text and their weighted whole) or comments (text).
 

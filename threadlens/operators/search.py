@@ -19,13 +19,29 @@ DEFAULT_SORT = "relevance"
 SORT_MODES = ("relevance", "hot", "top", "new", "comments")
 
 
+# A stored column with the group in lower case; a filter on it reaches the scan.
+GROUP_KEY = "group_key"
+
+
+def with_group_key(posts: DataFrame, group_col: str = "subreddit") -> DataFrame:
+    """Add the column that group filters push down; write posts sorted or partitioned by it."""
+    return posts.withColumn(GROUP_KEY, F.lower(group_col))
+
+
+def folded(groups: str | Sequence[str]) -> list[str]:
+    """Group names in lower case, each once."""
+    return list(dict.fromkeys(group.lower() for group in as_list(groups)))
+
+
 def in_groups(posts: DataFrame, groups: str | Sequence[str] | None,
               group_col: str = "subreddit") -> DataFrame:
-    """Posts of the named groups, whatever their case; None means all."""
+    """Posts of the named groups, whatever their case. None means all groups; an empty
+    list names none and finds nothing."""
     if groups is None:
         return posts
-    named = sorted({g.lower() for g in as_list(groups)})
-    return posts.filter(F.lower(group_col).isin(named)) if named else posts.filter(F.lit(False))
+    named = sorted(folded(groups))
+    group = F.col(GROUP_KEY) if GROUP_KEY in posts.columns else F.lower(group_col)
+    return posts.filter(group.isin(named)) if named else posts.filter(F.lit(False))
 
 
 def in_window(posts: DataFrame, time_filter: str, as_of: datetime | str | None = None) -> DataFrame:
@@ -64,24 +80,29 @@ def sort_posts(posts: DataFrame, sort: str, limit: int | None = None,
 
 
 def found_posts(posts: DataFrame, keywords: str | Sequence[str],
-                groups: str | Sequence[str] | None = None, time_filter: str = "all",
+                groups: str | Sequence[str] | None = None, time_filter: str | None = "all",
                 as_of: datetime | str | None = None, group_col: str = "subreddit") -> DataFrame:
-    """All matching posts, without order or limit. Scope and time come first: they
-    are cheap and can reach the scan, the text match cannot."""
-    scoped = in_window(in_groups(posts, groups, group_col), time_filter, as_of)
+    """All matching posts, without order or limit. Time, and groups where the table has
+    a ``group_key``, reach the scan; the text match cannot. No time filter means all."""
+    scoped = in_groups(posts, groups, group_col)
+    if time_filter is not None:
+        scoped = in_window(scoped, time_filter, as_of)
     return scoped.filter(matches(keywords, F.col("title"), F.col("text")))
 
 
 def keyword_search(posts: DataFrame, keywords: str | Sequence[str],
                    groups: str | Sequence[str] | None = None, search_all: bool = False,
-                   time_filter: str | None = None, limit: int | None = None,
-                   sort: str | None = None, weights: Mapping[str, float] | None = None,
+                   time_filter: str | None = DEFAULT_TIME_FILTER, limit: int | None = DEFAULT_LIMIT,
+                   sort: str = DEFAULT_SORT, weights: Mapping[str, float] | None = None,
                    limits: Mapping[str, Mapping[str, int | None]] | None = None,
                    as_of: datetime | str | None = None, group_col: str = "subreddit",
                    strict: bool = False) -> DataFrame:
     """Search one group, several with a weighted budget, or everything.
 
-    Without groups, or with ``search_all``, the best ``limit`` posts come back. With
+    ``time_filter=None`` means any time, ``limit=None`` all matches; those come without
+    order and, with groups, with NULL in ``rank`` and ``phase``, and take no limits of
+    groups. Names, weights and limits of groups count in any case; of two spellings the
+    last one's weight and limits hold. Without groups, or with ``search_all``, the best ``limit`` posts come back. With
     groups, ``limit`` is their common budget; ``phase`` tells minimum rows (0) from
     weighted ones (1) and ``rank`` is the place within the group. ``strict`` cuts
     the result at ``limit`` where minimums or rounding exceed it.
@@ -90,17 +111,22 @@ def keyword_search(posts: DataFrame, keywords: str | Sequence[str],
     is left is at most about ``limit`` rows; it is checkpointed, so counting it for
     the budget does not read the table again.
     """
-    time_filter = time_filter or DEFAULT_TIME_FILTER
-    limit = limit or DEFAULT_LIMIT
-    sort = sort or DEFAULT_SORT
+    if sort not in SORT_MODES:
+        raise ValueError(f"sort must be one of {SORT_MODES}")
     if search_all or groups is None:
         hits = found_posts(posts, keywords, None, time_filter, as_of, group_col)
-        return sort_posts(hits, sort, limit, keywords).drop("sort_key")
+        return hits if limit is None else sort_posts(hits, sort, limit, keywords).drop("sort_key")
 
-    named = list(dict.fromkeys(as_list(groups)))
+    named = folded(groups)
     hits = found_posts(posts, keywords, named, time_filter, as_of, group_col)
+    weights = None if weights is None else {group.lower(): w for group, w in weights.items()}
+    limits = None if limits is None else {group.lower(): bounds for group, bounds in limits.items()}
+    if limit is None:
+        if limits:
+            raise ValueError("limits of groups need a common limit")
+        none = F.lit(None).cast("int")
+        return hits.withColumns({"rank": none, "phase": none})
     quotas = initial_limits(quota_table(posts.sparkSession, named, weights, limits, limit), limit)
-    quotas = quotas.withColumn("grp", F.lower("grp"))
     bounds = quotas.select("grp", "initial")
     widest = max(bounds.agg(F.max("initial")).first()[0] or 0, 0)
     keyed = (hits.withColumn("grp", F.lower(group_col))

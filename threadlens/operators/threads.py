@@ -9,40 +9,42 @@ from pyspark.sql import functions as F
 
 from threadlens.scale import broadcast_if_small, cut_lineage, top_n_per_group
 
-MAX_ROUNDS = 40
-
-
 def breadth_first() -> list[Column]:
     """Level by level, older comments first; comments off the tree come last."""
     return [F.col("depth").asc_nulls_last(), F.col("created_utc").asc(), F.col("id").asc()]
 
 
-def comment_depth(comments: DataFrame, carry: Sequence[str] = (),
-                  max_rounds: int = MAX_ROUNDS) -> DataFrame:
+def comment_depth(comments: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """``(id, depth)`` of every comment; top-level comments have depth 0.
 
     Each round lets every open pointer jump to where its target points, so the
-    number of joins grows with the logarithm of the tree depth. Only ids and the
-    columns to ``carry`` travel. A round checkpoints the comments it moved, since the
-    next one reads them twice; settled ones are not joined or written again.
-    Comments whose ancestors are missing get a NULL depth. The left side of the join
-    holds the hot keys (a comment with very many replies): adaptive execution may
-    split that side.
+    number of joins grows with the logarithm of the tree depth. The source is read
+    once: ids, pointers and the columns to ``carry`` are checkpointed, and so are the
+    comments that a round moved. Only open pointers are joined, with the comments they
+    point to. Comments whose ancestors are missing, or that answer each other in a
+    circle, get a NULL depth: a pointer that has jumped over as many comments as there
+    are can only be in a circle. The left side of the join holds the hot keys (a comment
+    with very many replies): adaptive execution may split that side.
     """
     top_level = F.col("parent_id").startswith("t3_")
-    edges = comments.select("id", *carry, F.when(~top_level, F.expr("substring(parent_id, 4)")).alias("up"),
-                            F.when(top_level, 0).otherwise(1).alias("hops"))
+    edges = cut_lineage(comments.select(
+        "id", *carry, F.when(~top_level, F.expr("substring(parent_id, 4)")).alias("up"),
+        F.when(top_level, 0).otherwise(1).cast("long").alias("hops")))
+    total = edges.count()
     settled, active = edges.filter("up is null"), edges.filter("up is not null")
-    for _ in range(max_rounds):
-        target = settled.unionByName(active).select(
-            F.col("id").alias("up"), F.col("up").alias("next"), F.col("hops").alias("more"))
-        moved = cut_lineage(active.join(target, "up", "left").select(
-            "id", *carry, F.col("next").alias("up"), (F.col("hops") + F.col("more")).alias("hops")))
+    while not active.isEmpty():
+        wanted = broadcast_if_small(active.select(F.col("up").alias("id")).distinct())
+        target = (settled.unionByName(active).join(wanted, "id", "left_semi")
+                  .groupBy("id").agg(F.first(F.struct("up", "hops")).alias("at"))
+                  .select(F.col("id").alias("up"), F.col("at.up").alias("next"), F.col("at.hops").alias("more")))
+        moved = active.join(target, "up", "left").select(
+            "id", *carry, F.col("next").alias("up"), (F.col("hops") + F.col("more")).alias("hops"))
+        circle = (F.col("up") == F.col("id")) | (F.col("hops") >= total)
+        moved = cut_lineage(moved.withColumns({
+            "up": F.when(circle, F.lit(None)).otherwise(F.col("up")),
+            "hops": F.when(circle & F.col("up").isNotNull(), F.lit(None)).otherwise(F.col("hops"))}))
         settled, active = settled.unionByName(moved.filter("up is null")), moved.filter("up is not null")
-        if active.isEmpty():
-            break
-    lost = active.withColumn("hops", F.lit(None).cast("int"))
-    return settled.unionByName(lost).select("id", *carry, F.col("hops").alias("depth"))
+    return settled.select("id", *carry, F.col("hops").cast("int").alias("depth"))
 
 
 def comments_of_post(comments: DataFrame, post_id: str, limit: int | None = None) -> DataFrame:
@@ -69,10 +71,10 @@ def top_comments_per_post(comments: DataFrame, posts: DataFrame, n: int | None)
     own = comments.join(wanted, "submission_id", "left_semi")
     placed = comment_depth(own, carry=("submission_id", "created_utc"))
     if n is None:
-        return comments.join(placed.select("id", "depth"), "id")
+        return own.join(placed.select("id", "depth"), "id")
     best = top_n_per_group(placed, ["submission_id"], breadth_first(), n)
     winners = cut_lineage(best.select("id", "depth", "rank"))
-    return comments.join(broadcast_if_small(winners), "id")
+    return own.join(broadcast_if_small(winners), "id")
 
 
 def with_posts(posts: DataFrame, comments: DataFrame, how: str = "inner") -> DataFrame:

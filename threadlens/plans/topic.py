@@ -16,15 +16,15 @@ from threadlens.operators.compare import agreement_summary, compare_scored, disa
 from threadlens.operators.model import ScorerFactory, score_model_batch
 from threadlens.operators.normalize import normalize_batch
 from threadlens.operators.rules import score_rules_batch
-from threadlens.operators.search import keyword_search
+from threadlens.operators.search import DEFAULT_LIMIT, DEFAULT_SORT, DEFAULT_TIME_FILTER, keyword_search
 from threadlens.operators.threads import top_comments_per_post
 from threadlens.sources.tables import scores_as_json
 
 
 def score_items(items: DataFrame, item_type: str, make_scorer: ScorerFactory,
-                lexicon: Mapping[str, float] | DataFrame | None = None,
+                *, lexicon: Mapping[str, float] | DataFrame,
                 clean_options: CleanOptions = CleanOptions(), normalize_options: dict | None = None,
-                max_length: int | None = 512, batch_size: int = 8, model_name: str = "model",
+                max_length: int | None = None, batch_size: int = 8, model_name: str = "model",
                 run_ts=None) -> DataFrame:
     """Clean, normalise and score rows with both methods in one pass.
 
@@ -86,11 +86,15 @@ class TopicAnalysis:
 
 def analyze_topic(posts: DataFrame, comments: DataFrame | None, keywords: str | Sequence[str],
                   groups: str | Sequence[str] | None, make_scorer: ScorerFactory,
-                  limit: int | None = 100, include_comments: bool = True,
-                  comment_limit: int | None = 50, time_filter: str | None = None,
-                  sort: str | None = None, as_of=None, run_ts=None, search_options: dict | None = None,
+                  limit: int | None = DEFAULT_LIMIT, include_comments: bool = True,
+                  comment_limit: int | None = 50, time_filter: str | None = DEFAULT_TIME_FILTER,
+                  sort: str = DEFAULT_SORT, as_of=None, run_ts=None, search_options: dict | None = None,
                   **scoring) -> TopicAnalysis:
-    """Search posts on a topic and score them, and their first comments, both ways."""
+    """Search posts on a topic and score them, and their first comments, both ways.
+
+    ``limit``, ``comment_limit`` and ``time_filter`` are off when None. ``scoring`` goes to
+    ``score_items`` and has to bring a ``lexicon``.
+    """
     found = keyword_search(posts, keywords, groups, time_filter=time_filter, limit=limit,
                            sort=sort, as_of=as_of, **(search_options or {}))
     scored = score_items(found, "submission", make_scorer, run_ts=run_ts, **scoring)

@@ -4,7 +4,6 @@ top-n, dictionary lookups without a shuffle, and lineage cuts in shared storage.
 from __future__ import annotations
 
 import json
-import tempfile
 import uuid
 import zlib
 from collections.abc import Callable, Mapping, Sequence
@@ -15,8 +14,10 @@ from pyspark.sql import functions as F
 # Largest side that is broadcast on our own decision.
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 BROADCAST_MAX_ROWS = 1_000_000
-# Largest dictionary that is put into the plan as a constant.
-INLINE_MAX_ENTRIES = 20_000
+# Largest dictionary table that travels with the plan; larger ones are joined, with the
+# same result.
+INLINE_MAX_ROWS = 100_000
+INLINE_MAX_BYTES = 8 * 1024 * 1024
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -43,14 +44,13 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared scratch folder; a local one only where none is named."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="threadlens-"))
-    return context.getCheckpointDir()
+    """The cluster's shared scratch folder: ``spark.checkpoint.dir``, or the folder given to
+    ``setCheckpointDir``. Without either there is none; a folder of the driver's own
+    machine would be another one on every executor."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        raise ValueError("no shared folder: set spark.checkpoint.dir to one that the driver and all executors see")
+    return named
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -71,10 +71,11 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES,
     """Hint a broadcast when the measured size allows it; else leave the join
     strategy to the optimizer.
 
-    Needed where Spark has no size estimate, as after a checkpoint. The row test
-    stops reading at ``max_rows``; only a table below it is measured in bytes.
+    Needed where Spark has no size estimate, as after a checkpoint. Rows are counted
+    by a plain aggregate, one number a task; only a table of at most ``max_rows`` is
+    measured in bytes.
     """
-    if not df.select(F.lit(1)).offset(max_rows).isEmpty():
+    if df.count() > max_rows:
         return df
     width = F.coalesce(F.octet_length(F.to_json(F.struct("*"))), F.lit(0)).cast("long")
     measured = df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()["bytes"]
@@ -102,48 +103,51 @@ def top_n_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
 
 
 def inline_lookup(entries: Mapping[str, object], value_type: str) -> Callable[[Column], Column]:
-    """Lookup function for a dictionary held in the plan as a constant.
+    """Lookup function for a short word list held in the plan as a constant.
 
     Spark scans a map entry by entry, so the entries are spread over many small
     maps by CRC-32 of the key; a probe then touches one or two entries only.
     """
-    if len(entries) > INLINE_MAX_ENTRIES:
-        raise ValueError(f"{len(entries)} entries: pass the dictionary as a DataFrame instead")
     size = 1
     while size < len(entries):
         size *= 2
     slots: list[dict[str, object]] = [{} for _ in range(size)]
     for key, value in entries.items():
         slots[zlib.crc32(key.encode()) % size][key] = value
-    text = json.dumps(slots)
+    table = F.from_json(F.lit(json.dumps(slots)), f"array<map<string,{value_type}>>")
+    return lambda key: F.try_element_at(F.get(table, (F.crc32(key) % size).cast("int")), key)
 
-    def probe(key: Column) -> Column:
-        table = F.from_json(F.lit(text), f"array<map<string,{value_type}>>")
-        slot = (F.crc32(key) % size).cast("int")
-        return F.try_element_at(F.get(table, slot), key)
 
-    return probe
+def settled_entries(entries: Mapping[str, object]) -> dict[str, object]:
+    """Entries of a mapping by lower-case key. Of several spellings of a key the greatest
+    value counts, as it does in a table."""
+    result: dict[str, object] = {}
+    for key, value in entries.items():
+        key = key.lower()
+        result[key] = max(result[key], value) if key in result else value
+    return result
 
 
-def attach_hits(df: DataFrame, tokens: Mapping[str, Column], table: DataFrame, key: str,
-                value: str, row_id: str = "id") -> DataFrame:
-    """Dictionary lookup as a join, for dictionaries too large to inline.
+def attach_dictionary(df: DataFrame, tokens: Sequence[Column], table: DataFrame, key: str, value: str,
+                      max_rows: int = INLINE_MAX_ROWS,
+                      max_bytes: int = INLINE_MAX_BYTES) -> tuple[DataFrame, Callable[[Column], Column]]:
+    """``df`` and a lookup function for a dictionary held in a table of lower-case keys.
 
-    Adds one map column per entry of ``tokens`` holding the dictionary hits of
-    that row. Only distinct tokens are exploded and only hits come back, so what
-    is shuffled by ``row_id`` is small.
+    Of several values of a key the greatest counts, whatever the size. Up to
+    ``max_rows`` and ``max_bytes``, both measured, the dictionary goes to the tasks with
+    the plan and no row moves. Beyond, the words of each row are joined with it; rows
+    are told apart by a number of their own, so the table needs no id. Drop the column
+    ``_hits`` afterwards.
     """
-    hits = (df.select(row_id, F.array_distinct(F.flatten(F.array(*tokens.values()))).alias("_t"))
-              .select(row_id, F.explode("_t").alias(key))
-              .join(broadcast_if_small(table.select(key, value)), key)
-              .groupBy(row_id)
-              .agg(F.map_from_entries(F.collect_list(F.struct(key, value))).alias("_hits")))
-    return df.join(hits, row_id, "left")
-
-
-def small_mapping(table: DataFrame, key: str, value: str) -> dict[str, object] | None:
-    """The table as a dict, or None when it is too large to inline."""
-    rows = table.select(key, value).limit(INLINE_MAX_ENTRIES + 1).collect()
-    if len(rows) > INLINE_MAX_ENTRIES:
-        return None
-    return {row[0]: row[1] for row in rows if row[0] is not None}
+    entries = cut_lineage(table.filter(F.col(key).isNotNull() & F.col(value).isNotNull())
+                          .groupBy(F.col(key).alias("_k")).agg(F.max(value).alias("_v")))
+    width = F.octet_length("_k") + F.octet_length(F.col("_v").cast("string")) + 16
+    rows, total = entries.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    if rows <= max_rows and total <= max_bytes:
+        held = {row["_k"]: row["_v"] for row in entries.collect()}
+        return df, inline_lookup(held, entries.schema["_v"].dataType.simpleString())
+    numbered = cut_lineage(df.withColumn("_row", F.monotonically_increasing_id()))
+    words = numbered.select("_row", F.explode(F.array_distinct(F.flatten(F.array(*tokens)))).alias("_k"))
+    hits = (words.join(entries, "_k").groupBy("_row")
+            .agg(F.map_from_entries(F.collect_list(F.struct("_k", "_v"))).alias("_hits")))
+    return numbered.join(hits, "_row", "left").drop("_row"), lambda word: F.try_element_at(F.col("_hits"), word)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +16,7 @@ from threadlens.schemas import check_item_type
 
 FOLDERS = {"submission": "submissions_csv", "comment": "comments_csv"}
 SHORT_ID = "root"
+FILE_ROWS = 200_000
 
 # Missing values are written as \N so that empty texts stay apart from them.
 _DIALECT = {"header": "true", "quote": '"', "escape": '"', "nullValue": "\\N",
@@ -81,7 +85,8 @@ class CsvStore:
 
     def _writer(self, df: DataFrame):
         codec = "gzip" if self.compress else "none"
-        return df.write.options(**_DIALECT).option("compression", codec)
+        # A compressed file with line breaks in its values is read by one task.
+        return df.write.options(**_DIALECT).option("compression", codec).option("maxRecordsPerFile", FILE_ROWS)
 
     def _reader(self, schema: T.StructType):
         return self.spark.read.options(**_DIALECT).option("multiLine", "true").schema(schema)
@@ -113,20 +118,31 @@ class CsvStore:
         own = rows.filter((F.col("s1") == s1) & (F.col("s2") == s2) & (F.col("id") == item_id))
         return own.orderBy(F.col("stored_at").desc()).limit(1).drop("s1", "s2")
 
+    def latest_items(self, item_type: str, schema: T.StructType) -> DataFrame:
+        """One row per id: the version stored last."""
+        rows = self.read_items(item_type, schema)
+        kept = [c for c in rows.columns if c not in ("id", "stored_at")]
+        newest = F.max_by(F.struct("stored_at", *kept), F.col("stored_at")).alias("_row")
+        return rows.groupBy("id").agg(newest).select(*[F.col("id") if c == "id" else F.col(f"_row.{c}").alias(c) for c in rows.columns])
+
     def store_batch(self, items: DataFrame, item_type: str, batch_id: str | None = None) -> dict:
-        """Write one batch, all or nothing, and count it in the same job."""
+        """Write one batch, all or nothing, and count it in the same job.
+
+        Each write has a folder of its own, given as ``path``; an earlier batch of the
+        same name stays. A write that fails stores nothing and gives its ``error``.
+        """
         batch_id = batch_id or f"batch_{datetime.now(timezone.utc):%Y%m%d_%H%M%S}"
-        path = self.batch_path(item_type, batch_id)
+        path = f"{self.batch_path(item_type, batch_id)}/{uuid.uuid4().hex}"
         seen = Observation("stored rows")
+        rows = _as_text(items).observe(seen, F.count(F.lit(1)).alias("rows"))
         try:
-            rows = _as_text(items).observe(seen, F.count(F.lit(1)).alias("rows"))
-            self._writer(rows).mode("overwrite").csv(path)
-        except Exception:
-            return {"success": 0, "failure": items.count(), "batch_id": batch_id}
+            self._writer(rows).csv(path)
+        except (PySparkException, Py4JJavaError) as problem:
+            return {"success": 0, "failure": None, "batch_id": batch_id, "error": str(problem)}
         stored = seen.get["rows"]
         if stored == 0:
             return {"success": 0, "failure": 0}
-        return {"success": stored, "failure": 0, "batch_id": batch_id}
+        return {"success": stored, "failure": 0, "batch_id": batch_id, "path": path}
 
     def batch_path(self, item_type: str, batch_id: str) -> str:
         return f"{self._folder(item_type)}/batches/{batch_id}"

@@ -2,44 +2,57 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadlens.functions.dates import parse_iso, run_stamp
-from threadlens.scale import BROADCAST_MAX_BYTES, broadcast_if_small
-from threadlens.schemas import check_item_type
+from threadlens.scale import BROADCAST_MAX_BYTES, broadcast_if_small, cut_lineage
+from threadlens.schemas import DEFAULTS, check_item_type
 
 STRATEGIES = ("auto", "broadcast", "shuffle")
 
 
 def last_wins(incoming: DataFrame, key: str = "id", seq: str | None = None) -> DataFrame:
-    """One row per key: the one with the highest ``seq``. The maximum is taken in
-    each task before the shuffle, so a key that fills a batch stays cheap."""
-    if seq is None:
-        return incoming
+    """One row per key, so keys stay unique.
+
+    The row with the highest ``seq`` wins. Rows of a table have no order of their own:
+    without ``seq``, and where it ties, the greatest row wins, compared column by column
+    with NULL as the least. The maximum is taken in each task before the shuffle, so a
+    key that fills a batch stays cheap.
+    """
     kept = [c for c in incoming.columns if c not in (key, seq)]
-    newest = F.max_by(F.struct(*kept), F.col(seq)).alias("_row")
-    return incoming.groupBy(key).agg(newest).select(key, *[F.col(f"_row.{c}").alias(c) for c in kept])
+    order = F.struct(*([F.col(seq).alias("_seq")] if seq else []), F.struct(*kept).alias("_kept"))
+    return (incoming.groupBy(key).agg(F.max(order).alias("_row"))
+            .select(key, *[F.col(f"_row._kept.{c}").alias(c) for c in kept]))
+
 
+def _default(name: str, base: DataFrame) -> Column:
+    return F.lit(DEFAULTS.get(name)).cast(base.schema[name].dataType)
 
-def _merged(name: str, key: str, incoming: set[str]) -> Column:
-    """Columns of the incoming batch overwrite, NULLs included; others stay."""
+
+def _merged(name: str, key: str, incoming: set[str], base: DataFrame) -> Column:
+    """Columns of the incoming batch overwrite, NULLs included; others stay. New rows
+    take the default of a column that the batch does not have."""
     if name == key:
         return F.coalesce(F.col(f"base.{key}"), F.col(f"inc.{key}")).alias(key)
     if name in incoming:
         return F.when(F.col("inc._hit"), F.col(f"inc.{name}")).otherwise(F.col(f"base.{name}")).alias(name)
-    return F.col(f"base.{name}").alias(name)
+    return F.when(F.col(f"base.{key}").isNull(), _default(name, base)).otherwise(F.col(f"base.{name}")).alias(name)
 
 
 def upsert(base: DataFrame, incoming: DataFrame, key: str = "id", seq: str | None = None,
            strategy: str = "auto", max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """The base table with the incoming rows updated or added, as a new DataFrame.
 
-    A batch whose measured size allows it is broadcast: the base table is then read
-    once, unshuffled, plus its key column. Larger batches take one full outer join.
-    Write the result to a new path, never over the files of ``base``.
+    The batch is computed once, reduced to one row per key (see ``last_wins``) and kept
+    by a checkpoint, where it is measured. A small one is broadcast: the base table is
+    then read once, unshuffled, plus its key column. Larger batches take one full outer
+    join; ``strategy="broadcast"`` refuses them. Write the result to a new path, never
+    over the files of ``base``.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
@@ -51,22 +64,21 @@ def upsert(base: DataFrame, incoming: DataFrame, key: str = "id", seq: str | Non
         if name != key:
             batch = batch.withColumn(name, F.col(name).cast(base.schema[name].dataType))
     columns = set(batch.columns)
+    batch = cut_lineage(batch)
     marked = batch.withColumn("_hit", F.lit(True))
-    hinted = marked
-    if strategy == "broadcast":
-        hinted = F.broadcast(marked)
-    elif strategy == "auto":
-        hinted = broadcast_if_small(marked, max_bytes)
-    select = [_merged(name, key, columns) for name in base.columns]
+    hinted = marked if strategy == "shuffle" else broadcast_if_small(marked, max_bytes)
+    if strategy == "broadcast" and hinted is marked:
+        raise ValueError("the batch is too large to be broadcast")
+    select = [_merged(name, key, columns, base) for name in base.columns]
     if hinted is marked:
         return (base.alias("base").join(marked.alias("inc"), F.col(f"base.{key}") == F.col(f"inc.{key}"),
                                         "full_outer").select(*select))
     kept = (base.alias("base").join(hinted.alias("inc"), F.col(f"base.{key}") == F.col(f"inc.{key}"), "left")
             .select(*select))
-    # Keys are unique in the base table, so no more of them match than the batch has.
-    known = base.select(key).join(F.broadcast(batch.select(key)), key, "left_semi")
+    # Distinct keys of the measured batch, so no more of them than it has rows.
+    known = base.select(key).join(F.broadcast(batch.select(key)), key, "left_semi").distinct()
     added = batch.join(F.broadcast(known), key, "left_anti")
-    missing = {n: F.lit(None).cast(base.schema[n].dataType) for n in base.columns if n not in columns}
+    missing = {n: _default(n, base) for n in base.columns if n not in columns}
     return kept.unionByName(added.withColumns(missing).select(*base.columns))
 
 
@@ -74,7 +86,7 @@ def check_reference(items: DataFrame, parents: DataFrame, column: str = "submiss
                     parent_key: str = "id") -> DataFrame:
     """Add ``accepted``: the row has an id and its parent exists. One join serves
     both the accepted and the rejected rows."""
-    known = parents.select(F.col(parent_key).alias(column), F.lit(True).alias("_known"))
+    known = parents.select(F.col(parent_key).alias(column), F.lit(True).alias("_known")).distinct()
     known = broadcast_if_small(known)
     return (items.join(known, column, "left")
             .withColumn("accepted", F.coalesce("_known", F.lit(False)) & F.col("id").isNotNull())
@@ -100,10 +112,16 @@ def outcome_counts(checked: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class StoreResult:
-    table: DataFrame
+    """The counts need no merge; the new table is built when it is asked for."""
+
+    build: Callable[[], DataFrame]
     rejected: DataFrame
     counts: DataFrame
 
+    @cached_property
+    def table(self) -> DataFrame:
+        return self.build()
+
 
 def stamped(items: DataFrame, run_ts=None) -> DataFrame:
     """Mark rows as processed at the time of the run; parse times given as text."""
@@ -125,6 +143,6 @@ def store_batch(base: DataFrame, items: DataFrame, item_type: str = "submission"
     else:
         checked = items.withColumn("accepted", F.col("id").isNotNull())
     accepted = stamped(checked.filter("accepted").drop("accepted"), run_ts)
-    return StoreResult(table=upsert(base, accepted, seq=seq, strategy=strategy),
+    return StoreResult(build=lambda: upsert(base, accepted, seq=seq, strategy=strategy),
                        rejected=checked.filter("not accepted").drop("accepted"),
                        counts=outcome_counts(checked))
