@@ -2,4 +2,42 @@
 
 from __future__ import annotations
 
-STATEMENTS: dict[str, str] = {}
+# The mix, without slices: one window over each source, one over all quotients.
+SAINTE_LAGUE = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         CAST('0x' || substr(md5(concat('7:', CAST(doc_id AS VARCHAR))), 1, 7) AS BIGINT) AS place
+  FROM documents),
+w AS (
+  SELECT source, source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight,
+         CAST(sum(source_size) OVER () AS BIGINT) AS total, 3 * source_size AS cap
+  FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source)),
+r AS (SELECT *, row_number() OVER (ORDER BY CAST(cap AS DOUBLE) / weight, source NULLS LAST) AS place FROM w),
+l AS (
+  SELECT *, CAST(total - coalesce((SELECT sum(cap) FROM r b WHERE b.place < a.place), 0) AS DOUBLE)
+            / (SELECT CAST(sum(weight) AS BIGINT) FROM r b WHERE b.place >= a.place) AS level
+  FROM r a),
+f AS (SELECT min(place) AS first_open FROM l WHERE level * weight <= cap),
+t AS (
+  SELECT source, source_size, total, CASE WHEN first_open IS NULL OR place < first_open THEN CAST(cap AS DOUBLE)
+         ELSE least((SELECT level FROM l WHERE place = first_open) * weight, CAST(cap AS DOUBLE)) END AS target
+  FROM l, f),
+s AS (
+  SELECT *, CAST(ceil(CAST(total AS DOUBLE) / block) AS BIGINT) AS seats FROM (
+    SELECT *, greatest(1, total // (65536 + 64 * count(*) OVER ())) AS block, count(*) OVER () AS n FROM t WHERE target > 0)),
+k AS (
+  SELECT source, block, row_number() OVER (ORDER BY CAST(total * (2 * k + 1) AS DOUBLE) / target, source NULLS LAST) AS place, seats
+  FROM (SELECT *, unnest(range(CAST(ceil(target * (seats + n / 2) / total + 0.5) AS BIGINT) + 1)) AS k FROM s)),
+q AS (SELECT source, any_value(block) AS block, count(*) AS quota FROM k WHERE place <= seats GROUP BY source),
+g AS (
+  SELECT t.source, source_size, target, coalesce(block, 1) AS block, coalesce(quota, 0) AS quota,
+         greatest(CAST(ceil(CAST(source_size AS DOUBLE) / coalesce(block, 1)) AS BIGINT), 1) AS own
+  FROM t LEFT JOIN q ON t.source IS NOT DISTINCT FROM q.source)
+SELECT doc_id, size, source_size, target,
+       CAST(least(quota // own, 3) * size + greatest(0, least(size,
+         CASE WHEN quota // own < 3 THEN quota % own * block ELSE 0 END - start)) AS BIGINT) AS taken
+FROM (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY place, doc_id, size
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM d) x
+JOIN g ON x.source IS NOT DISTINCT FROM g.source"""
+
+STATEMENTS: dict[str, str] = {"op4_sainte_lague": SAINTE_LAGUE}
