@@ -191,9 +191,40 @@ def matched(shared: DataFrame) -> DataFrame:
     return counts.filter(enough).select("a_sig", "b_sig", "tokens")
 
 
+def enough(pairs: DataFrame, kept: DataFrame) -> DataFrame:
+    """Of pairs ``a, b`` that share the first token they can, those that share as many prefix
+    tokens as asked. Each pair meets the two prefixes in one row."""
+    prefix = (kept.groupBy("sig").agg(F.first("n").alias("n"), F.first("matches").alias("matches"),
+                                      F.sort_array(F.collect_list(F.struct("token", "pos"))).alias("p"))
+              .select("sig", "n", "matches", F.col("p.token").alias("token"), F.col("p.pos").alias("pos")))
+
+    def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = {}
+            for name in ("a_token", "a_pos", "b_token", "b_pos"):      # views of the batch, no Python objects
+                column = batch.column(name)
+                held[name] = column.values.to_numpy(), column.offsets.to_numpy()
+            n_a, n_b, m_a, m_b = (batch.column(name).to_numpy() for name in ("a_n", "b_n", "a_matches", "b_matches"))
+            overlap = (4 * (n_a + n_b) + 8) // 9
+            keep = np.zeros(batch.num_rows, bool)
+            for i, asked in enumerate(np.minimum(m_a, m_b)):
+                a, i_pos, b, j_pos = (value[at[i]:at[i + 1]] for value, at in held.values())
+                _, x, y = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+                level = np.sort(np.maximum(i_pos[x] - (n_a[i] - overlap[i]), j_pos[y] - (n_b[i] - overlap[i])))
+                keep[i] = len(level) >= asked and (level[:asked] <= np.arange(1, asked + 1)).all()
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    def side(name: str) -> DataFrame:
+        return prefix.select(F.col("sig").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("n", "matches", "token", "pos")])
+
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return in_batches(both, body, "a long, b long")
+
+
 def sets_of(docs: DataFrame, described: DataFrame, names: DataFrame) -> DataFrame:
     """``sig, tokens`` (packed hashes) of the named sets, from one text each."""
-    one = described.join(names, "sig").groupBy("sig").agg(F.min("doc_id").alias("_one")).select("_one").distinct()
+    # Copies are reduced in their tasks, before they meet.
+    one = described.groupBy("sig").agg(F.min("doc_id").alias("_one")).join(names, "sig").select("_one").distinct()
     chosen = docs.join(sized_side(one), F.col("doc_id").eqNullSafe(F.col("_one")), "left_semi")
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,8 +290,12 @@ def similar_classes(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
              .filter("low != high").select("token"))
     across = settle(placed.join(open_, "token"))
     other = across.select("token", *[F.col(f"a_{c}").alias(f"b_{c}") for c in ("sig", "n", "pos", "matches")], F.col("root").alias("b_root"))
-    pairs = (matched(across.join(other, "token").filter("a_sig < b_sig AND root != b_root"))
-             .select(F.col("a_sig").alias("a"), F.col("b_sig").alias("b"))
+    # The first token that two similar sets share is in the 1-prefix of both, as their two
+    # sizes narrow it; asking for it in the join keeps classes of near copies from meeting.
+    first = ("a_sig < b_sig AND root != b_root AND 5 * least(a_n, b_n) >= 4 * greatest(a_n, b_n)")
+    near = (across.join(other, "token").filter(first).filter(pair_level("a_", "b_") <= 1)
+            .select(F.col("a_sig").alias("a"), F.col("b_sig").alias("b")).distinct())
+    pairs = (enough(near, kept)
              .join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
     pairs = settle(pairs)
     more = sets_of(rows, described, pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
