@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -11,7 +12,8 @@ from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
 # Text that a Python task works on at a time, in bytes.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,8 +46,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 
 def in_batches(df: DataFrame, body: Callable[..., Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow`` with batches of bounded bytes, so long texts do not pile up."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    """``mapInArrow`` with batches of bounded bytes, so long texts do not pile up.
+
+    Workers started from here on find this package where the driver found it; on a
+    cluster it is installed there or sent along with ``--py-files``.
+    """
+    environment = df.sparkSession.sparkContext.environment
+    if _ROOT not in environment.get("PYTHONPATH", "").split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, (environment.get("PYTHONPATH"), _ROOT)))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     return df.mapInArrow(body, schema)
 
 

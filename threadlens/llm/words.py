@@ -17,7 +17,7 @@ _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(_SPACES)] = True
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
-_STEP = 1 << 20
+_STEP = 1 << 18
 
 
 @lru_cache(maxsize=2)
