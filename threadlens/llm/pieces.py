@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadlens.llm.common import in_batches, sized_side, written
+from threadlens.llm.words import powers
 
 MODEL_PATH = os.environ.get("TOKENIZER_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 SPACE = "▁"
@@ -35,7 +37,9 @@ CHUNK_CHARS = 8192
 SEEK = 256
 BLOCK = 64
 NEVER = -(1 << 60)
+# Parts kept with their ids, and the longest that are segmented together.
 _CACHE = 400_000
+_TOGETHER = 32
 
 
 class Lattice:
@@ -54,6 +58,8 @@ class Lattice:
         self.id = {pieces[i]: i for i in normal}
         self.unknown = min(self.score.values()) - 10 * scale      # the library's penalty
         self.longest = max(map(len, self.score))
+        # Every beginning of a piece; those that are no piece themselves have no score.
+        self.begins = {piece[:size]: None for piece in self.score for size in range(1, len(piece))} | self.score
         self.byte = {int(pieces[i][3:5], 16): i for i in range(size) if model.is_byte(i)}
         self.bytes = [b"" for _ in range(size)]
         for i in normal:
@@ -63,9 +69,20 @@ class Lattice:
         # No piece spans from another character to a space mark, nor a line end.
         assert not any(SPACE in piece.lstrip(SPACE) for piece in self.score)
         line = "" if any("\n" in piece for piece in self.score) else "\n"
-        self.unit = re.compile(f"{line}|{SPACE}*[^{SPACE}{line}]+|{SPACE}+" if line else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+        self.unit = re.compile(f"{SPACE}*[^{SPACE}{line}]+|{SPACE}+|{line or SPACE}")
+        # Neighbours inside pieces; between other neighbours a piece ends.
+        self.pairs = {piece[i:i + 2] for piece in self.score for i in range(len(piece) - 1)}
+        keyed = sorted((self._key(piece), self.id[piece], score) for piece, score in self.score.items())
+        self.keys = np.array([k for k, _, _ in keyed], np.uint64)
+        self.key_ids = np.array([i for _, i, _ in keyed], np.int32)
+        self.key_scores = np.array([s for _, _, s in keyed], np.int64)
         self.cache: dict[str, tuple[int, bytes]] = {}
 
+    @staticmethod
+    def _key(piece: str) -> int:
+        codes = np.frombuffer(piece.encode("utf-32-le"), np.uint32).astype(np.uint64)
+        return int(((codes + np.uint64(1)) * powers(1 << 16)[0][:len(codes)]).sum() + np.uint64(len(codes)))
+
     def forced(self, before: str, after: str) -> bool:
         """Whether every segmentation has a boundary between the two characters."""
         return after == SPACE and before != SPACE
@@ -80,20 +97,21 @@ class Lattice:
         value, back = [NEVER] * (n + 1), [0] * (n + 1)
         for at, score in start.items():
             value[at] = score
-        get, longest, unknown = self.score.get, self.longest, self.unknown
+        get, unknown = self.begins.get, self.unknown
         for at in range(n):
             here = value[at]
             if here <= NEVER:
                 continue
-            for size in range(1, min(longest, n - at) + 1):
-                score = get(text[at:at + size])
-                if score is None:
-                    if size > 1:
-                        continue
-                    score = unknown
-                end = at + size
-                if end > least and here + score > value[end]:
-                    value[end], back[end] = here + score, size
+            for end in range(at + 1, n + 1):
+                score = get(text[at:end], 1)        # 1: no piece begins so
+                if score is None or score == 1:
+                    if end == at + 1 and text[at:end] not in self.score:
+                        if end > least and here + unknown > value[end]:
+                            value[end], back[end] = here + unknown, 1
+                    if score == 1:
+                        break
+                elif end > least and here + score > value[end]:
+                    value[end], back[end] = here + score, end - at
         return value, back
 
     def trace(self, text: str, back: list[int], start: int, end: int) -> list[int]:
@@ -113,8 +131,13 @@ class Lattice:
         """Score and ids of a part that no piece leaves or enters."""
         found = self.cache.get(unit)
         if found is None:
-            value, back = self.best(unit, {0: 0}, 0)
-            found = value[-1], np.array(self.trace(unit, back, 0, len(unit)), np.int32).tobytes()
+            last = len(unit) - 1
+            if last > 0 and unit[last - 1:] not in self.pairs:       # a word and the mark after it
+                (one, ids), (other, more) = self.encode_unit(unit[:last]), self.encode_unit(unit[last:])
+                found = one + other, ids + more
+            else:
+                value, back = self.best(unit, {0: 0}, 0)
+                found = value[-1], array("i", self.trace(unit, back, 0, len(unit))).tobytes()
             if len(unit) <= 64:
                 if len(self.cache) >= _CACHE:
                     self.cache.clear()
@@ -126,6 +149,62 @@ class Lattice:
         parts = [self.cache.get(unit) or self.encode_unit(unit) for unit in self.unit.findall(text)]
         return sum(part[0] for part in parts), np.frombuffer(b"".join([part[1] for part in parts]), np.int32)
 
+    def encode_many(self, texts: list[str]) -> list[tuple[int, np.ndarray]]:
+        """As ``encode`` for each text; parts not seen before are segmented together."""
+        units = [self.unit.findall(text) for text in texts]
+        every = {unit for own in units for unit in own}
+        new = every - self.cache.keys()
+        if len(self.cache) + len(new) > _CACHE:
+            self.cache.clear()
+            new = every
+        by_length: dict[int, list[str]] = {}
+        for unit in new:
+            by_length.setdefault(len(unit), []).append(unit)
+        for length, own in by_length.items():
+            if length <= _TOGETHER and len(own) >= 8:
+                self._segment(own, length)
+        out = []
+        get = self.cache.get
+        for own in units:
+            parts = [get(unit) or self.encode_unit(unit) for unit in own]
+            out.append((sum(part[0] for part in parts), np.frombuffer(b"".join([part[1] for part in parts]), np.int32)))
+        return out
+
+    def _segment(self, units: list[str], n: int) -> None:
+        """Viterbi over parts of one length at a time, with the rules of ``best``. Parts with a
+        character outside the vocabulary are left to ``encode_unit``."""
+        rows = len(units)
+        codes = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(rows, n).astype(np.uint64)
+        up, down = powers(1 << 16)
+        total = np.zeros((n + 1, rows), np.uint64)
+        np.cumsum(((codes + np.uint64(1)) * up[:n]).T, axis=0, out=total[1:])
+        value, back = np.full((n + 1, rows), NEVER, np.int64), np.zeros((n + 1, rows), np.int64)
+        piece = np.zeros((n + 1, rows), np.int32)
+        value[0] = 0
+        known = np.ones(rows, bool)
+        for at in range(n):
+            for end in range(at + 1, min(n, at + self.longest) + 1):
+                key = (total[end] - total[at]) * down[at] + np.uint64(end - at)
+                found = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+                hit = self.keys[found] == key
+                if end == at + 1:
+                    known &= hit
+                score = np.where(hit, value[at] + self.key_scores[found], NEVER)
+                better = score > value[end]
+                value[end][better], back[end][better], piece[end][better] = score[better], end - at, self.key_ids[found[better]]
+        ids, count = np.zeros((rows, n), np.int32), np.zeros(rows, np.int64)
+        place, every = np.full(rows, n), np.arange(rows)
+        while (live := place > 0).any():
+            at = np.where(live, place, 0)
+            ids[every[live], n - 1 - count[live]] = piece[at[live], every[live]]
+            count += live
+            place = place - np.where(live, back[at, every], 0)
+            if not known.all():
+                place[~known] = 0
+        for row, (unit, score, size) in enumerate(zip(units, value[n].tolist(), count.tolist())):
+            if known[row]:
+                self.cache[unit] = score, ids[row, n - size:].tobytes()
+
     def decode(self, ids: np.ndarray) -> bytes:
         table = self.bytes
         return b"".join([table[i] for i in ids.tolist()])
@@ -247,7 +326,7 @@ def encode_texts(docs: DataFrame, model_path: str = MODEL_PATH, id_column: str =
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 texts = part.column("text").to_pylist()
-                encoded = [model.encode(escaped(text)) for text in texts]
+                encoded = model.encode_many([escaped(text) for text in texts])
                 yield result(part.column("id").to_pylist(), [0] * len(texts), encoded, texts, [True] * len(texts), part.column("id").type)
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
