@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadlens.llm.common import in_batches, sized_side, written
+from threadlens.llm.common import in_batches, settle, sized_side, written
 from threadlens.llm.words import mix, powers
 
 LENGTH = 400
@@ -195,7 +195,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     sampled = written(in_batches(keyed, sample, f"doc_id {kind}, key long, n_bytes long, cores array<long>, places array<long>"), "samples")
     places = sampled.select("key", F.explode(F.arrays_zip("cores", "places")).alias("s")).select(F.col("s.cores").alias("core"), "key", F.col("s.places").alias("place"))
     at = F.struct("key", "place")
-    twice = places.groupBy("core").agg(F.min(at).alias("low"), F.max(at).alias("high")).filter("low != high").select("core")
+    # Kept, so that the join deals both sides anew and may split a core that is very common.
+    twice = settle(places.groupBy("core").agg(F.min(at).alias("low"), F.max(at).alias("high")).filter("low != high").select("core"))
     wanted = places.join(twice, "core", "left_semi").distinct().groupBy("key").agg(F.collect_list("place").alias("_places"))
     texts = sampled.groupBy("key").agg(F.min("doc_id").alias("_one"), F.count(F.lit(1)).alias("copies"), F.first("n_bytes").alias("n_bytes"))
     chosen = texts.join(wanted, "key").select("_one", F.col("key").alias("_key"), "_places")
