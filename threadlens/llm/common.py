@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 # Text that a Python task works on at a time, in bytes.
 PIECE_BYTES = 1 << 20
+# Python workers live on between tasks; with these, memory that a task has freed goes back
+# to the system instead of staying with the worker.
+_GIVE_BACK = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "2",
+              "MALLOC_MMAP_THRESHOLD_": "1048576", "MALLOC_TRIM_THRESHOLD_": "1048576"}
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -52,6 +56,8 @@ def in_batches(df: DataFrame, body: Callable[..., Iterator[pa.RecordBatch]], sch
     cluster it is installed there or sent along with ``--py-files``.
     """
     environment = df.sparkSession.sparkContext.environment
+    for name, value in _GIVE_BACK.items():
+        environment.setdefault(name, value)
     if _ROOT not in environment.get("PYTHONPATH", "").split(os.pathsep):
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, (environment.get("PYTHONPATH"), _ROOT)))
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
