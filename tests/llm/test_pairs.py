@@ -229,6 +229,33 @@ def test_chains_of_odd_tables(odd, empty):
     assert all(r["doc_id"] is not None for r in chaining.passages(odd).collect()) and chaining.passages(empty).count() == 0
 
 
+def test_passages_that_lower_texts_hold_in_parts(spark):
+    draw = random.Random(12)
+    prose = lambda n: [f"w{draw.randrange(10 ** 6)}" for _ in range(n)]
+    rows, want = [], set()
+    for case in range(25):
+        passage, base = prose(60), 10 * case
+        tiles = [prose(40) + passage[:30] + prose(40), prose(40) + passage[30:] + prose(40)]
+        if case % 2:        # one home that has it in parts, with foreign words between
+            tiles = [prose(20) + passage[:30] + prose(40) + passage[30:] + prose(20), prose(80)]
+        texts = [*tiles, prose(35) + passage + prose(45), prose(25) + passage + prose(55)]
+        rows += [(base + i, " ".join(t)) for i, t in enumerate(texts)]
+        want.add((base + 3, base + 2))
+    found = chaining.passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {(r["doc_id"], r["other_id"]) for r in found} == want
+    assert all((r["end"] - r["start"], r["n_common"]) == (60, 60) for r in found)
+
+
+def test_an_exact_passage_is_not_lost_among_loose_words():
+    """Fifty equal words whose chain or stretched ends are less alike than asked for."""
+    draw = np.random.default_rng(3)
+    a, b = draw.integers(1 << 32, size=300, dtype=np.uint32), draw.integers(1 << 32, size=300, dtype=np.uint32)
+    b[100:150] = a[100:150]
+    b[174:179] = a[174:179]
+    got = chaining.align(a, b, [100, 110, 120, 130, 140, 145, 174], [100, 110, 120, 130, 140, 145, 174])
+    assert got == [(100, 150, 100, 150, 50)]
+
+
 # ---- pipeline
 
 def test_stages_against_brute_force(spark, docs, rows, tmp_path):
