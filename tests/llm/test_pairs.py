@@ -256,6 +256,19 @@ def test_an_exact_passage_is_not_lost_among_loose_words():
     assert got == [(100, 150, 100, 150, 50)]
 
 
+def test_passages_with_evenly_replaced_words(spark):
+    draw = random.Random(4)
+    prose = lambda n: [f"w{draw.randrange(10 ** 6)}" for _ in range(n)]
+    rows = []
+    for case in range(40):      # seven of fifty words differ: no seven equal words in a row
+        passage = prose(50)
+        other = [f"x{draw.randrange(10 ** 6)}" if i % 7 == 3 else word for i, word in enumerate(passage)]
+        rows += [(2 * case, " ".join(prose(30) + passage + prose(40))), (2 * case + 1, " ".join(prose(45) + other + prose(20)))]
+    found = chaining.passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {(r["doc_id"], r["other_id"]) for r in found} == {(2 * case + 1, 2 * case) for case in range(40)}
+    assert all(r["n_words"] >= 50 and r["n_common"] >= 43 for r in found)
+
+
 # ---- pipeline
 
 def test_stages_against_brute_force(spark, docs, rows, tmp_path):
