@@ -25,6 +25,17 @@ def test_page_without_article_keeps_plain_blocks():
     assert styletree.extract("<div>x<ul><li>a<li>b</ul></div><form>f</form>&lt;tail", set()) == "x a b <tail"
 
 
+@pytest.mark.parametrize("opening", ['<div style="overflow:hidden">', '<p><a href="/hidden-gems">', '<p data-id="comment-3">', '<p><a href="/p?id=ad-7">',
+                                     '<div class="layout has-sidebar">', '<div class="no-comments"><article>', '<article>teaser</article><div>'])
+def test_rules_do_not_reach_article_text(opening):
+    assert styletree.extract(f"<body>{opening}a long text of the page", set()).endswith("a long text of the page")
+
+
+def test_names_still_rule_out_what_is_beside_the_article():
+    page = '<div class="has-sidebar"><article>the text</article><div class="sidebar">s</div><div id="comments"><article>a far longer comment</article></div></div>'
+    assert styletree.extract(page, set()) == "the text" and styletree.extract('<p hidden>x</p><p aria-hidden="true">y</p>z', set()) == "z"
+
+
 @pytest.mark.parametrize("page", ["", "<", "a < b", "<p", "</div></p>", "<div class='a\">x", "<![CDATA[x]]>y", "<script>never ends", "<p>" * 3000 + "deep"])
 def test_broken_markup_does_not_fail(page):
     assert isinstance(styletree.extract(page, set()), str)

@@ -29,7 +29,8 @@ MIN_PAGES = 8
 MIN_IMPORTANCE = 0.2
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)([^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+# One attribute after another, so that nothing inside a value is taken for a name.
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _NAME_PART = re.compile(r"[a-z]+|[0-9]+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -54,10 +55,10 @@ _SCOPE = frozenset("ul ol dl table body html article main section div".split())
 class Node:
     """An element with its texts and child nodes in page order."""
 
-    __slots__ = ("tag", "label", "noise", "parent", "items")
+    __slots__ = ("tag", "label", "noise", "named", "parent", "items")
 
-    def __init__(self, tag: str, label: str, noise: bool, parent: "Node | None" = None):
-        self.tag, self.label, self.noise, self.parent, self.items = tag, label, noise, parent, []
+    def __init__(self, tag: str, label: str, noise: bool, named: int = 0, parent: "Node | None" = None):
+        self.tag, self.label, self.noise, self.named, self.parent, self.items = tag, label, noise, named, parent, []
 
 
 @lru_cache(maxsize=4096)
@@ -66,21 +67,53 @@ def _raw_end(tag: str) -> re.Pattern:
 
 
 @lru_cache(maxsize=4096)
-def _label(tag: str, attributes: str) -> tuple[str, bool]:
-    """The node's name in the style tree, and whether its element rules out article text."""
-    noise = tag in NOISE_TAGS
+def _label(tag: str, attributes: str) -> tuple[str, bool, int]:
+    """The node's name in the style tree, whether its element rules out article text, and
+    whether a class or id speaks against it: 2 for a whole name, 1 for a part of one."""
+    noise, named = tag in NOISE_TAGS, 0
     label = tag
     for name, *values in _ATTRIBUTE.findall(attributes) if attributes else ():
         name, value = name.lower(), next((v for v in values if v), "").lower()
         if name == "class":
             label += "".join("." + part for part in sorted(value.split()))
         if name in ("class", "id"):
-            noise = noise or not NOISE_NAMES.isdisjoint(_NAME_PART.findall(value)) and tag not in MAIN_TAGS and tag != "body"
+            if tag not in MAIN_TAGS and tag != "body":
+                whole = not NOISE_NAMES.isdisjoint(value.split())
+                named = max(named, 2 * whole or int(not NOISE_NAMES.isdisjoint(_NAME_PART.findall(value))))
         elif name == "role":
             noise = noise or value in NOISE_ROLES
-        elif name == "hidden" or value == "true":
+        elif name == "hidden" or name == "aria-hidden" and value == "true":
             noise = True
-    return label, noise
+    return label, noise, named
+
+
+def _judge_names(root: Node) -> None:
+    """Let names rule branches out, but not one that holds every article of the page, nor
+    one with most of its text: where the whole class or id is such a name, that counts
+    only without an article elsewhere (a long list of comments is no article)."""
+    order, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        if not node.noise:
+            stack.extend(child for child in node.items if isinstance(child, Node))
+    size, mains = {}, {}
+    for node in reversed(order):
+        size[node], mains[node] = 0, int(node.tag in MAIN_TAGS)
+        if node.noise:
+            mains[node] = 0
+            continue
+        for item in node.items:
+            if isinstance(item, str):
+                size[node] += len(item) if item.strip() else 0
+            else:
+                size[node] += size[item]
+                mains[node] += mains[item]
+    for node in order:
+        if node.named:
+            elsewhere = mains[node] < mains[root]
+            most = 2 * size[node] > size[root] and (node.named == 1 or not elsewhere)
+            node.noise = node.noise or not (most or mains[node] and not elsewhere)
 
 
 def parse(page: str) -> Node:
@@ -120,14 +153,15 @@ def parse(page: str) -> Node:
                 node = node.parent
             if node.tag in _SAME[tag]:
                 open_ = node.parent
-        label, noise = _label(tag, attributes)
-        node = Node(tag, label, noise, open_)
+        label, noise, named = _label(tag, attributes)
+        node = Node(tag, label, noise, named, open_)
         open_.items.append(node)
         if tag in RAW:
             end = _raw_end(tag).search(page, at)
             at = end.end() if end else size
         elif tag not in VOID and not attributes.rstrip().endswith("/"):
             open_ = node
+    _judge_names(root)
     return root
 
 
@@ -168,17 +202,6 @@ def _in_main(node: Node) -> bool:
     return False
 
 
-def _has_main(root: Node) -> bool:
-    stack = [root]
-    while stack:
-        node = stack.pop()
-        if node.tag in MAIN_TAGS:
-            return True
-        if not node.noise:
-            stack.extend(child for child in node.items if isinstance(child, Node))
-    return False
-
-
 def features(page: str) -> list[tuple[str, int, int]]:
     """For each node of the style tree that the page has: path, layout and content codes.
 
@@ -210,30 +233,27 @@ def extract(page: str, dropped: set[str]) -> str:
                 blocks.append(text)
             line.clear()
 
-    main = _has_main(root)
-    stack: list = [("", root, not main)]
+    stack: list = [("", root)]
     while stack:
         entry = stack.pop()
         if entry is None:
             end()
             continue
-        path, item, inside = entry
+        path, item = entry
         if isinstance(item, str):
             line.append(item)
             continue
         if item.noise or (path in dropped and not _in_main(item)):
             continue
-        inside = inside or item.tag in MAIN_TAGS
         block = item.tag not in INLINE
         if block:
             end()
             stack.append(None)
         for child in reversed(item.items):
             if isinstance(child, str):
-                if inside:
-                    stack.append(("", child, True))
+                stack.append(("", child))
             else:
-                stack.append((f"{path}/{child.label}" if dropped else "", child, inside))
+                stack.append((f"{path}/{child.label}" if dropped else "", child))
     end()
     return " ".join(blocks)
 
