@@ -165,6 +165,12 @@ def test_collision_rate_is_generalised_jaccard():
         assert abs(sampling.likeness(sign(a), sign(b)) - expected) < 0.04
 
 
+def test_long_texts_without_a_common_term_are_not_alike():
+    a, b = (" ".join(f"{side}{i}" for i in range(100_000)).encode() for side in "ab")
+    (x, m), (y, n) = sampling.weights([a, b])
+    assert sampling.likeness(sampling.signature(x, m), sampling.signature(y, n)) == 0
+
+
 def test_fingerprints_of_odd_tables(odd, empty, spark):
     assert sampling.fingerprints(odd, buckets=4).count() == odd.count()
     assert sampling.fingerprints(empty).count() == 0

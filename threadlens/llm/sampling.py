@@ -1,7 +1,7 @@
 """Document fingerprints by consistent weighted sampling.
 
-Terms are pairs of neighbouring words, weighted by how often they occur, hashed into a
-fixed universe. For every sample and term, two gamma variates and one uniform fix at
+Terms are runs of five words, weighted by how often they occur, named by 64-bit hashes.
+Variates are drawn from the hash itself, so the terms are not folded together. For every sample and term, two gamma variates and one uniform fix at
 which point below its weight the term is drawn; the smallest value wins. Two texts
 agree on a sample with a chance equal to the generalised Jaccard similarity of their
 weights, the sum of minima over the sum of maxima.
@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,52 +21,53 @@ from threadlens.llm.common import encoded, in_batches, pieces
 from threadlens.llm.words import hash_texts, mix, runs
 
 SAMPLES = 64
-UNIVERSE = 1 << 17
 SEED = 20240501
-WIDTH = 2
+WIDTH = 5
+# Terms whose variates are drawn at a time.
+BLOCK = 1 << 8
 
 
-@lru_cache(maxsize=1)
-def variates(seed: int, universe: int, samples: int) -> tuple[np.ndarray, ...]:
-    """r, log c and b of every term and sample; and the value of a term of weight 1."""
-    draw = np.random.Generator(np.random.Philox(seed))
-    shape = (universe, samples)
-    r = draw.standard_gamma(2.0, shape, np.float32)
-    c = np.log(draw.standard_gamma(2.0, shape, np.float32))
-    b = draw.random(shape, np.float32)
-    return r, c, b, c + r * b - r
+def variates(term: np.ndarray, samples: int, seed: int = SEED) -> tuple[np.ndarray, ...]:
+    """r, log c and b of every term and sample, from a counter-based hash: a gamma variate
+    of shape 2 is minus the log of a product of two uniforms."""
+    def uniforms(number: int) -> tuple[np.ndarray, np.ndarray]:
+        steps = np.array([(seed + (3 * sample + number + 1) * 0x9E3779B97F4A7C15) % (1 << 64) for sample in range(samples)], np.uint64)
+        half = mix(term[:, None] + steps).view(np.uint32).reshape(len(term), samples, 2)
+        return tuple((half[:, :, k].astype(np.float32) + np.float32(0.5)) * np.float32(2.0 ** -32) for k in (0, 1))
 
+    (r0, r1), (c0, c1), (b, _) = uniforms(0), uniforms(1), uniforms(2)
+    least = np.float32(2.0 ** -25)      # rounding may make both uniforms 1
+    return np.maximum(-np.log(r0 * r1), least), np.log(np.maximum(-np.log(c0 * c1), least)), np.minimum(b, np.float32(1 - 2.0 ** -24))
 
-def weights(texts: list[bytes], universe: int = UNIVERSE) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+
+def weights(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Terms of each text in ascending order, with their counts."""
     words, offsets = hash_texts(texts)
     value, owner, _ = runs(words, offsets, WIDTH, short=True)
-    term = (mix(value) % np.uint64(universe)).astype(np.int64)
-    key, count = np.unique(owner * universe + term, return_counts=True)
-    cut = np.searchsorted(key, np.arange(len(texts) + 1) * universe)
-    for at in range(len(texts)):
-        own = slice(cut[at], cut[at + 1])
-        yield key[own] % universe, count[own]
+    cut = np.searchsorted(owner, np.arange(len(texts) + 1))
+    for a, b in zip(cut[:-1], cut[1:]):
+        yield np.unique(value[a:b], return_counts=True)
 
 
-def signature(term: np.ndarray, count: np.ndarray, seed: int = SEED, universe: int = UNIVERSE,
+def signature(term: np.ndarray, count: np.ndarray, seed: int = SEED, universe: int | None = None,
               samples: int = SAMPLES) -> np.ndarray:
-    """One 32-bit code a sample: the winning term and its level. All zeros without terms."""
+    """One 32-bit code a sample: the winning term and its level. All zeros without terms.
+    ``universe`` has no effect: terms are told apart by their 64 bits."""
     if not len(term):
         return np.zeros(samples, np.uint32)
-    r, c, b, once = variates(seed, universe, samples)
-    value = once[term]
-    many = np.flatnonzero(count > 1)
-    level = np.zeros((len(many), samples), np.float32)
-    if len(many):
-        at = term[many]
-        level = np.floor(np.log(count[many]).astype(np.float32)[:, None] / r[at] + b[at])
-        value[many] = c[at] - r[at] * (level - b[at]) - r[at]
-    won = value.argmin(axis=0)
-    row = np.full(len(term), -1)
-    row[many] = np.arange(len(many))
-    steps = np.where(row[won] >= 0, level[row[won], np.arange(samples)] if len(many) else 0, 0).astype(np.uint64)
-    return (mix(term[won].astype(np.uint64) + (steps << np.uint64(32)) + np.uint64(1)) >> np.uint64(32)).astype(np.uint32)
+    term = mix(term.astype(np.uint64))
+    best = np.full(samples, np.inf)
+    name, steps = np.zeros(samples, np.uint64), np.zeros(samples, np.int64)
+    for at in range(0, len(term), BLOCK):
+        own, log = term[at:at + BLOCK], np.log(count[at:at + BLOCK]).astype(np.float32)[:, None]
+        r, c, b = variates(own, samples, seed)
+        level = np.floor(log / r + b)
+        value = c - r * (level - b) - r
+        won, every = value.argmin(axis=0), np.arange(samples)
+        better = value[won, every] < best
+        best = np.where(better, value[won, every], best)
+        name, steps = np.where(better, own[won], name), np.where(better, level[won, every].astype(np.int64), steps)
+    return (mix(name + mix(steps.astype(np.uint64) + np.uint64(1))) >> np.uint64(32)).astype(np.uint32)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
