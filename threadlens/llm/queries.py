@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadlens.llm import apportion, chaining, compression, hilbert, jaccard, mixture, pieces, repeats, sampling, styletree
+from threadlens.llm import apportion, chaining, compression, hilbert, jaccard, middle, mixture, pieces, repeats, sampling, styletree
 from threadlens.llm.common import table
 
 
@@ -53,6 +53,12 @@ def op10_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op12_rank_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_style_tree": op1_style_tree,
     "op2_hilbert_shards": op2_hilbert_shards,
@@ -64,4 +70,5 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_compression_bands": op8_compression_bands,
     "op9_suffix_repeats": op9_suffix_repeats,
     "op10_weighted_sampling": op10_weighted_sampling,
+    "op12_rank_index": op12_rank_index,
 }

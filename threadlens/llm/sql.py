@@ -40,4 +40,30 @@ FROM (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY place, doc
                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM d) x
 JOIN g ON x.source IS NOT DISTINCT FROM g.source"""
 
-STATEMENTS: dict[str, str] = {"op4_sainte_lague": SAINTE_LAGUE}
+# Cuts by the units themselves: the length of the first units is the offset.
+RANK_INDEX = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest
+  FROM documents),
+h AS (
+  SELECT *, len(units) AS n,
+         CAST('0x' || substr(digest, 1, 8) AS BIGINT) % (len(units) + 1) AS r1,
+         CAST('0x' || substr(digest, 9, 8) AS BIGINT) % (len(units) + 1) AS r2,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                   OR CAST('0x' || substr(digest, 17, 8) AS BIGINT) % 100 >= 90 THEN 'plain'
+              WHEN CAST('0x' || substr(digest, 25, 8) AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM d),
+c AS (
+  SELECT *, array_to_string(list_slice(units, 1, least(r1, r2)), '') AS prefix,
+         array_to_string(list_slice(units, least(r1, r2) + 1, greatest(r1, r2)), '') AS middle,
+         array_to_string(list_slice(units, greatest(r1, r2) + 1, n), '') AS suffix
+  FROM h)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM c"""
+
+STATEMENTS: dict[str, str] = {"op4_sainte_lague": SAINTE_LAGUE, "op12_rank_index": RANK_INDEX}
