@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadlens.llm import apportion, chaining, compression, hilbert, jaccard, middle, mixture, pieces, repeats, sampling, styletree
+from threadlens.llm import apportion, chaining, compression, hilbert, jaccard, middle, mixture, pieces, repeats, sampling, secretscan, styletree
 from threadlens.llm.common import table
 
 
@@ -59,6 +59,10 @@ def op12_rank_index(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
 
 
+def op13_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secretscan.report(secretscan.find_secrets(table(spark, sf_dir, "documents")))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_style_tree": op1_style_tree,
     "op2_hilbert_shards": op2_hilbert_shards,
@@ -71,4 +75,5 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_repeats": op9_suffix_repeats,
     "op10_weighted_sampling": op10_weighted_sampling,
     "op12_rank_index": op12_rank_index,
+    "op13_markov_secrets": op13_markov_secrets,
 }

@@ -66,4 +66,73 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS pre
        sha256(text) AS restored_sha256
 FROM c"""
 
-STATEMENTS: dict[str, str] = {"op4_sainte_lague": SAINTE_LAGUE, "op12_rank_index": RANK_INDEX}
+_either = lambda word: "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+_ASSIGN = (f"(?:{_either('password')}|{_either('passwd')}|{_either('secret')}|{_either('token')}|{_either('api')}_?{_either('key')})"
+           r"""["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""")
+# (kind, pattern, group whose length counts, its least length)
+_SECRETS = (("assign", _ASSIGN, 1, 12), ("access", "AKIA[A-Z0-9]+", 0, 18), ("hex", "[0-9a-f]+", 0, 16))
+_RUN = "[A-Za-z0-9+/_-]"
+
+
+def _found(text: str, pattern: str, group: int, rank: int, kind: str, table: str) -> str:
+    return f"""SELECT doc_id, {rank} AS rank, '{kind}' AS kind, whole, length(value) AS value_chars,
+         sum(length(gap) + length(whole)) OVER (PARTITION BY doc_id ORDER BY i) AS stop
+  FROM (SELECT doc_id, unnest(range(len(w))) AS i, unnest(g[:len(w)]) AS gap, unnest(w) AS whole, unnest(v) AS value FROM (
+    SELECT doc_id, string_split_regex({text}, '{pattern}') AS g, regexp_extract_all({text}, '{pattern}', 0) AS w,
+           regexp_extract_all({text}, '{pattern}', {group}) AS v FROM {table}))"""
+
+
+def _blanked(text: str, pattern: str, group: int, least: int) -> str:
+    return (f"array_to_string(list_transform(list_zip(string_split_regex({text}, '{pattern}'), regexp_extract_all({text}, '{pattern}', 0), "
+            f"regexp_extract_all({text}, '{pattern}', {group})), lambda x: x[1] || CASE WHEN length(x[3]) >= {least} "
+            "THEN repeat(' ', length(x[2])) ELSE coalesce(x[2], '') END), '')")
+
+
+def _secrets() -> str:
+    base = "\n  UNION ALL ".join(f"SELECT * FROM ({_found('text', pattern, group, rank, kind, 'd')}) WHERE value_chars >= {least}"
+                                 for rank, (kind, pattern, group, least) in enumerate(_SECRETS))
+    steps, text = [], "text"
+    for kind, pattern, group, least in _SECRETS:
+        steps.append(f"r_{kind} AS (SELECT doc_id, {_blanked(text, pattern, group, least)} AS rest FROM {'d' if text == 'text' else steps[-1].split()[0]})")
+        text = "rest"
+    rests = ",\n".join(steps)
+    kept = " OR ".join(f"kind = '{kind}' AND length(sample) >= {least}" for kind, _, _, least in _SECRETS)
+    labelled = "\n  UNION ALL ".join(
+        f"SELECT '{kind}' AS kind, unnest(regexp_extract_all(text, '{pattern}', {group})) AS sample FROM d" for kind, pattern, group, _ in _SECRETS)
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+base AS ({base}),
+{rests},
+runs AS (
+  SELECT true AS random, unnest(regexp_extract_all(sample, '{_RUN}{{2,}}')) AS run FROM ({labelled}) WHERE {kept}
+  UNION ALL SELECT false, unnest(regexp_extract_all(rest, '{_RUN}{{2,}}')) FROM r_hex),
+pairs AS (
+  SELECT random, run[i:i+1] AS pair, count(*) AS n
+  FROM (SELECT random, run, unnest(range(1, length(run))) AS i FROM runs) GROUP BY ALL),
+letters AS (SELECT unnest(string_split('+ - / 0 1 2 3 4 5 6 7 8 9 A B C D E F G H I J K L M N O P Q R S T U V W X Y Z _ '
+                                       || 'a b c d e f g h i j k l m n o p q r s t u v w x y z', ' ')) AS c),
+grid AS (
+  SELECT x.c AS a, x.c || y.c AS pair, coalesce(p.n, 0) AS random, coalesce(q.n, 0) AS ordinary
+  FROM letters x, letters y LEFT JOIN pairs p ON p.pair = x.c || y.c AND p.random
+  LEFT JOIN pairs q ON q.pair = x.c || y.c AND NOT q.random),
+weights AS (
+  SELECT pair, CAST(round(1000 * (ln(0.5 * CASE WHEN drawn > 0 THEN random / drawn ELSE CAST(1 AS DOUBLE) / 66 END + CAST(0.5 AS DOUBLE) / 66)
+                                  - ln((ordinary + 1) / (used + 66)))) AS BIGINT) AS w
+  FROM (SELECT *, sum(random) OVER (PARTITION BY a) AS drawn, sum(ordinary) OVER (PARTITION BY a) AS used FROM grid)),
+long AS (SELECT row_number() OVER () AS id, * FROM ({_found('rest', _RUN + '{16,}', 0, 3, 'random', 'r_hex')})),
+judged AS (
+  SELECT id, sum(w) AS ratio FROM (SELECT id, whole[i:i+1] AS pair FROM (SELECT id, whole, unnest(range(1, length(whole))) AS i FROM long))
+  JOIN weights USING (pair) GROUP BY id),
+spans AS (
+  SELECT * FROM base UNION ALL SELECT long.* EXCLUDE (id) FROM long JOIN judged USING (id)
+  WHERE ratio >= greatest(12000, 1200 * (length(whole) - 1))),
+listed AS (
+  SELECT doc_id, rank, kind, stop - length(whole) AS start, kind || ':' || (stop - length(whole)) || ':' || stop AS span FROM spans)
+SELECT d.doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+       count(*) FILTER (kind = 'hex') AS n_hex,
+       sha256(coalesce(string_agg(span, ',' ORDER BY start, rank) FILTER (kind <> 'random'), '')) AS base_sha256,
+       coalesce(string_agg(span, ',' ORDER BY start, rank), '') AS spans
+FROM d LEFT JOIN listed ON d.doc_id = listed.doc_id GROUP BY d.doc_id"""
+
+
+STATEMENTS: dict[str, str] = {"op4_sainte_lague": SAINTE_LAGUE, "op12_rank_index": RANK_INDEX, "op13_markov_secrets": _secrets()}
