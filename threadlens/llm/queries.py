@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadlens.llm import apportion, chaining, compression, hilbert, jaccard, middle, mixture, pieces, repeats, sampling, secretscan, styletree
+from threadlens.llm import apportion, chaining, compression, hilbert, jaccard, middle, mixture, pieces, repeats, sampling, secretscan, styletree, trie
 from threadlens.llm.common import table
 
 
@@ -53,6 +53,10 @@ def op10_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_rank_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = middle.fill_in_middle(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
@@ -74,6 +78,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_compression_bands": op8_compression_bands,
     "op9_suffix_repeats": op9_suffix_repeats,
     "op10_weighted_sampling": op10_weighted_sampling,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_rank_index": op12_rank_index,
     "op13_markov_secrets": op13_markov_secrets,
 }

@@ -135,4 +135,36 @@ SELECT d.doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER
 FROM d LEFT JOIN listed ON d.doc_id = listed.doc_id GROUP BY d.doc_id"""
 
 
-STATEMENTS: dict[str, str] = {"op4_sainte_lague": SAINTE_LAGUE, "op12_rank_index": RANK_INDEX, "op13_markov_secrets": _secrets()}
+# CRC-32 of a conv_id's digits, bit by bit; prefixes as joined digests; a subtree by the prefixes of its members.
+PREFIX_TRIE = """
+WITH turns AS (
+  SELECT conv_id, length(coalesce(text, '')) AS chars, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest, turn
+  FROM conversations WHERE conv_id IS NOT NULL),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest, chars) - 1 AS pos FROM turns),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+                         lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, (x & 1) * 3988292384))),
+             4294967295) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM placed)),
+built AS (
+  SELECT c.conv_id, 0 AS own, pos, digest, chars FROM convs c JOIN placed p ON p.conv_id = c.base WHERE pos < h
+  UNION ALL SELECT c.conv_id, 1, pos, digest, chars FROM convs c JOIN placed p ON p.conv_id = c.conv_id WHERE pos >= h),
+paths AS (
+  SELECT conv_id, row_number() OVER w AS depth, chars, string_agg(digest, '') OVER w AS prefix
+  FROM built WINDOW w AS (PARTITION BY conv_id ORDER BY own, pos ROWS UNBOUNDED PRECEDING)
+  UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+lengths AS (SELECT conv_id, max(depth) AS n FROM paths GROUP BY conv_id),
+nodes AS (
+  SELECT prefix, any_value(depth) AS depth, any_value(chars) AS chars, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (depth = n), '')) AS ends_sha256
+  FROM paths JOIN lengths USING (conv_id) GROUP BY prefix),
+branches AS (SELECT substr(prefix, 1, length(prefix) - 32) AS prefix, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+whole AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN branches USING (prefix)),
+under AS (
+  SELECT p.prefix, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * w.chars) AS saved_tokens
+  FROM whole w JOIN paths p ON p.conv_id = w.conv_id AND p.depth <= w.depth GROUP BY p.prefix)
+SELECT w.conv_id, w.depth, up.conv_id AS parent_conv_id, w.n_convs, w.n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, w.ends_sha256
+FROM whole w JOIN under USING (prefix) LEFT JOIN nodes up ON w.depth > 0 AND up.prefix = substr(w.prefix, 1, length(w.prefix) - 32)"""
+
+STATEMENTS: dict[str, str] = {"op4_sainte_lague": SAINTE_LAGUE, "op11_prefix_trie": PREFIX_TRIE, "op12_rank_index": RANK_INDEX, "op13_markov_secrets": _secrets()}
