@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadlens.scale import spread
+from threadlens.scale import IN_PLACE_SETTINGS, spread
 
 START = "2024-01-01 00:00:00"
 RUN_TS = "2024-02-01 00:00:00"
@@ -28,12 +28,14 @@ FORMS = " ﬁne ½ ① ＺＡ"
 CONTRACTIONS = " I don't know, it's what they'll say: we CAN'T."
 
 
-def utc(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+def settings(spark: SparkSession) -> None:
+    """What the queries ask of the session."""
+    for name, value in {"spark.sql.session.timeZone": "UTC", **IN_PLACE_SETTINGS}.items():
+        spark.conf.set(name, value)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    utc(spark)
+    settings(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from threadlens.functions import tokens as tk
 from threadlens.functions.cleaning import empty_if_null
-from threadlens.scale import attach_dictionary, inline_lookup, map_columns, settled_entries
+from threadlens.scale import IN_PLACE_COLUMNS, attach_dictionary, inline_lookup, map_columns, settled_entries
 from threadlens.schemas import TEXT_COLUMNS, check_item_type
 
 LEMMA_MODES = ("dictionary", "lower", "none")
@@ -24,7 +24,8 @@ def normalize(df: DataFrame, columns: Sequence[str], lemma: str = "dictionary",
     ``stopwords=None`` keeps every word. ``lemmas`` is a mapping or a table
     ``(token, lemma[, pos])``; proper nouns in the table stay as written. Case does not
     matter; of several lemmas of a token the greatest counts, and staying as written
-    gives way to any. No row moves unless the table is too large for the tasks.
+    gives way to any. A mapping travels with the plan. A table may have any size: the rows
+    are laid out once, their words are joined with it and the lemmas found come back.
     """
     if lemma not in LEMMA_MODES:
         raise ValueError(f"lemma must be one of {LEMMA_MODES}")
@@ -45,7 +46,7 @@ def normalize(df: DataFrame, columns: Sequence[str], lemma: str = "dictionary",
             F.col("lemma").isNotNull() & ~numeric)
 
     if entries is None:
-        words = [F.transform(words_of(F.col(name)), F.lower) for name in columns]
+        words = lambda rows: [F.transform(words_of(rows[name]), F.lower) for name in columns]
         df, lookup = attach_dictionary(df, words, table, "token", "lemma")
     elif entries:
         entries = settled_entries(entries)
@@ -63,7 +64,7 @@ def normalize(df: DataFrame, columns: Sequence[str], lemma: str = "dictionary",
             words = tk.lemmatize(words, lookup, stop, keep, keeps_some)
         return tk.join_tokens(words)
 
-    df = map_columns(df, {f"{name}_normalized": name for name in columns}, normalized).drop("_hits")
+    df = map_columns(df, {f"{name}_normalized": name for name in columns}, normalized).drop(*IN_PLACE_COLUMNS)
     return df.withColumns({f"{name}_original": F.col(name) for name in columns})
 
 

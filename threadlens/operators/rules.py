@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from threadlens.functions import lexicon as lx
 from threadlens.functions.cleaning import empty_if_null
 from threadlens.functions.dates import run_stamp
-from threadlens.scale import attach_dictionary, inline_lookup, map_columns, settled_entries
+from threadlens.scale import IN_PLACE_COLUMNS, attach_dictionary, inline_lookup, map_columns, settled_entries
 from threadlens.schemas import TEXT_COLUMNS, check_item_type
 
 
@@ -35,17 +35,18 @@ def score_rules(df: DataFrame, columns: Mapping[str, str] | Sequence[str],
 
     ``lexicon`` is a mapping, for a short list, or a table ``(token, valence)`` of any
     size. Case does not matter; of several valences of a token the greatest counts.
-    Scoring is a plain projection unless the table is too large to be sent to the tasks.
+    Scoring by a mapping is a plain projection; for a table the rows are laid out
+    once and its entries found among their words come back to them.
     """
     if not isinstance(columns, Mapping):
         columns = {f"{name}_sentiment": name for name in columns}
     if isinstance(lexicon, DataFrame):
         table = lexicon.select(F.lower("token").alias("token"), F.col("valence").cast("double").alias("valence"))
-        words = [F.transform(lx.rule_tokens(empty_if_null(F.col(name))), F.lower) for name in columns.values()]
+        words = lambda rows: [F.transform(lx.rule_tokens(empty_if_null(rows[name])), F.lower) for name in columns.values()]
         df, lookup = attach_dictionary(df, words, table, "token", "valence")
     else:
         lookup = inline_lookup(settled_entries({t: float(v) for t, v in lexicon.items()}), "double")
-    return map_columns(df, columns, lambda t: lx.rule_score(t, lookup, threshold)).drop("_hits")
+    return map_columns(df, columns, lambda t: lx.rule_score(t, lookup, threshold)).drop(*IN_PLACE_COLUMNS)
 
 
 def score_rules_batch(df: DataFrame, item_type: str = "submission", use_normalized: bool = True,

@@ -8,16 +8,12 @@ import uuid
 import zlib
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Largest side that is broadcast on our own decision.
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 BROADCAST_MAX_ROWS = 1_000_000
-# Largest dictionary table that travels with the plan; larger ones are joined, with the
-# same result.
-INLINE_MAX_ROWS = 100_000
-INLINE_MAX_BYTES = 8 * 1024 * 1024
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -66,20 +62,68 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_FIXED_BYTES = 16
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes: the lengths of its texts and some for each other value."""
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema if f.dataType.typeName() in ("string", "binary")]
+    nested = [F.coalesce(F.octet_length(F.to_json(F.struct(f.name))), F.lit(0)) for f in df.schema
+              if f.dataType.typeName() in ("array", "map", "struct", "variant")]
+    return (sum(texts + nested, F.lit(0)) + _FIXED_BYTES * len(df.columns)).cast("long")
+
+
 def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES,
                        max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Hint a broadcast when the measured size allows it; else leave the join
     strategy to the optimizer.
 
-    Needed where Spark has no size estimate, as after a checkpoint. Rows are counted
-    by a plain aggregate, one number a task; only a table of at most ``max_rows`` is
-    measured in bytes.
+    Needed where Spark has no size estimate, as after a checkpoint. One plain aggregate
+    counts rows and bytes, two numbers a task.
+    """
+    rows, measured = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_bytes(df)), F.lit(0))).first()
+    return F.broadcast(df) if rows <= max_rows and measured <= max_bytes else df
+
+
+def settled_side(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES,
+                 max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
+    """The side of a join, computed once and kept by a checkpoint, and whether it is small
+    enough to be broadcast. It is measured while it is written."""
+    seen = Observation("side")
+    kept = cut_lineage(df.observe(seen, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")))
+    measured = seen.get
+    small = measured["rows"] <= max_rows and measured["bytes"] <= max_bytes
+    return (F.broadcast(kept) if small else kept), small
+
+
+# Where rows lie: the file of a layout, and the row in it.
+PART, ROW = "__part", "__row"
+# A join on both columns may then rely on a layout that is bucketed by the first.
+IN_PLACE_SETTINGS = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
+
+
+def laid_out(df: DataFrame, buckets: int | None = None) -> DataFrame:
+    """The rows with the columns ``PART`` and ``ROW``, written once where they are.
+
+    Each task writes one file, no row moves. The files are bucketed by ``PART``, so
+    what is computed a row can be grouped and joined back by both columns without an
+    Exchange of the rows; for joins the session needs ``IN_PLACE_SETTINGS`` (without them the result is
+    the same, but the join shuffles).
     """
-    if df.count() > max_rows:
-        return df
-    width = F.coalesce(F.octet_length(F.to_json(F.struct("*"))), F.lit(0)).cast("long")
-    measured = df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()["bytes"]
-    return F.broadcast(df) if measured <= max_bytes else df
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"laid_out_{uuid.uuid4().hex}"
+    numbered = df.withColumns({PART: F.spark_partition_id(), ROW: F.monotonically_increasing_id()})
+    (numbered.write.format("parquet").option("compression", "zstd").option("path", scratch_path(spark, name))
+     .bucketBy(buckets, PART).saveAsTable(name))
+    rows = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")     # the name only; the files have a path of their own
+    return rows
+
+
+def joined_in_place(rows: DataFrame, values: DataFrame) -> DataFrame:
+    """The rows of a layout with ``values``, at most one row each, joined by ``PART`` and ``ROW``."""
+    return rows.join(values, [PART, ROW], "left")
 
 
 def top_n_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int,
@@ -128,26 +172,26 @@ def settled_entries(entries: Mapping[str, object]) -> dict[str, object]:
     return result
 
 
-def attach_dictionary(df: DataFrame, tokens: Sequence[Column], table: DataFrame, key: str, value: str,
-                      max_rows: int = INLINE_MAX_ROWS,
-                      max_bytes: int = INLINE_MAX_BYTES) -> tuple[DataFrame, Callable[[Column], Column]]:
-    """``df`` and a lookup function for a dictionary held in a table of lower-case keys.
+def attach_dictionary(df: DataFrame, tokens: Callable[[DataFrame], Sequence[Column]], table: DataFrame, key: str, value: str,
+                      max_bytes: int = BROADCAST_MAX_BYTES,
+                      max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, Callable[[Column], Column]]:
+    """``df`` and a lookup function for a dictionary of any size held in a table of lower-case keys.
 
-    Of several values of a key the greatest counts, whatever the size. Up to
-    ``max_rows`` and ``max_bytes``, both measured, the dictionary goes to the tasks with
-    the plan and no row moves. Beyond, the words of each row are joined with it; rows
-    are told apart by a number of their own, so the table needs no id. Drop the column
-    ``_hits`` afterwards.
+    Of several values of a key the greatest counts. The rows are laid out once and stay
+    where they are; only their distinct words move. A dictionary that is measured to be
+    small is broadcast to the words, and then nothing moves at all; a larger one meets
+    them by a shuffle of words, and the hits go back to their rows by a shuffle of hits.
+    Use the lookup on the returned table, then drop ``IN_PLACE_COLUMNS``.
     """
-    entries = cut_lineage(table.filter(F.col(key).isNotNull() & F.col(value).isNotNull())
-                          .groupBy(F.col(key).alias("_k")).agg(F.max(value).alias("_v")))
-    width = F.octet_length("_k") + F.octet_length(F.col("_v").cast("string")) + 16
-    rows, total = entries.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
-    if rows <= max_rows and total <= max_bytes:
-        held = {row["_k"]: row["_v"] for row in entries.collect()}
-        return df, inline_lookup(held, entries.schema["_v"].dataType.simpleString())
-    numbered = cut_lineage(df.withColumn("_row", F.monotonically_increasing_id()))
-    words = numbered.select("_row", F.explode(F.array_distinct(F.flatten(F.array(*tokens)))).alias("_k"))
-    hits = (words.join(entries, "_k").groupBy("_row")
-            .agg(F.map_from_entries(F.collect_list(F.struct("_k", "_v"))).alias("_hits")))
-    return numbered.join(hits, "_row", "left").drop("_row"), lambda word: F.try_element_at(F.col("_hits"), word)
+    entries, _ = settled_side(
+        table.filter(F.col(key).isNotNull() & F.col(value).isNotNull())
+        .groupBy(F.col(key).alias("__k")).agg(F.max(value).alias("__v")), max_bytes, max_rows)
+    rows = laid_out(df)
+    words = rows.select(PART, ROW, F.explode(F.array_distinct(F.flatten(F.array(*tokens(rows))))).alias("__k"))
+    hits = (words.join(entries, "__k").groupBy(PART, ROW)
+            .agg(F.map_from_entries(F.collect_list(F.struct("__k", "__v"))).alias(HITS)))
+    return joined_in_place(rows, hits), lambda word: F.try_element_at(F.col(HITS), word)
+
+
+HITS = "__hits"
+IN_PLACE_COLUMNS = (PART, ROW, HITS)
