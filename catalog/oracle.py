@@ -28,6 +28,35 @@ def _hits(words) -> str:
     return f"CAST({one('title')} + {one('text')} AS INTEGER)"
 
 
+# Phrases of the benchmark texts met with all windows of as many tokens (blanks are tokens as
+# well, so two words are three); of finds that overlap the first counts.
+_MOST = 20
+_TOKEN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_]"
+_sides = ", ".join(f"lead(t, {k}) OVER w AS t{k}" for k in range(1, _MOST + 1))
+_windows = "\n  UNION ALL ".join(f"SELECT id, side, i, {m} AS m, before, concat({', '.join(f't{k}' for k in range(m))}) AS phrase, t{m} AS after "
+                                 f"FROM starts WHERE t{m} IS NOT NULL" for m in range(3, _MOST + 1))
+PHRASES = rf"""phrases AS (
+  SELECT DISTINCT lower(array_to_string(w[i:i + n - 1], ' ')) AS phrase
+  FROM (SELECT list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '') AS w FROM benchmark),
+       (SELECT unnest(range(1, 400)) AS i), (SELECT unnest([2, 3, 4, 5]) AS n) WHERE i + n - 1 <= len(w)),
+toks AS (
+  SELECT id, side, unnest(w) AS t, unnest(range(len(w))) AS i FROM (
+    SELECT id, side, regexp_extract_all(concat(' ', lower(regexp_replace(t, '\s+', ' ', 'g')), ' '), '{_TOKEN}') AS w
+    FROM (SELECT id, 0 AS side, title AS t FROM posts UNION ALL SELECT id, 1, text FROM posts))),
+starts AS MATERIALIZED (
+  SELECT * FROM (SELECT id, side, i, lag(t) OVER w AS before, t AS t0, {_sides} FROM toks WINDOW w AS (PARTITION BY id, side ORDER BY i))
+  WHERE concat(t0, t1, t2) IN (SELECT array_to_string(regexp_extract_all(phrase, '{_TOKEN}')[1:3], '') FROM phrases)),
+finds AS (
+  SELECT id, side, phrase, i, m FROM ({_windows}) JOIN phrases USING (phrase)
+  WHERE NOT regexp_matches(concat(right(before, 1), left(phrase, 1)), '^[\p{{L}}\p{{N}}_][^\p{{L}}\p{{N}}_]')
+    AND NOT regexp_matches(concat(right(phrase, 1), left(after, 1)), '^[^\p{{L}}\p{{N}}_][\p{{L}}\p{{N}}_]')),
+hits AS (
+  SELECT id, phrase, sum(n) AS n FROM (
+    SELECT id, side, phrase, list_reduce(list_prepend({{'n': 0, 'stop': 0, 'at': 0}}, list({{'n': 0, 'stop': 0, 'at': CAST(i AS INTEGER)}} ORDER BY i)),
+             lambda a, x: CASE WHEN x.at >= a.stop THEN {{'n': a.n + 1, 'stop': CAST(x.at + m AS INTEGER), 'at': 0}} ELSE a END).n AS n
+    FROM finds GROUP BY id, side, phrase, m) GROUP BY id, phrase)"""
+
+
 def _week(as_of: str, span: str = "7 days") -> str:
     return f"created_utc >= TIMESTAMP '{as_of}' - INTERVAL '{span}'"
 
@@ -171,6 +200,12 @@ def statements() -> dict[str, str]:
     out: dict[str, str] = {}
 
     out["keyword_match"] = f"WITH {P} SELECT id, {_matched(sq.KEYWORDS)} AS matched FROM posts"
+    out["keyword_match_table"] = f"""WITH {P}, {PHRASES}
+      SELECT p.id, count(phrase) AS n_phrases, md5(coalesce(string_agg(phrase, '|' ORDER BY phrase), '')) AS phrases_md5
+      FROM posts p LEFT JOIN hits USING (id) GROUP BY p.id"""
+    out["keyword_search_table"] = f"""WITH {P}, {PHRASES}
+      SELECT id, any_value(subreddit) AS subreddit, CAST(sum(n) AS BIGINT) AS occurrences FROM posts JOIN hits USING (id)
+      WHERE {_week(v.POSTS_AS_OF)} GROUP BY id ORDER BY occurrences DESC, id LIMIT 30"""
     out["extract_keywords"] = "SELECT doc_id, concat(source, '|', lang, ' x|solo') AS keywords FROM documents"
     out["group_scope"] = (f"WITH {P} SELECT id, subreddit FROM posts WHERE subreddit IN "
                           "('src0','src1','src2','src3','src4','src5')")

@@ -17,6 +17,7 @@ from threadlens.operators import clean as oc
 from threadlens.operators import compare as cmp
 from threadlens.operators import model as om
 from threadlens.operators import normalize as on
+from threadlens.operators import phrases as ph
 from threadlens.operators import quota as oq
 from threadlens.operators import rules as orl
 from threadlens.operators import search as se
@@ -66,6 +67,30 @@ def keyword_match(spark, d):
     return p.select("id", keywords.matches(KEYWORDS, F.col("title"), F.col("text")).alias("matched"))
 
 
+def _benchmark_phrases(spark, d):
+    """Every two to five consecutive words of the benchmark texts, thousands of phrases."""
+    words = v.table(spark, d, "benchmark").select(F.filter(F.split("text", r"\s+"), lambda w: w != "").alias("w"))
+    starts = words.select("w", F.posexplode("w").alias("at", "first"))
+    windows = starts.select(F.explode(F.array(*[F.when(F.col("at") + n <= F.size("w"), F.array_join(F.slice("w", F.col("at") + 1, F.lit(n)), " "))
+                                                for n in (2, 3, 4, 5)])).alias("phrase"))
+    return windows.filter("phrase is not null").distinct()
+
+
+@query
+def keyword_match_table(spark, d):
+    """Which of thousands of phrases each post holds."""
+    p = ph.match_phrases(v.posts(spark, d, v.texts), ["title", "text"], _benchmark_phrases(spark, d))
+    found = F.transform(ph.MATCHED, lambda hit: hit["phrase"])
+    return p.select("id", F.size(ph.MATCHED).cast("long").alias("n_phrases"), F.md5(F.array_join(found, "|")).alias("phrases_md5"))
+
+
+@query
+def keyword_search_table(spark, d):
+    """The thirty posts of the last week that hold phrases of the list most often."""
+    found = se.keyword_search(v.posts(spark, d, v.texts), _benchmark_phrases(spark, d), search_all=True, limit=30, as_of=v.POSTS_AS_OF)
+    return found.select("id", "subreddit", ph.occurrences_of(F.col(ph.MATCHED)).alias("occurrences"))
+
+
 @query
 def extract_keywords(spark, d):
     docs = v.table(spark, d, "documents")

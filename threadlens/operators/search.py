@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 from threadlens.functions import dates
 from threadlens.functions.keywords import as_list, matches, occurrences
+from threadlens.operators.phrases import MATCHED, match_phrases, occurrences_of
 from threadlens.operators.quota import allocate_budget, initial_limits, quota_table
 from threadlens.scale import cut_lineage, top_n_per_group
 
+Keywords = str | Sequence[str] | DataFrame
+
 DEFAULT_TIME_FILTER = "week"
 DEFAULT_LIMIT = 100
 DEFAULT_SORT = "relevance"
@@ -50,8 +53,10 @@ def in_window(posts: DataFrame, time_filter: str, as_of: datetime | str | None =
     return posts.filter(dates.within(F.col("created_utc"), time_filter, end.cast(kind)))
 
 
-def sort_key(sort: str, keywords: str | Sequence[str] = ()) -> Column:
+def sort_key(sort: str, keywords: Keywords = ()) -> Column:
     """What a sort mode orders by, largest first."""
+    if sort == "relevance" and isinstance(keywords, DataFrame):
+        return occurrences_of(F.col(MATCHED))
     if sort == "relevance":
         return occurrences(keywords, F.col("title"), F.col("text"))
     if sort == "hot":
@@ -71,26 +76,28 @@ def _ranked(key: str = "sort_key") -> list[Column]:
     return [F.col(key).desc_nulls_last(), F.col("id").asc()]
 
 
-def sort_posts(posts: DataFrame, sort: str, limit: int | None = None,
-               keywords: str | Sequence[str] = ()) -> DataFrame:
+def sort_posts(posts: DataFrame, sort: str, limit: int | None = None, keywords: Keywords = ()) -> DataFrame:
     """Posts in the order of a sort mode, ties by id. With a limit, Spark keeps
     only the first rows of each partition instead of sorting everything."""
     ordered = posts.withColumn("sort_key", sort_key(sort, keywords)).orderBy(*_ranked())
     return ordered if limit is None else ordered.limit(limit)
 
 
-def found_posts(posts: DataFrame, keywords: str | Sequence[str],
+def found_posts(posts: DataFrame, keywords: Keywords,
                 groups: str | Sequence[str] | None = None, time_filter: str | None = "all",
                 as_of: datetime | str | None = None, group_col: str = "subreddit") -> DataFrame:
     """All matching posts, without order or limit. Time, and groups where the table has
-    a ``group_key``, reach the scan; the text match cannot. No time filter means all."""
+    a ``group_key``, reach the scan; the text match cannot. No time filter means all.
+    Keywords may be a table ``(phrase)`` of any length; hits then keep ``matched_phrases``."""
     scoped = in_groups(posts, groups, group_col)
     if time_filter is not None:
         scoped = in_window(scoped, time_filter, as_of)
+    if isinstance(keywords, DataFrame):
+        return match_phrases(scoped, ["title", "text"], keywords).filter(F.size(MATCHED) > 0)
     return scoped.filter(matches(keywords, F.col("title"), F.col("text")))
 
 
-def keyword_search(posts: DataFrame, keywords: str | Sequence[str],
+def keyword_search(posts: DataFrame, keywords: Keywords,
                    groups: str | Sequence[str] | None = None, search_all: bool = False,
                    time_filter: str | None = DEFAULT_TIME_FILTER, limit: int | None = DEFAULT_LIMIT,
                    sort: str = DEFAULT_SORT, weights: Mapping[str, float] | None = None,
@@ -99,6 +106,8 @@ def keyword_search(posts: DataFrame, keywords: str | Sequence[str],
                    strict: bool = False) -> DataFrame:
     """Search one group, several with a weighted budget, or everything.
 
+    ``keywords`` are phrases, or a table ``(phrase)`` of any length, whose hits come with
+    ``matched_phrases``.
     ``time_filter=None`` means any time, ``limit=None`` all matches; those come without
     order and, with groups, with NULL in ``rank`` and ``phase``, and take no limits of
     groups. Names, weights and limits of groups count in any case; of two spellings the
