@@ -237,15 +237,37 @@ def test_mix(docs, rows):
 
 
 def test_quotas_are_highest_quotients(spark):
-    goal = spark.createDataFrame([("a", 1, 100, 900, 530.0), ("b", 2, 500, 900, 240.0), (None, 3, 300, 900, 130.0)],
-                                 "source string, weight long, source_size long, _total long, target double")
-    got = Counter()
-    for r in apportion.quotas(goal, shards=4, blocks=0).collect():
+    goal = spark.createDataFrame([("a", 1, 100, 900, 530.0), ("b", 2, 500, 900, 240.0), (None, 3, 300, 900, 130.0), ("big", 1, 60_000, 900, 60_000.0),
+                                  ("half", 1, 45_000, 900, 45_000.5)], "source string, weight long, source_size long, _total long, target double")
+    got, blocks = Counter(), {}
+    for r in apportion.quotas(goal, shards=4).collect():
         got[r["source"]] += r["quota"]
-        block = r["block_words"]
-    seats = -(-900 // block)
-    best = sorted((-t / (2 * k + 1), s) for s, t in (("a", 530), ("b", 240), ("z", 130)) for k in range(seats))[:seats]
-    assert got == Counter(None if s == "z" else s for _, s in best)
+        blocks[r["source"]] = r["block_words"]
+    assert blocks == {"a": 1, "b": 1, None: 1, "big": 16, "half": 16}
+    best = sorted((-t / (2 * k + 1), s) for s, t in (("a", 530), ("b", 240), ("z", 130)) for k in range(900))[:900]
+    large = sorted((-t / (2 * k + 1), s) for s, t in (("big", 60_000), ("half", 45_000.5)) for k in range(9000))[:6563]
+    assert got == Counter(None if s == "z" else s for _, s in best + large)
+
+
+@pytest.mark.parametrize("scale", [1, 1000])
+def test_small_sources_come_near_their_targets(spark, scale):
+    """Ten large sources and small ones: every source within 1 % or three words of its target."""
+    sizes = {f"large{i}": 1_000_000 * scale for i in range(10)} | {f"small{i}": n for i, n in enumerate((20, 40, 60, 90, 160, 200, 300, 1000, 7777, 65_537))}
+    texts = [(source, part) for source, n in sizes.items() for part in [n // 7] * 6 + [n - 6 * (n // 7)]]
+    sized = spark.createDataFrame([(i, source, size, i * 7919 % (1 << 28)) for i, (source, size) in enumerate(texts)], "doc_id long, source string, size long, place long")
+    taken, goal = Counter(), {}
+    for r in apportion.shared_out(sized).collect():
+        taken[r["source"]] += r["taken"]
+        goal[r["source"]] = r["target"]
+        assert 0 <= r["taken"] <= 3 * r["size"]
+    assert sum(sizes.values()) > 65_536 and set(goal) == set(sizes)
+    assert all(abs(taken[s] - goal[s]) <= max(3, 0.01 * goal[s]) for s in sizes)
+
+
+def test_mix_keeps_columns_that_sound_like_its_own(spark):
+    df = spark.createDataFrame([(i, f"some words {i}", "s", 5, 6, "t") for i in range(9)], "doc_id long, text string, source string, _copy int, _taken int, _size string")
+    out = apportion.mixed(df)
+    assert out.columns == df.columns and {tuple(r)[3:] for r in out.collect()} == {(5, 6, "t")}
 
 
 def test_mixed_texts_follow_the_plan(docs, odd, empty):

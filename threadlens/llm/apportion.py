@@ -1,11 +1,14 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment.
 
-The mix has as many words as the corpus. It is cut into equal blocks of words; the
-blocks go one by one to the source with the highest quotient target / (2k + 1), where
-k is what it has already. Quotients in descending order are dealt to the output shards
-in runs, so each shard has an integer quota for each source and any run of shards is in
-proportion. A source's own blocks lie in a seeded order of its texts; a quota above its
-blocks passes through them again, three times at most.
+The mix has as many words as the corpus. Sources are apportioned in rounds of their
+like: a round holds the sources whose targets lie within a factor of 16, and the sum of
+its targets is cut into equal blocks, at least 256 to a target (or one word). The blocks
+of a round go one by one to the source with the highest quotient target / (2k + 1),
+where k is what it has already, so a source misses its target by about a block, 0.4 % of
+it, whatever the size of the others. Quotients in descending order are dealt to the
+output shards in runs, so each shard has an integer quota for each source and any run of
+shards is in proportion. The words of a quota are walked through the source's texts in
+seeded order, round and round, three times at most.
 """
 
 from __future__ import annotations
@@ -15,9 +18,10 @@ from pyspark.sql import functions as F
 
 from threadlens.llm.common import WORD, n_words, settle, sized_side
 
-# Blocks of the whole mix, and blocks for each source on top; bounds the quotients.
-BLOCKS = 65536
-BLOCKS_PER_SOURCE = 64
+# A target has at least this many blocks where blocks have several words, and less than
+# 2 ** ROUND_BITS times as many; bounds the quotients.
+LEAST_BLOCKS = 256
+ROUND_BITS = 4
 SHARDS = 16
 MOST_REPEATS = 3
 # Slices of a source's seeded order; each is summed by itself.
@@ -58,27 +62,35 @@ def targets(sizes: DataFrame) -> DataFrame:
                     .otherwise(F.least(F.col("_open") * F.col("weight"), F.col("_limit").cast("double"))).alias("target")))
 
 
-def quotas(goal: DataFrame, shards: int = SHARDS, blocks: int = BLOCKS) -> DataFrame:
+def quotas(goal: DataFrame, shards: int = SHARDS, least_blocks: int = LEAST_BLOCKS) -> DataFrame:
     """Blocks of each source in each shard: ``source, shard, quota`` and ``block_words``.
 
-    A source can win at most target * (M + n/2) / total + 1/2 of M blocks among n sources,
-    so about M + 2n quotients are made in all, however large the corpus is.
+    A source can win at most target * (M + n/2) / sum + 1/2 of the M blocks of a round of
+    n sources, so at most some 16 * LEAST_BLOCKS quotients are made for a source, however
+    large the corpus is.
     """
-    whole = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    per_round = Window.partitionBy("block_words")
+    # Powers of two, so that comparing them with a target is exact.
+    steps = F.sequence(F.lit(1), F.lit(52 // ROUND_BITS))
+    rounds = F.size(F.filter(steps, lambda k: F.col("target") >= least_blocks * F.pow(F.lit(2.0 ** ROUND_BITS), k)))
     base = (goal.filter(F.col("target") > 0)
-            .withColumn("_n", F.count(F.lit(1)).over(whole))
-            .withColumn("block_words", F.greatest(F.lit(1), F.expr(f"_total div ({blocks} + {BLOCKS_PER_SOURCE} * _n)")).cast("long"))
-            .withColumn("_seats", F.ceil(F.col("_total") / F.col("block_words")).cast("long")))
-    most = F.ceil(F.col("target") * (F.col("_seats") + F.col("_n") / 2) / F.col("_total") + 0.5).cast("long")
+            .withColumn("block_words", F.pow(F.lit(2.0 ** ROUND_BITS), rounds).cast("long"))
+            .withColumn("_n", F.count(F.lit(1)).over(per_round))
+            # Exact decimals, so that the sum does not depend on its order.
+            .withColumn("_sum", F.sum(F.round("target", 3).cast("decimal(30,3)")).over(per_round).cast("double"))
+            .withColumn("_seats", F.greatest(F.lit(1), F.round(F.col("_sum") / F.col("block_words"))).cast("long")))
+    most = F.ceil(F.col("target") * (F.col("_seats") + F.col("_n") / 2) / F.col("_sum") + 0.5).cast("long")
     seats = (base.withColumn("_k", F.explode(F.sequence(F.lit(0).cast("long"), most)))
-             .withColumn("_cost", F.col("_total") * (2 * F.col("_k") + 1) / F.col("target"))
+             .withColumn("_cost", (2 * F.col("_k") + 1) / F.col("target"))
              # Quotients are evenly dense in their reciprocal, so equal slices hold about as many each.
-             .withColumn("_slice", F.least(F.lit(QUOTIENT_SLICES * 2), F.floor(F.col("_cost") * QUOTIENT_SLICES / (2 * F.col("_seats")))).cast("int")))
-    earlier = (seats.groupBy("_slice").agg(F.count(F.lit(1)).alias("_c"))
-               .withColumn("_before", F.coalesce(F.sum("_c").over(Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-               .select("_slice", "_before"))
-    rank = F.row_number().over(Window.partitionBy("_slice").orderBy("_cost", F.col("source").asc_nulls_last()))
-    return (seats.join(F.broadcast(earlier), "_slice")      # at most 2 * QUOTIENT_SLICES + 1 rows
+             .withColumn("_slice", F.least(F.lit(QUOTIENT_SLICES * 2), F.floor(
+                 F.col("_cost") * F.col("_sum") * QUOTIENT_SLICES / (2 * F.col("_seats")))).cast("int")))
+    earlier = (seats.groupBy("block_words", "_slice").agg(F.count(F.lit(1)).alias("_c"))
+               .withColumn("_before", F.coalesce(F.sum("_c").over(
+                   Window.partitionBy("block_words").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+               .select("block_words", "_slice", "_before"))
+    rank = F.row_number().over(Window.partitionBy("block_words", "_slice").orderBy("_cost", F.col("source").asc_nulls_last()))
+    return (seats.join(F.broadcast(earlier), ["block_words", "_slice"])     # at most 14 rounds of 2 * QUOTIENT_SLICES + 1 rows
             .withColumn("_rank", rank + F.col("_before") - 1)
             .filter(F.col("_rank") < F.col("_seats"))
             .withColumn("shard", F.expr(f"cast(_rank * {shards} div _seats as int)"))
@@ -94,27 +106,27 @@ def mix(docs: DataFrame, seed: int = 7, shards: int = SHARDS, id_column: str = "
     repeat are separate texts; ties in the seeded order go by id, then size. An empty
     table gives no rows. Columns other than id, text and source are not read.
     """
-    rows = settle(sized(docs, seed, id_column))      # narrow: texts are read once
+    return shared_out(settle(sized(docs, seed, id_column)), shards)     # narrow: texts are read once
+
+
+def shared_out(rows: DataFrame, shards: int = SHARDS) -> DataFrame:
+    """``mix`` for a table of ids, sources, sizes and places."""
     goal = settle(targets(rows))
-    quota = (quotas(goal, shards).groupBy(F.col("source").alias("_named"), F.col("block_words").alias("_block"))
-             .agg(F.sum("quota").alias("_quota")))
+    quota = quotas(goal, shards).groupBy(F.col("source").alias("_named")).agg(F.sum(F.col("quota") * F.col("block_words")).alias("_words"))
     sliced = rows.withColumn("_slice", F.expr(f"cast(place div {(1 << 28) // SLICES} as int)"))
     slices = (sliced.groupBy(F.col("source").alias("_of"), F.col("_slice").alias("_in")).agg(F.sum("size").alias("_sum"))
               .withColumn("_start", F.coalesce(F.sum("_sum").over(
                   Window.partitionBy("_of").orderBy("_in").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))))
     per_source = goal.join(quota, F.col("source").eqNullSafe(F.col("_named")), "left").select(
-        F.col("source").alias("_source"), "source_size", "target", F.coalesce("_block", F.lit(1)).alias("_block"),
-        F.coalesce("_quota", F.lit(0)).alias("_quota"))
+        F.col("source").alias("_source"), "source_size", "target",
+        F.least(F.coalesce("_words", F.lit(0)), F.col("source_size") * MOST_REPEATS).alias("_words"))
     starts = slices.join(per_source, F.col("_of").eqNullSafe(F.col("_source"))).select(
-        "_of", "_in", "_start", "source_size", "target", "_block", "_quota",
-        # Blocks that the source has itself.
-        F.expr("cast(ceil(source_size / _block) as long)").alias("_own"))
+        "_of", "_in", "_start", "source_size", "target",
+        F.expr("_words div greatest(source_size, 1)").alias("_passes"), F.expr("_words % greatest(source_size, 1)").alias("_reach"))
     inside = Window.partitionBy("source", "_slice").orderBy("place", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     placed = sliced.withColumn("_within", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     return (placed.join(starts, F.col("source").eqNullSafe(F.col("_of")) & (F.col("_slice") == F.col("_in")))
             .withColumn("_at", F.col("_start") + F.col("_within"))
-            .withColumn("_passes", F.expr(f"least(_quota div greatest(_own, 1), {MOST_REPEATS})"))
-            .withColumn("_reach", F.when(F.col("_passes") < MOST_REPEATS, F.expr("pmod(_quota, greatest(_own, 1)) * _block")).otherwise(0))
             .select("doc_id", "source", "size", "source_size", "target",
                     (F.col("_passes") * F.col("size")
                      + F.greatest(F.lit(0), F.least(F.col("size"), F.col("_reach") - F.col("_at")))).cast("long").alias("taken")))
@@ -125,16 +137,17 @@ def mixed(docs: DataFrame, seed: int = 7) -> DataFrame:
     most one text of a source cut to the words that are left for it.
 
     Texts that the mix does not take, and texts without words, are not in it. Rows alike in
-    id, source and size are taken alike.
+    id, source and size are taken alike. Columns may have any names but those that begin
+    with two underscores.
     """
-    taken = (mix(docs, seed).filter("taken > 0").groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_of"), F.col("size").alias("_size"))
-             .agg(F.max("taken").alias("_taken")))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_of")) & (n_words(F.col("text")) == F.col("_size"))
-    times = F.expr("sequence(1L, (_taken + _size - 1) div _size)")
-    rest = F.expr("_taken - (_copy - 1) * _size")
-    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)), F.lit(1), F.col("_rest").cast("int")), " ")
-    out = (docs.join(sized_side(taken), same).withColumn("_copy", F.explode(times)).withColumn("_rest", rest)
-           .withColumn("text", F.when(F.col("_rest") < F.col("_size"), cut).otherwise(F.col("text"))))
+    taken = (mix(docs, seed).filter("taken > 0").groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__of"), F.col("size").alias("__size"))
+             .agg(F.max("taken").alias("__taken")))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__of")) & (n_words(F.col("text")) == F.col("__size"))
+    times = F.expr("sequence(1L, (__taken + __size - 1) div __size)")
+    rest = F.expr("__taken - (__copy - 1) * __size")
+    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)), F.lit(1), F.col("__rest").cast("int")), " ")
+    out = (docs.join(sized_side(taken), same).withColumn("__copy", F.explode(times)).withColumn("__rest", rest)
+           .withColumn("text", F.when(F.col("__rest") < F.col("__size"), cut).otherwise(F.col("text"))))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.char_length("text").cast(dict(docs.dtypes)["n_chars"]))
     return out.select(*docs.columns)

@@ -22,20 +22,20 @@ t AS (
   SELECT source, source_size, total, CASE WHEN first_open IS NULL OR place < first_open THEN CAST(cap AS DOUBLE)
          ELSE least((SELECT level FROM l WHERE place = first_open) * weight, CAST(cap AS DOUBLE)) END AS target
   FROM l, f),
+b AS (
+  SELECT *, CAST(pow(16, (SELECT count(*) FROM range(1, 14) x(i) WHERE target >= 256 * pow(16.0::DOUBLE, i))) AS BIGINT) AS block FROM t WHERE target > 0),
 s AS (
-  SELECT *, CAST(ceil(CAST(total AS DOUBLE) / block) AS BIGINT) AS seats FROM (
-    SELECT *, greatest(1, total // (65536 + 64 * count(*) OVER ())) AS block, count(*) OVER () AS n FROM t WHERE target > 0)),
+  SELECT *, CAST(greatest(1, round(whole / block)) AS BIGINT) AS seats FROM (
+    SELECT *, count(*) OVER (PARTITION BY block) AS n, CAST(sum(CAST(round(target, 3) AS DECIMAL(30, 3))) OVER (PARTITION BY block) AS DOUBLE) AS whole FROM b)),
 k AS (
-  SELECT source, block, row_number() OVER (ORDER BY CAST(total * (2 * k + 1) AS DOUBLE) / target, source NULLS LAST) AS place, seats
-  FROM (SELECT *, unnest(range(CAST(ceil(target * (seats + n / 2) / total + 0.5) AS BIGINT) + 1)) AS k FROM s)),
-q AS (SELECT source, any_value(block) AS block, count(*) AS quota FROM k WHERE place <= seats GROUP BY source),
+  SELECT source, block, row_number() OVER (PARTITION BY block ORDER BY CAST(2 * k + 1 AS DOUBLE) / target, source NULLS LAST) AS place, seats
+  FROM (SELECT *, unnest(range(CAST(ceil(target * (seats + n / 2) / whole + 0.5) AS BIGINT) + 1)) AS k FROM s)),
+q AS (SELECT source, count(*) * any_value(block) AS words FROM k WHERE place <= seats GROUP BY source),
 g AS (
-  SELECT t.source, source_size, target, coalesce(block, 1) AS block, coalesce(quota, 0) AS quota,
-         greatest(CAST(ceil(CAST(source_size AS DOUBLE) / coalesce(block, 1)) AS BIGINT), 1) AS own
-  FROM t LEFT JOIN q ON t.source IS NOT DISTINCT FROM q.source)
+  SELECT t.source, source_size, target, least(coalesce(words, 0), cap) AS words, greatest(source_size, 1) AS own
+  FROM (SELECT *, 3 * source_size AS cap FROM t) t LEFT JOIN q ON t.source IS NOT DISTINCT FROM q.source)
 SELECT doc_id, size, source_size, target,
-       CAST(least(quota // own, 3) * size + greatest(0, least(size,
-         CASE WHEN quota // own < 3 THEN quota % own * block ELSE 0 END - start)) AS BIGINT) AS taken
+       CAST(words // own * size + greatest(0, least(size, words % own - start)) AS BIGINT) AS taken
 FROM (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY place, doc_id, size
                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM d) x
 JOIN g ON x.source IS NOT DISTINCT FROM g.source"""
