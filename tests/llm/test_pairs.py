@@ -8,6 +8,8 @@ from itertools import combinations
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tests.llm.conftest import SCHEMA, WORD, words_of
 from threadlens.llm import chaining, jaccard, repeats, words
@@ -309,5 +311,21 @@ def test_pipeline_runs_on_an_empty_table(spark, empty, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
 
 
-def test_extra_columns_are_carried(docs):
-    assert set(SCHEMA.replace(",", " ").split()[::2]) == set(docs.columns)
+CLASHING = ("_kept", "_again", "_starts", "_ends", "_key", "_lang_pred", "_copy", "_rest", "_taken", "lang_pred", "score", "key", "sig", "taken", "component_id", "n_words")
+
+
+def test_stages_carry_columns_that_sound_like_their_own(spark, odd):
+    df = odd.select("doc_id", "text", "lang", "source", "n_chars", *[F.concat(F.lit(f"{name} of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).alias(name)
+                                                                      for name in CLASHING])
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, df, "")
+        assert out.columns == df.columns
+        rows = out.collect()
+        assert rows and all(r[name] == f"{name} of {'none' if r['doc_id'] is None else r['doc_id']}" for r in rows for name in CLASHING)
+
+
+def test_without_labels_texts_with_letters_stay(spark, docs):
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    stay = corpus_pipeline.identify_language(spark, unlabelled, "")
+    want = sorted(r["doc_id"] for r in docs.collect() if r["text"] and any(map(str.isalpha, r["text"])))
+    assert stay.columns == docs.columns and sorted(r["doc_id"] for r in stay.collect()) == want

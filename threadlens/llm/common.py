@@ -60,7 +60,7 @@ def in_batches(df: DataFrame, body: Callable[..., Iterator[pa.RecordBatch]], sch
         environment.setdefault(name, value)
     if _ROOT not in environment.get("PYTHONPATH", "").split(os.pathsep):
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, (environment.get("PYTHONPATH"), _ROOT)))
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(2 << 20))
     return df.mapInArrow(body, schema)
 
 

@@ -318,11 +318,11 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     Rows without an id stay unless their class has an id.
     """
     first = (similar_classes(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-             .select(F.col("doc_id").alias("_kept")).distinct())
-    stay = docs.join(sized_side(first), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    again = settle(docs.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_again")))
+             .select(F.col("doc_id").alias("__kept")).distinct())
+    stay = docs.join(sized_side(first), F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
+    again = settle(docs.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("__again")))
     if again.isEmpty():
         return stay
-    same = F.col("doc_id").eqNullSafe(F.col("_again"))
+    same = F.col("doc_id").eqNullSafe(F.col("__again"))
     side = sized_side(again)
     return stay.join(side, same, "left_anti").union(stay.join(side, same, "left_semi").dropDuplicates(["doc_id", "text"]))

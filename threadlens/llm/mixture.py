@@ -178,7 +178,9 @@ def predict(docs: DataFrame, model: Model, prefix: str = "") -> DataFrame:
     """All columns of ``docs`` and lang_pred, score, n_langs, langs; no shuffle.
 
     A null text, or one without a letter, is ``und`` with score 0. Without a model
-    (nothing to learn from) every text is ``und``. Only ``text`` is read.
+    (nothing to learn from) every text is ``und``. Of languages with equal shares the first by
+    name is the main one. Rows are judged by themselves, so repeated rows give equal rows and
+    an empty table an empty one; a long text is judged whole, word by word. Only ``text`` is read.
     """
     out = [prefix + name for name in ("lang_pred", "score", "n_langs", "langs")]
     clash = set(out) & set(docs.columns)

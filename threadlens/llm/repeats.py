@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadlens.llm.common import in_batches, settle, sized_side, written
+from threadlens.llm.common import in_batches, pieces, settle, sized_side, written
 from threadlens.llm.words import mix, powers
 
 LENGTH = 400
@@ -176,7 +176,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in pieces(whole, "text")):
             cores, places = [], []
             for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist()):
                 at = after = before = np.empty(0, np.int64)
@@ -206,7 +206,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()      # a repeated row
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in pieces(whole, "text")):
             out: list[tuple] = []
             for key, text, wanted in zip(*(batch.column(n).to_pylist() for n in ("key", "text", "_places"))):
                 if key in seen:
@@ -270,9 +270,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 
 
 def with_spans(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_starts, _ends``, null where nothing is removed."""
-    spans = repeated_spans(docs).select(F.col("key").alias("_key"), F.col("starts").alias("_starts"), F.col("ends").alias("_ends"))
-    return docs.join(sized_side(spans), F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_key"), "left").drop("_key")
+    """``docs`` with ``__starts, __ends``, null where nothing is removed."""
+    spans = repeated_spans(docs).select(F.col("key").alias("__key"), F.col("starts").alias("__starts"), F.col("ends").alias("__ends"))
+    return docs.join(sized_side(spans), F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("__key"), "left").drop("__key")
 
 
 def kept(text: bytes, starts: list[int] | None, ends: list[int] | None) -> bytes:
@@ -286,16 +286,17 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
 
     Null and short texts lose nothing. Rows that repeat repeat each other. Windows are
     judged on the input and never cross texts. Texts are named by a 64-bit hash, so two
-    different texts are mixed up with a chance of n**2 / 2**65. An empty table gives no
-    rows. Other columns are not read.
+    different texts are mixed up with a chance of n**2 / 2**65. Very long texts are sampled
+    in pieces that overlap by a window; of equal hashes in a window the last is the sample, so
+    ties are settled alike everywhere. An empty table gives no rows. Other columns are not read.
     """
     rows = with_spans(docs.select(F.col(id_column).alias("doc_id"), "text"))
     kind = dict(rows.dtypes)["doc_id"]
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in pieces(whole, "text")):
             texts = [(text or "").encode() for text in batch.column("text").to_pylist()]
-            starts, ends = batch.column("_starts").to_pylist(), batch.column("_ends").to_pylist()
+            starts, ends = batch.column("__starts").to_pylist(), batch.column("__ends").to_pylist()
             yield pa.record_batch({
                 "doc_id": batch.column("doc_id"), "n_bytes": pa.array([len(t) for t in texts], pa.int64()),
                 "n_removed": pa.array([sum(e or ()) - sum(s or ()) for s, e in zip(starts, ends)], pa.int64()),
@@ -309,14 +310,15 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated bytes cut from each text; a character that loses a byte goes with
-    it. A text of which nothing is left stays as an empty text, a null text as null."""
+    it. A text of which nothing is left stays as an empty text, a null text as null. Columns
+    may have any names but those that begin with two underscores."""
     columns = docs.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in pieces(whole, "text")):
             texts = [text if not starts else kept(text.encode(), starts, ends).decode("utf-8", "ignore") for text, starts, ends in
-                     zip(*(batch.column(n).to_pylist() for n in ("text", "_starts", "_ends")))]
+                     zip(*(batch.column(n).to_pylist() for n in ("text", "__starts", "__ends")))]
             new = {"text": pa.array(texts, batch.schema.field("text").type)}
             if "n_chars" in columns:
                 new["n_chars"] = pa.array([None if t is None else len(t) for t in texts], batch.schema.field("n_chars").type)
