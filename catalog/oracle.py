@@ -304,6 +304,14 @@ def statements() -> dict[str, str]:
       SELECT lower(w), max(CAST((unicode(w) * 7 + length(w)) % 9 - 4 AS DOUBLE) / 2) FROM words
       WHERE (unicode(w) + length(w)) % 2 = 1 GROUP BY 1)"""
     out["lexicon_score_table"] = s.with_(table, TONED, s.rule_scores("r", "docs", "text")) + _score_select("r")
+    runs = r"""lex(token, valence) AS (
+      SELECT token, max(valence) FROM (
+        SELECT lower(t) AS token, CAST(length(t) * 7 % 9 - 4 AS DOUBLE) / 2 AS valence FROM (
+          SELECT array_to_string(w[i:i + n - 1], ' ') AS t
+          FROM (SELECT list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '') AS w FROM benchmark),
+               (SELECT unnest(range(1, 400, 3)) AS i), (SELECT unnest([2, 3, 4]) AS n) WHERE i <= len(w)) WHERE contains(t, ' ')
+        UNION ALL SELECT * FROM (VALUES """ + s.values(v.LEXICON) + ")) GROUP BY token)"
+    out["lexicon_score_phrases"] = s.with_(runs, TONED, s.rule_scores("r", "docs", "text", 4)) + _score_select("r")
     out["lexicon_score"] = s.with_(s.LEX, TONED, s.rule_scores("r", "docs", "text")) + _score_select("r")
     out["token_context"] = s.with_(s.LEX, C, s.rule_words("r", "comments", "text")) + (
         "SELECT id, pos - 1 AS pos, w AS token, lag(w, 1) OVER x AS prev1, lag(w, 2) OVER x AS prev2, "

@@ -140,7 +140,27 @@ def factor(distance: int) -> str:
             f"WHEN {negation(word)} THEN {lx.NEGATE}::DOUBLE ELSE 1.0::DOUBLE END")
 
 
-def rule_words(name: str, source: str, text: str) -> str:
+def merged_words(name: str, most: int) -> str:
+    """``{name}_w`` from ``{name}_one``: runs of up to ``most`` words that are in ``lex`` made one word."""
+    leads = ", ".join(f"lead(w, {k}) OVER x AS w{k}" for k in range(1, most))
+    run = lambda n: "concat_ws(' ', w, " + ", ".join(f"w{k}" for k in range(1, n)) + ")"
+    runs = " UNION ALL ".join(f"SELECT id, pos, {n} AS n, {run(n)} AS w FROM {name}_ahead WHERE w{n - 1} IS NOT NULL" for n in range(2, most + 1))
+    return f"""{name}_ahead AS (SELECT *, {leads} FROM {name}_one WINDOW x AS (PARTITION BY id ORDER BY pos)),
+{name}_runs AS (SELECT id, pos, max(n) AS n, arg_max(r.w, n) AS w FROM ({runs}) r JOIN lex ON token = lower(r.w) GROUP BY id, pos),
+{name}_kept AS (
+  SELECT id, unnest(kept) AS pos FROM (
+    SELECT id, list_reduce(list_prepend({{'at': 0, 'stop': 0, 'kept': CAST([] AS INTEGER[])}},
+                 list({{'at': CAST(pos AS INTEGER), 'stop': CAST(pos + n AS INTEGER), 'kept': CAST([] AS INTEGER[])}} ORDER BY pos)),
+             lambda a, x: CASE WHEN x.at >= a.stop THEN {{'at': 0, 'stop': x.stop, 'kept': list_append(a.kept, x.at)}} ELSE a END).kept AS kept
+    FROM {name}_runs GROUP BY id)),
+{name}_w AS (
+  SELECT id, row_number() OVER (PARTITION BY id ORDER BY pos) AS pos, w FROM (
+    SELECT id, pos, w FROM {name}_runs SEMI JOIN {name}_kept USING (id, pos)
+    UNION ALL SELECT id, pos, w FROM {name}_one ANTI JOIN (
+      SELECT id, unnest(range(pos, pos + n)) AS pos FROM {name}_runs SEMI JOIN {name}_kept USING (id, pos)) USING (id, pos)))"""
+
+
+def rule_words(name: str, source: str, text: str, most: int = 1) -> str:
     """Words of a text with their three predecessors: ``{name}_ctx``."""
     p = q(lx.PUNCTUATION)
     lags = ", ".join(
@@ -150,9 +170,9 @@ def rule_words(name: str, source: str, text: str) -> str:
   SELECT id, unnest(ws) AS raw, generate_subscripts(ws, 1) AS pos FROM (
     SELECT id, list_filter(regexp_split_to_array({text}, {q(SPACE + '+')}), lambda x: x <> '') AS ws
     FROM {source})),
-{name}_w AS (
+{name}_{'w' if most == 1 else 'one'} AS (
   SELECT id, pos, CASE WHEN length(trim(raw, {p})) <= 2 THEN raw ELSE trim(raw, {p}) END AS w
-  FROM {name}_raw),
+  FROM {name}_raw),{chr(10) + merged_words(name, most) + ',' if most > 1 else ''}
 {name}_l AS (
   SELECT t.id, t.pos, t.w, lower(t.w) AS l, upper(t.w) = t.w AND lower(t.w) <> t.w AS up, x.valence AS v
   FROM {name}_w t LEFT JOIN lex x ON x.token = lower(t.w)),
@@ -163,7 +183,7 @@ def rule_words(name: str, source: str, text: str) -> str:
   FROM {name}_l WINDOW w AS (PARTITION BY id ORDER BY pos))"""
 
 
-def rule_scores(name: str, source: str, text: str) -> str:
+def rule_scores(name: str, source: str, text: str, most: int = 1) -> str:
     """Score columns per id: ``{name}`` (id, neg, neu, pos, compound, sentiment)."""
     def caps(x, flag):
         return (f"{x} + CASE WHEN {flag} THEN CASE WHEN {x} > 0 THEN {lx.CAPS}::DOUBLE "
@@ -189,7 +209,7 @@ def rule_scores(name: str, source: str, text: str) -> str:
                 f"THEN ({ques}) * {lx.QUESTION}::DOUBLE ELSE {lx.QUESTION_MAX}::DOUBLE END")
     share = lambda part: f"coalesce(round_even({part} / nullif(p + n + u, 0), 3), 0.0::DOUBLE)"
     t = lx.THRESHOLD
-    return f"""{rule_words(name, source, text)},
+    return f"""{rule_words(name, source, text, most)},
 {name}_s0 AS (
   SELECT *, {caps('b', 'caps AND up')} AS s FROM (
     SELECT *, CASE WHEN coalesce({denied}, false) THEN v * {lx.NEGATE}::DOUBLE

@@ -1,11 +1,13 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import exchanged_columns
 from threadlens import scale
 from threadlens.functions import lexicon as lx
-from threadlens.operators.rules import score_rules, score_rules_batch
+from threadlens.operators.rules import _mapping_lexicon, score_rules, score_rules_batch
 
 LEXICON = {"good": 1.9, "bad": -2.5, "great": 3.1, "no": -1.2, ":)": 2.0, "like": 1.5}
 
@@ -84,19 +86,51 @@ def test_normalised_text_is_preferred_where_present(spark):
         score_rules_batch(df, "post", lexicon=LEXICON)
 
 
-def test_one_result_whatever_the_dictionary_size(spark, monkeypatch):
-    spelled = [*LEXICON.items(), ("Good", 0.1), ("GREAT", -3.0), ("bad", -9.0)]
-    table = spark.createDataFrame(spelled, "token string, valence double")
+SPELLED = [*LEXICON.items(), ("Good", 0.1), ("GREAT", -3.0), ("bad", -9.0), ("kiss of death", -3.0), ("Kiss  of", 1.0), ("of death row", 2.5), ("bad good", 0.7)]
+
+
+@pytest.mark.parametrize("max_rows", [1_000_000, 0])
+def test_one_result_whatever_the_dictionary_size(spark, monkeypatch, max_rows):
+    table = spark.createDataFrame([*SPELLED, (None, 1.0), ("nothing", None), (" ", 5.0)], "token string, valence double")
     df = spark.createDataFrame([(i, t) for i, t in enumerate(
-        ["Not a GOOD day, but great!", "bad bad", "none here", None, "no good or no bad"] * 2)] + [(None, "good"), (None, "bad")], "k int, text string")
+        ["Not a GOOD day, but great!", "bad bad", "none here", None, "no good or no bad", "a kiss of death row", "KISS OF DEATH", "bad good kiss"] * 2)]
+        + [(None, "good"), (None, "bad")], "k int, text string")
     rows = lambda d: sorted(map(str, d.collect()))
-    mapping = rows(score_rules(df, {"s": "text"}, {**LEXICON, "Good": 0.1, "GREAT": -3.0}))
-    sent = rows(score_rules(df, {"s": "text"}, table))
-    plain = scale.attach_dictionary
-    monkeypatch.setattr("threadlens.operators.rules.attach_dictionary", lambda *a: plain(*a, max_rows=2))
-    joined = rows(score_rules(df, {"s": "text"}, table))
-    assert mapping == sent == joined and not set(scale.IN_PLACE_COLUMNS) & set(score_rules(df, {"s": "text"}, table).columns)
+    mapping = rows(score_rules(df, {"s": "text"}, {**dict(SPELLED), "bad": LEXICON["bad"]}))
+    monkeypatch.setattr("threadlens.operators.rules.settled_side", lambda d: scale.settled_side(d, max_rows=max_rows))
+    scored = score_rules(df, {"s": "text"}, table)
+    assert mapping == rows(scored) and not set(scale.IN_PLACE_COLUMNS) & set(scored.columns)
     assert rows(score_rules(df, {"s": "text"}, table.limit(0))) == rows(score_rules(df, {"s": "text"}, {}))
+    moved, _ = exchanged_columns(scored)
+    assert all("text" not in columns for columns in moved)
+
+
+def plain_merge(words, entries):
+    out, i = [], 0
+    while i < len(words):
+        n = max((n for n in range(2, len(words) - i + 1) if " ".join(words[i:i + n]).lower() in entries), default=1)
+        out.append(" ".join(words[i:i + n]))
+        i += n
+    return out
+
+
+def test_phrases_are_merged_from_the_left_the_longest_first(spark):
+    draw = random.Random(8)
+    entries = {" ".join(draw.choice("abc") for _ in range(draw.randint(2, 5))): 1.0 for _ in range(25)}
+    texts = [[draw.choice("abcABCx") for _ in range(draw.choice([0, 1, 2, 5, 40]))] for _ in range(120)]
+    _, phrases = _mapping_lexicon(entries)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, words array<string>")
+    merged = df.select("id", "words", lx.merge_phrases(F.col("words"), phrases).alias("m"), lx.phrase_candidates(F.col("words"), phrases.lengths).alias("c"))
+    for r in merged.collect():
+        assert r["m"] == plain_merge(texts[r["id"]], entries)
+        assert {w.lower() for w in r["m"] if " " in w} <= set(r["c"])
+
+
+@pytest.mark.parametrize("text, total", [("a kiss of death", -3.0), ("very kiss of death", -3.0 - 0.293), ("not kiss of death!", 3.0 * 0.74 + 0.292),
+                                         ("KISS OF DEATH here", -3.0 - 0.733), ("kiss of deaths", 1.0), ("a kiss of death row", -3.0), ("kiss of kiss of death", -2.0)])
+def test_an_entry_of_several_words_counts_as_one(spark, text, total):
+    df = spark.createDataFrame([(text,)], "text string")
+    assert score_rules(df, {"s": "text"}, dict(SPELLED)).first().s.compound == pytest.approx(compound(total), abs=1e-4)
 
 
 def test_scoring_needs_no_shuffle(spark):

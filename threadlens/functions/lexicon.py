@@ -9,6 +9,7 @@ the row, so scoring needs no shuffle.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import lru_cache
 
 from pyspark.sql import Column
@@ -223,13 +224,73 @@ def summarize(hits: Column, n_words: Column, emphasis: Column,
     return F.aggregate(hits, start, add, finish)
 
 
-def rule_score(text: Column, lookup: Lookup, threshold: float = THRESHOLD) -> Column:
-    """Polarity struct of a text; empty and NULL texts are neutral."""
+@dataclass(frozen=True)
+class Phrases:
+    """Lexicon entries of several words: ``lengths`` gives how many words the entries have that
+    a word begins (NULL for none), ``lookup`` the valence of words joined by blanks."""
+
+    lengths: Lookup
+    lookup: Lookup
+
+
+def _heads(lower: Column, lengths: Lookup) -> Column:
+    """``(pos, ns)`` of the words that begin entries, with the lengths there is room for. Each
+    word is looked up once."""
+    places = F.transform(lower, lambda w, i: F.struct(i.alias("pos"), F.filter(lengths(w), lambda n: n <= F.size(lower) - i).alias("ns")))
+    return F.filter(places, lambda head: F.size(head["ns"]) > 0)
+
+
+def _runs_at(lower: Column, head: Column) -> Column:
+    return F.transform(head["ns"], lambda n: F.struct(n.alias("n"), F.array_join(F.slice(lower, head["pos"] + 1, n), " ").alias("run")))
+
+
+def phrase_candidates(words: Column, lengths: Lookup) -> Column:
+    """Runs of words in lower case, joined by blanks, that may be entries."""
+    return let(F.transform(words, F.lower), lambda lower: F.flatten(F.transform(
+        _heads(lower, lengths), lambda head: F.transform(_runs_at(lower, head), lambda r: r["run"]))))
+
+
+def merge_phrases(words: Column, phrases: Phrases) -> Column:
+    """Words with each entry of several words made one, joined by a blank.
+
+    From left to right, and of the entries that begin at a word the longest: what it
+    covers begins no other. An entry counts as one word from then on.
+    """
+    def longest_at(lower: Column) -> Column:
+        known = lambda head: F.array_max(F.transform(F.filter(
+            _runs_at(lower, head), lambda r: phrases.lookup(r["run"]).isNotNull()), lambda r: r["n"]))
+        places = F.transform(_heads(lower, phrases.lengths), lambda head: F.struct(head["pos"].alias("pos"), known(head).alias("n")))
+        return F.filter(places, lambda m: m["n"].isNotNull())
+
+    def taken(found: Column) -> Column:
+        none = F.array().cast("array<struct<pos:int,n:int>>")
+        return F.aggregate(found, F.struct(F.lit(0).alias("stop"), none.alias("taken")), lambda acc, m: F.when(
+            m["pos"] >= acc["stop"], F.struct((m["pos"] + m["n"]).alias("stop"), F.array_append(acc["taken"], m).alias("taken")))
+            .otherwise(acc), lambda acc: acc["taken"])
+
+    def rebuilt(ws: Column, runs: Column) -> Column:
+        after = lambda run, k: F.coalesce(F.get(runs, k + 1)["pos"], F.size(ws))
+        parts = F.transform(runs, lambda run, k: F.concat(
+            F.array(F.array_join(F.slice(ws, run["pos"] + 1, run["n"]), " ")),
+            F.slice(ws, run["pos"] + run["n"] + 1, after(run, k) - run["pos"] - run["n"])))
+        return F.concat(F.slice(ws, F.lit(1), F.get(runs, F.lit(0))["pos"]), F.flatten(parts))
+
+    return let(words, lambda ws: let(let(F.transform(ws, F.lower), longest_at), lambda found: F.when(F.size(found) == 0, ws).otherwise(
+        let(taken(found), lambda runs: rebuilt(ws, runs)))))
+
+
+def rule_score(text: Column, lookup: Lookup, threshold: float = THRESHOLD, phrases: Phrases | None = None) -> Column:
+    """Polarity struct of a text; empty and NULL texts are neutral. Entries of several words
+    count as one word."""
+    words_of, value_of = rule_tokens, lookup
+    if phrases is not None:
+        words_of = lambda t: merge_phrases(rule_tokens(t), phrases)
+        value_of = lambda w: F.when(w.contains(" "), phrases.lookup(w)).otherwise(lookup(w))
 
     def score(t: Column) -> Column:
         emphasis = exclamation_emphasis(t) + question_emphasis(t)
-        scored = let(rule_tokens(t), lambda words: summarize(
-            contrast(word_valences(words, lookup), words), F.size(words), emphasis, threshold))
+        scored = let(words_of(t), lambda words: summarize(
+            contrast(word_valences(words, value_of), words), F.size(words), emphasis, threshold))
         return F.when(t == "", neutral_score()).otherwise(scored)
 
     return let(F.coalesce(text, F.lit("")), score)

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from threadlens.functions import lexicon as lx
 from threadlens.functions.cleaning import empty_if_null
 from threadlens.functions.dates import run_stamp
-from threadlens.scale import IN_PLACE_COLUMNS, attach_dictionary, inline_lookup, map_columns, settled_entries
+from threadlens.scale import (HITS, IN_PLACE_COLUMNS, PHRASE_HITS, dictionary_of, hit, inline_lookup, laid_out,
+                              map_columns, settled_entries, settled_side, word_hits)
 from threadlens.schemas import TEXT_COLUMNS, check_item_type
 
 
@@ -35,18 +36,54 @@ def score_rules(df: DataFrame, columns: Mapping[str, str] | Sequence[str],
 
     ``lexicon`` is a mapping, for a short list, or a table ``(token, valence)`` of any
     size. Case does not matter; of several valences of a token the greatest counts.
+    An entry of several words, apart by blanks, counts as one word wherever its words follow one another; of
+    entries that overlap the first counts, of those that begin together the longest.
     Scoring by a mapping is a plain projection; for a table the rows are laid out
     once and its entries found among their words come back to them.
     """
     if not isinstance(columns, Mapping):
         columns = {f"{name}_sentiment": name for name in columns}
     if isinstance(lexicon, DataFrame):
-        table = lexicon.select(F.lower("token").alias("token"), F.col("valence").cast("double").alias("valence"))
-        words = lambda rows: [F.transform(lx.rule_tokens(empty_if_null(rows[name])), F.lower) for name in columns.values()]
-        df, lookup = attach_dictionary(df, words, table, "token", "valence")
+        df, lookup, phrases = _table_lexicon(df, list(columns.values()), lexicon)
     else:
-        lookup = inline_lookup(settled_entries({t: float(v) for t, v in lexicon.items()}), "double")
-    return map_columns(df, columns, lambda t: lx.rule_score(t, lookup, threshold)).drop(*IN_PLACE_COLUMNS)
+        lookup, phrases = _mapping_lexicon(lexicon)
+    return map_columns(df, columns, lambda t: lx.rule_score(t, lookup, threshold, phrases)).drop(*IN_PLACE_COLUMNS)
+
+
+def _mapping_lexicon(lexicon: Mapping[str, float]) -> tuple[lx.Lookup, lx.Phrases | None]:
+    entries = settled_entries({" ".join(filter(None, token.split(" "))): float(value) for token, value in lexicon.items()})
+    several = {token: value for token, value in entries.items() if " " in token}
+    lookup = inline_lookup({token: value for token, value in entries.items() if token not in several}, "double")
+    if not several:
+        return lookup, None
+    lengths: dict[str, set[int]] = {}
+    for token in several:
+        words = token.split(" ")
+        lengths.setdefault(words[0], set()).add(len(words))
+    return lookup, lx.Phrases(inline_lookup({word: sorted(ns) for word, ns in lengths.items()}, "array<int>"), inline_lookup(several, "double"))
+
+
+def _table_lexicon(df: DataFrame, columns: Sequence[str], lexicon: DataFrame) -> tuple[DataFrame, lx.Lookup, lx.Phrases | None]:
+    """The rows laid out, with what the lexicon holds of their words. Runs of words are only
+    looked up where a word begins an entry of several words."""
+    token = F.array_join(F.filter(F.split(F.lower("token"), " +"), lambda w: w != ""), " ")
+    table = lexicon.select(token.alias("token"), F.col("valence").cast("double").alias("valence")).filter("token != '' and valence is not null")
+    one_word = ~F.col("token").contains(" ")
+    several, _ = settled_side(dictionary_of(table.filter(~one_word), "token", "valence"))
+    # Words that are entries, and words that begin entries of several words.
+    heads, _ = settled_side(
+        table.groupBy(F.substring_index("token", " ", 1).alias("__k")).agg(F.struct(
+            F.max(F.when(one_word, F.col("valence"))).alias("valence"),
+            F.sort_array(F.collect_set(F.when(~one_word, F.size(F.split("token", " "))))).alias("lengths")).alias("__v")))
+    words_of = lambda rows: [lx.rule_tokens(empty_if_null(rows[name])) for name in columns]
+    rows = laid_out(df)
+    rows = word_hits(rows, F.flatten(F.array(*[F.transform(words, F.lower) for words in words_of(rows)])), heads, HITS)
+    lookup, lengths = (lambda word: hit(HITS, word)["valence"]), (lambda word: hit(HITS, word)["lengths"])
+    if several.isEmpty():
+        return rows, lookup, None
+    runs = F.flatten(F.array(*[lx.phrase_candidates(words, lengths) for words in words_of(rows)]))
+    rows = word_hits(rows, runs, several, PHRASE_HITS)
+    return rows, lookup, lx.Phrases(lengths, lambda run: hit(PHRASE_HITS, run))
 
 
 def score_rules_batch(df: DataFrame, item_type: str = "submission", use_normalized: bool = True,

@@ -172,6 +172,40 @@ def settled_entries(entries: Mapping[str, object]) -> dict[str, object]:
     return result
 
 
+HITS = "__hits"
+PHRASE_HITS = "__phrase_hits"
+IN_PLACE_COLUMNS = (PART, ROW, HITS, PHRASE_HITS)
+
+
+# Spark looks a map's keys through one by one, so the hits of a row lie in as many small maps.
+SLOTS = 64
+
+
+def _slot(word: Column) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(SLOTS)).cast("int")
+
+
+def word_hits(rows: DataFrame, words: Column, entries: DataFrame, out: str) -> DataFrame:
+    """The rows of a layout with ``out``: those of a row's words that have an entry, with its
+    value, for ``hit``. Only distinct words and hits move, or nothing where the entries are broadcast."""
+    distinct = rows.select(PART, ROW, F.explode(F.array_distinct(words)).alias("__k"))
+    held = lambda key, value: F.map_from_entries(F.collect_list(F.struct(key, value)))
+    hits = (distinct.join(entries, "__k").groupBy(PART, ROW, _slot(F.col("__k")).alias("__slot")).agg(held("__k", "__v").alias("__own"))
+            .groupBy(PART, ROW).agg(held("__slot", "__own").alias(out)))
+    return joined_in_place(rows, hits)
+
+
+def hit(out: str, word: Column) -> Column:
+    """Value of a word in what ``word_hits`` added, or NULL."""
+    return F.try_element_at(F.try_element_at(F.col(out), _slot(word)), word)
+
+
+def dictionary_of(table: DataFrame, key: str, value: str) -> DataFrame:
+    """``(__k, __v)``: of several values of a key the greatest."""
+    return (table.filter(F.col(key).isNotNull() & F.col(value).isNotNull())
+            .groupBy(F.col(key).alias("__k")).agg(F.max(value).alias("__v")))
+
+
 def attach_dictionary(df: DataFrame, tokens: Callable[[DataFrame], Sequence[Column]], table: DataFrame, key: str, value: str,
                       max_bytes: int = BROADCAST_MAX_BYTES,
                       max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, Callable[[Column], Column]]:
@@ -183,15 +217,7 @@ def attach_dictionary(df: DataFrame, tokens: Callable[[DataFrame], Sequence[Colu
     them by a shuffle of words, and the hits go back to their rows by a shuffle of hits.
     Use the lookup on the returned table, then drop ``IN_PLACE_COLUMNS``.
     """
-    entries, _ = settled_side(
-        table.filter(F.col(key).isNotNull() & F.col(value).isNotNull())
-        .groupBy(F.col(key).alias("__k")).agg(F.max(value).alias("__v")), max_bytes, max_rows)
+    entries, _ = settled_side(dictionary_of(table, key, value), max_bytes, max_rows)
     rows = laid_out(df)
-    words = rows.select(PART, ROW, F.explode(F.array_distinct(F.flatten(F.array(*tokens(rows))))).alias("__k"))
-    hits = (words.join(entries, "__k").groupBy(PART, ROW)
-            .agg(F.map_from_entries(F.collect_list(F.struct("__k", "__v"))).alias(HITS)))
-    return joined_in_place(rows, hits), lambda word: F.try_element_at(F.col(HITS), word)
-
-
-HITS = "__hits"
-IN_PLACE_COLUMNS = (PART, ROW, HITS)
+    held = word_hits(rows, F.flatten(F.array(*tokens(rows))), entries, HITS)
+    return held, lambda word: hit(HITS, word)
