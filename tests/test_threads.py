@@ -39,6 +39,49 @@ def test_depth_of_every_comment(spark, data):
     assert max(depth.values()) > 8
 
 
+def shapes():
+    """``(id, parent_id)`` of trees of many shapes, and their depths."""
+    chain = [(f"c{i}", f"t1_c{i - 1}" if i else "t3_p") for i in range(600)]
+    star = [("s", "t3_p")] + [(f"s{i}", "t1_s") for i in range(600)]
+    comb = [(f"k{i}", f"t1_k{i - 1}" if i else "t3_p") for i in range(300)] + [(f"l{i}", f"t1_k{i}") for i in range(300)]
+    binary = [(f"b{i}", f"t1_b{(i - 1) // 2}" if i else "t3_p") for i in range(600)]
+    tops = [(f"t{i}", "t3_p") for i in range(600)]
+    circles = [(f"x{i}", f"t1_x{(i + 1) % 7}") for i in range(7)] + [("y", "t1_x0"), ("self", "t1_self"), ("z", "t1_self"), ("zz", "t1_z"), ("o", "t1_gone"), ("oo", "t1_o")]
+    return {"chain": chain, "star": star, "comb": comb, "binary": binary, "tops": tops, "circles": circles + chain[:40], "repeated": star[:50] * 2 + chain[:30] * 3}
+
+
+def plain_depths(rows):
+    up, depth = dict(rows), {}
+    for start in up:
+        at, hops, seen = start, 0, set()
+        while at in up and at not in seen and not up[at].startswith("t3_"):
+            seen.add(at)
+            at, hops = up[at][3:], hops + 1
+        depth[start] = hops if at in up and up[at].startswith("t3_") else None
+    return depth
+
+
+@pytest.mark.parametrize("jump_max_rows", [1_000_000, 20])
+@pytest.mark.parametrize("shape", shapes())
+def test_depths_and_rows_of_all_rounds(spark, monkeypatch, shape, jump_max_rows):
+    rows = shapes()[shape]
+    written = []
+
+    def counted(df):
+        kept = plain(df)
+        written.append(kept.count())
+        return kept
+
+    plain = th.cut_lineage
+    monkeypatch.setattr(th, "cut_lineage", counted)
+    df = spark.createDataFrame([(a, "p", b) for a, b in rows], "id string, submission_id string, parent_id string")
+    got = [(r.id, r.depth) for r in th.comment_depth(df, jump_max_rows=jump_max_rows).collect()]
+    want = plain_depths(rows)
+    assert sorted(got, key=str) == sorted(((a, want[a]) for a, _ in rows), key=str)
+    if jump_max_rows == 20 or shape != "chain":
+        assert sum(written) <= 14 * len(rows)      # each is read a fixed number of times
+
+
 def test_orphans_and_cycles_have_no_depth(spark):
     rows = [("a", "p", "t3_p"), ("b", "p", "t1_gone"), ("c", "p", "t1_b"), ("x", "p", "t1_y"), ("y", "p", "t1_x")]
     df = spark.createDataFrame(rows, "id string, submission_id string, parent_id string")

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from threadlens.scale import broadcast_if_small, cut_lineage, top_n_per_group
@@ -14,37 +15,109 @@ def breadth_first() -> list[Column]:
     return [F.col("depth").asc_nulls_last(), F.col("created_utc").asc(), F.col("id").asc()]
 
 
-def comment_depth(comments: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+# Up to this many open comments are settled by pointer jumping, more are contracted first.
+JUMP_MAX_ROWS = 1_000_000
+
+
+def _kept(df: DataFrame, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
+    """The rows kept by a checkpoint, and what was counted while they were written."""
+    seen = Observation("rows")
+    kept = cut_lineage(df.observe(seen, *[F.count_if(test).alias(name) for name, test in counts.items()]))
+    return kept, seen.get
+
+
+def comment_depth(comments: DataFrame, carry: Sequence[str] = (), jump_max_rows: int = JUMP_MAX_ROWS) -> DataFrame:
     """``(id, depth)`` of every comment; top-level comments have depth 0.
 
-    Each round lets every open pointer jump to where its target points, so the
-    number of joins grows with the logarithm of the tree depth. The source is read
-    once: ids, pointers and the columns to ``carry`` are checkpointed, and so are the
-    comments that a round moved. Only open pointers are joined, with the comments they
-    point to. Comments whose ancestors are missing, or that answer each other in a
-    circle, get a NULL depth: a pointer that has jumped over as many comments as there
-    are can only be in a circle. The left side of the join holds the hot keys (a comment
-    with very many replies): adaptive execution may split that side.
+    Comments whose ancestors are missing, or that answer each other in a circle, get a
+    NULL depth. The source is read once: ids, pointers and the columns to ``carry`` are
+    checkpointed. Only ids and pointers take part in what follows. Large tables are
+    contracted: each round settles or sets aside the comments without answers and every
+    fourth of the others, whose answers go on to the next ancestor, so the rows of all
+    rounds together stay within a multiple of the table, however deep its trees are. What is
+    left jumps pointers, a number of joins that grows with the logarithm of the depth.
     """
     top_level = F.col("parent_id").startswith("t3_")
-    edges = cut_lineage(comments.select(
+    edges, seen = _kept(comments.select(
         "id", *carry, F.when(~top_level, F.expr("substring(parent_id, 4)")).alias("up"),
-        F.when(top_level, 0).otherwise(1).cast("long").alias("hops")))
-    total = edges.count()
-    settled, active = edges.filter("up is null"), edges.filter("up is not null")
-    while not active.isEmpty():
-        wanted = broadcast_if_small(active.select(F.col("up").alias("id")).distinct())
-        target = (settled.unionByName(active).join(wanted, "id", "left_semi")
-                  .groupBy("id").agg(F.first(F.struct("up", "hops")).alias("at"))
-                  .select(F.col("id").alias("up"), F.col("at.up").alias("next"), F.col("at.hops").alias("more")))
-        moved = active.join(target, "up", "left").select(
+        F.when(top_level, 0).otherwise(1).cast("long").alias("hops")), rows=F.lit(True), open=F.col("up").isNotNull())
+    if seen["open"] <= jump_max_rows:
+        return _jumped(edges, seen["open"], seen["rows"], carry).select("id", *carry, _depth())
+    known = _contracted(edges.select("id", "up", "hops"), seen["open"], seen["rows"], jump_max_rows)
+    found = edges.join(known.withColumnRenamed("depth", "below"), "id", "left")
+    return found.select("id", *carry, F.when(F.col("up").isNull(), F.col("hops")).otherwise(F.col("below")).cast("int").alias("depth"))
+
+
+def _depth() -> Column:
+    return F.when(F.col("up").isNull(), F.col("hops")).cast("int").alias("depth")
+
+
+def _jumped(nodes: DataFrame, open_rows: int, total: int, carry: Sequence[str] = ()) -> DataFrame:
+    """Rows settled by pointer jumping: every open pointer goes on to where its target points.
+
+    An open pointer can only come to what open pointers point to now, so a round hands
+    on those rows alone; a settled row that none points to is done. A pointer that has
+    jumped over as many comments as there are is in a circle. The left side of a join
+    holds the hot keys (a comment with very many answers): adaptive execution may split it.
+    """
+    done = [nodes.filter("up is null")]
+    state = nodes.withColumn("new", F.lit(True))
+    while open_rows:
+        active = state.filter("up is not null")
+        wanted = active.select(F.col("up").alias("id")).distinct()
+        reachable = state.join(wanted, "id", "left_semi")
+        targets = (reachable.groupBy("id").agg(F.first(F.struct("up", "hops")).alias("at"))
+                   .select(F.col("id").alias("up"), F.col("at.up").alias("next"), F.col("at.hops").alias("more")))
+        moved = active.join(targets, "up", "left").select(
             "id", *carry, F.col("next").alias("up"), (F.col("hops") + F.col("more")).alias("hops"))
-        circle = (F.col("up") == F.col("id")) | (F.col("hops") >= total)
-        moved = cut_lineage(moved.withColumns({
-            "up": F.when(circle, F.lit(None)).otherwise(F.col("up")),
-            "hops": F.when(circle & F.col("up").isNotNull(), F.lit(None)).otherwise(F.col("hops"))}))
-        settled, active = settled.unionByName(moved.filter("up is null")), moved.filter("up is not null")
-    return settled.select("id", *carry, F.col("hops").cast("int").alias("depth"))
+        circle = F.col("up").isNotNull() & ((F.col("up") == F.col("id")) | (F.col("hops") >= total))
+        moved = moved.withColumns({"up": F.when(~circle, F.col("up")), "hops": F.when(~circle, F.col("hops")), "new": F.lit(True)})
+        state, seen = _kept(moved.unionByName(reachable.filter("up is null").withColumn("new", F.lit(False)).select(*moved.columns)),
+                            open=F.col("up").isNotNull())
+        done.append(state.filter("new and up is null").drop("new"))
+        open_rows = seen["open"]
+    return reduce(DataFrame.unionByName, [part.select("id", *carry, "up", "hops") for part in done])
+
+
+def _contracted(nodes: DataFrame, open_rows: int, total: int, jump_max_rows: int) -> DataFrame:
+    """Depths by rake and compress.
+
+    A round drops the leaves (comments that no open pointer reaches) and splices out inner
+    comments whose coin shows heads while their parent's shows tails; the answers to a spliced
+    comment point to its parent, with the hops added up. A comment whose pointer has come
+    to a top-level comment is settled, and so are then its answers. What was set aside is
+    settled in reverse order, each round from the rows that outlived it.
+    """
+    def coin(name: str, number: int) -> Column:
+        return F.pmod(F.xxhash64(F.lit(number), name), F.lit(2)) == 1
+
+    settled, aside, number = [], [], 0
+    now, seen = nodes, {"open": open_rows}
+    while seen["open"] > jump_max_rows:
+        parents = now.filter("up is not null").select(F.col("up").alias("id")).distinct().withColumn("inner", F.lit(True))
+        # Both coins are known without a join, so no parent and child are spliced in one round.
+        splice = F.col("inner").isNotNull() & F.col("up").isNotNull() & (F.col("up") != F.col("id")) & coin("id", number) & ~coin("up", number)
+        marked = cut_lineage(now.dropDuplicates(["id"]).join(parents, "id", "left").select("id", "up", "hops", F.col("inner").isNotNull().alias("inner"),
+                                                                                        F.coalesce(splice, F.lit(False)).alias("splice")))
+        donors = (marked.filter("splice or (inner and up is null)")
+                  .select(F.col("id").alias("up"), F.col("up").alias("next"), F.col("hops").alias("more"), F.lit(True).alias("given")))
+        stay = marked.filter("not splice").join(donors, "up", "left").select(
+            "id", F.when(F.col("given"), F.col("next")).otherwise(F.col("up")).alias("up"),
+            (F.col("hops") + F.when(F.col("given"), F.col("more")).otherwise(F.lit(0))).alias("hops"), "inner")
+        # What points to itself is in a circle.
+        stay = stay.select("id", F.when(F.col("up") != F.col("id"), F.col("up")).alias("up"),
+                           F.when(F.coalesce(F.col("up") != F.col("id"), F.lit(True)), F.col("hops")).alias("hops"), "inner")
+        stay, seen = _kept(stay, open=F.col("inner") & F.col("up").isNotNull())
+        settled.append(stay.filter("not inner and up is null").select("id", "up", "hops"))
+        aside.append(stay.filter("not inner and up is not null").select("id", "up", "hops")
+                     .unionByName(marked.filter("splice").select("id", "up", "hops")))
+        now, number = stay.filter("inner").select("id", "up", "hops"), number + 1
+    known = cut_lineage(_jumped(now, seen["open"], total).select("id", _depth()))
+    for own, waiting in zip(reversed(settled), reversed(aside)):
+        found = waiting.join(known.withColumnRenamed("id", "up").withColumnRenamed("depth", "base"), "up", "left").select(
+            "id", (F.col("base") + F.col("hops")).cast("int").alias("depth"))
+        known = known.unionByName(cut_lineage(found)).unionByName(own.select("id", _depth()))
+    return known
 
 
 def comments_of_post(comments: DataFrame, post_id: str, limit: int | None = None) -> DataFrame:
