@@ -421,6 +421,8 @@ def statements() -> dict[str, str]:
              CASE WHEN b.id IS NULL THEN false ELSE lang <> 'en' END AS processed
       FROM posts b FULL OUTER JOIN changes c ON b.id = c.id"""
     out["csv_latest_items"] = (f"WITH {C} SELECT id, text, CASE WHEN score < 25 THEN score + 100 ELSE score END AS score FROM comments")
+    out["csv_compacted"] = (f"WITH {C} SELECT id, text, score + CASE WHEN score < 5 THEN 200 WHEN score < 25 THEN 100 ELSE 0 END AS score, "
+                            "CASE WHEN score < 5 THEN 2 ELSE 1 END AS versions FROM comments")
     out["topic_files"] = (f"SELECT content_type, c.id, vader_sentiment, transformer_sentiment, agreement, p.source AS subreddit "
                           f"FROM ({out['analyze_topic']}) c LEFT JOIN documents p "
                           "ON content_type = 'submission' AND CAST(p.doc_id AS VARCHAR) = c.id")

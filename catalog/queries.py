@@ -800,6 +800,19 @@ def csv_latest_items(spark, d):
     return store.latest_items("comment", c.schema).select("id", "text", "score")
 
 
+@query
+def csv_compacted(spark, d):
+    """Two versions of some items, compacted, and a third one of a few after that."""
+    c = v.comments(spark, d).select("id", "text", "score")
+    store = csvstore.CsvStore(spark, scratch_path(spark, "compacted"))
+    store.store_items(c, "comment", "2024-02-01T00:00:00")
+    store.store_items(c.filter("score < 25").withColumn("score", F.col("score") + 100), "comment", "2024-02-02T00:00:00")
+    store.compact("comment", c.schema)
+    store.store_items(c.filter("score < 5").withColumn("score", F.col("score") + 200), "comment", "2024-02-03T00:00:00")
+    stored = store.read_items("comment", c.schema).groupBy("id").agg(F.count(F.lit(1)).alias("versions"))
+    return store.latest_items("comment", c.schema).select("id", "text", "score").join(stored, "id")
+
+
 @query
 def topic_files(spark, d):
     """The topic analysis written as JSON lines and CSV, and read from there."""

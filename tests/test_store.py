@@ -1,6 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import exchanged_columns
+from threadlens import scale
 from threadlens.functions import dates
 from threadlens.schemas import COMMENTS_RAW
 from threadlens.sources import csvstore, tables
@@ -150,3 +152,40 @@ def test_iso_times(spark):
     parsed = [r[0] for r in df.select(F.unix_timestamp(dates.parse_iso(F.col("t")))).collect()]
     assert parsed == [1704067200, 1704067200, None]
     assert df.select(dates.format_iso(dates.parse_iso(F.col("t")))).first()[0] == "2024-01-01T00:00:00.000000Z"
+
+
+@pytest.mark.parametrize("max_rows", [1_000_000, 0])
+def test_parents_of_any_number_move_no_text(spark, monkeypatch, max_rows):
+    items = spark.createDataFrame([(f"c{i}" if i % 9 else None, f"p{i % 30}" if i % 7 else None, "text " * 20) for i in range(400)],
+                                  "id string, submission_id string, text string")
+    posts = spark.createDataFrame([(f"p{i}",) for i in range(0, 40, 2)] * 2 + [(None,)], "id string")
+    monkeypatch.setattr(up, "settled_side", lambda d: scale.settled_side(d, max_rows=max_rows))
+    checked = up.check_reference(items, posts)
+    want = lambda r: r["id"] is not None and r["submission_id"] is not None and int(r["submission_id"][1:]) % 2 == 0
+    rows = checked.collect()
+    assert len(rows) == 400 and all(r["accepted"] == want(r) for r in rows)
+    known = sum(r["submission_id"] is not None and int(r["submission_id"][1:]) % 2 == 0 for r in rows)
+    assert up.accepted_comments(items, posts).count() == known and up.rejected_comments(items, posts).count() == 400 - known
+    assert up.accepted_comments(items, posts).columns == items.columns
+    moved, _ = exchanged_columns(checked)
+    assert all("text" not in columns for columns in moved)
+
+
+def test_latest_versions_and_compaction(spark, tmp_path):
+    items = spark.createDataFrame([(f"id{i:04d}" if i else "x", f'text "{i}"\nline two', i) for i in range(60)], "id string, text string, score long")
+    store = csvstore.CsvStore(spark, str(tmp_path))
+    store.store_items(items, "comment", "2024-01-01T00:00:00")
+    store.store_items(items.filter("score % 2 = 0").withColumn("score", F.col("score") + 1000), "comment", "2024-01-02T00:00:00")
+    want = sorted((r["id"], r["text"], r["score"] + (1000 if r["score"] % 2 == 0 else 0)) for r in items.collect())
+    got = lambda: sorted((r["id"], r["text"], r["score"]) for r in store.latest_items("comment", items.schema).collect())
+    assert got() == want
+    moved, _ = exchanged_columns(store.latest_items("comment", items.schema))
+    assert moved and all("text" not in columns for columns in moved)
+    before = store.read_items("comment", items.schema)
+    old = store.compact("comment", items.schema)
+    assert len(old) == 1 and before.count() == 90       # readers that began before still see the old table
+    assert store.read_items("comment", items.schema).count() == 60 and got() == want
+    store.store_items(items.limit(1).withColumn("score", F.lit(7).cast("long")), "comment", "2024-01-03T00:00:00")
+    assert store.read_items("comment", items.schema).count() == 61 and len(store.compact("comment", items.schema)) == 2
+    assert store.read_items("comment", items.schema).count() == 60 and 7 in {r[2] for r in got()}
+    assert store.retrieve_item("id0004", "comment", items.schema).first()["score"] in (1004, 7)

@@ -6,12 +6,13 @@ import uuid
 from datetime import datetime, timezone
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadlens.functions.dates import format_iso, parse_iso, run_stamp
+from threadlens.scale import PART, ROW, laid_out
 from threadlens.schemas import check_item_type
 
 FOLDERS = {"submission": "submissions_csv", "comment": "comments_csv"}
@@ -98,17 +99,35 @@ class CsvStore:
         and splits folders that are much larger than the rest.
         """
         accepted = items.filter(F.col("id").isNotNull())
-        rows = (_as_text(accepted)
-                .withColumns({"stored_at": format_iso(run_stamp(stored_at)), "item_type": F.lit(item_type)})
-                .withColumns(shard_columns(F.col("id"))))
-        self._writer(rows.hint("rebalance", "s1", "s2")).mode("append").partitionBy("s1", "s2").csv(
-            f"{self._folder(item_type)}/items")
+        stamped = _as_text(accepted).withColumns({"stored_at": format_iso(run_stamp(stored_at)), "item_type": F.lit(item_type)})
+        self._write_items(stamped, self._current(item_type))
         return items.filter(F.col("id").isNull())
 
+    def _write_items(self, rows: DataFrame, path: str) -> None:
+        rows = rows.withColumns(shard_columns(F.col("id")))
+        self._writer(rows.hint("rebalance", "s1", "s2")).mode("append").partitionBy("s1", "s2").csv(path)
+
+    def _generations(self, item_type: str) -> list[str]:
+        """Folders of items, oldest first; readers use the last. One row a compaction."""
+        first = f"{self._folder(item_type)}/items"
+        try:
+            rows = self.spark.read.schema("number long, path string").json(self._list(item_type)).collect()
+        except AnalysisException as problem:
+            if "PATH_NOT_FOUND" not in str(problem.getCondition()):
+                raise
+            rows = []
+        return [first, *(row["path"] for row in sorted(rows, key=lambda row: row["number"]))]
+
+    def _list(self, item_type: str) -> str:
+        return f"{self._folder(item_type)}/generations"
+
+    def _current(self, item_type: str) -> str:
+        return self._generations(item_type)[-1]
+
     def read_items(self, item_type: str, schema: T.StructType) -> DataFrame:
         stored = (T.StructType(_text_schema(schema).fields).add("stored_at", "string")
                   .add("item_type", "string").add("s1", "string").add("s2", "string"))
-        rows = self._reader(stored).csv(f"{self._folder(item_type)}/items")
+        rows = self._reader(stored).csv(self._current(item_type))
         return _revived(rows, schema).withColumn("stored_at", parse_iso(F.col("stored_at")))
 
     def retrieve_item(self, item_id: str, item_type: str, schema: T.StructType) -> DataFrame:
@@ -119,11 +138,31 @@ class CsvStore:
         return own.orderBy(F.col("stored_at").desc()).limit(1).drop("s1", "s2")
 
     def latest_items(self, item_type: str, schema: T.StructType) -> DataFrame:
-        """One row per id: the version stored last."""
-        rows = self.read_items(item_type, schema)
-        kept = [c for c in rows.columns if c not in ("id", "stored_at")]
-        newest = F.max_by(F.struct("stored_at", *kept), F.col("stored_at")).alias("_row")
-        return rows.groupBy("id").agg(newest).select(*[F.col("id") if c == "id" else F.col(f"_row.{c}").alias(c) for c in rows.columns])
+        """One row per id: the version stored last.
+
+        The files are read once into a layout; ids, times and places decide, and the rows
+        that are left are read where they lie, so no text is shuffled.
+        """
+        rows = laid_out(self.read_items(item_type, schema))
+        newest = rows.groupBy("id").agg(F.max(F.struct("stored_at", ROW, PART)).alias("at")).select(F.col(f"at.{PART}").alias(PART), F.col(f"at.{ROW}").alias(ROW))
+        return rows.join(newest, [PART, ROW], "left_semi").drop(PART, ROW)
+
+    def compact(self, item_type: str, schema: T.StructType) -> list[str]:
+        """Keep the version of each item that was stored last, and give the folders that
+        no reader needs any more.
+
+        The versions kept are written to a folder of their own; readers go over to it when
+        its name is added to the list of folders, and the old one stays as it is, so
+        at every moment there is a whole table to read. Items must not be stored
+        meanwhile. Once readers that began before are done, delete the folders given.
+        """
+        old = self._generations(item_type)
+        latest = self.latest_items(item_type, schema).drop("s1", "s2")
+        path = f"{self._folder(item_type)}/items-{uuid.uuid4().hex}"
+        self._write_items(_as_text(latest), path)
+        added = self.spark.createDataFrame([(len(old), path)], "number long, path string")
+        added.coalesce(1).write.mode("append").json(self._list(item_type))
+        return old
 
     def store_batch(self, items: DataFrame, item_type: str, batch_id: str | None = None) -> dict:
         """Write one batch, all or nothing, and count it in the same job.

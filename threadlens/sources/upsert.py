@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadlens.functions.dates import parse_iso, run_stamp
-from threadlens.scale import BROADCAST_MAX_BYTES, broadcast_if_small, cut_lineage
+from threadlens.scale import (BROADCAST_MAX_BYTES, PART, ROW, broadcast_if_small, cut_lineage, joined_in_place, laid_out,
+                              settled_side)
 from threadlens.schemas import DEFAULTS, check_item_type
 
 STRATEGIES = ("auto", "broadcast", "shuffle")
@@ -82,27 +83,36 @@ def upsert(base: DataFrame, incoming: DataFrame, key: str = "id", seq: str | Non
     return kept.unionByName(added.withColumns(missing).select(*base.columns))
 
 
+def _with_parent(items: DataFrame, parents: DataFrame, column: str, parent_key: str) -> DataFrame:
+    """The items with ``__known``: their parent exists.
+
+    The parents' keys are computed once. Small, they are broadcast. Large, only the
+    items' places and parent keys meet them, behind Spark's own Bloom filter where it sees fit, and
+    the verdicts go back to the items, which are laid out once and stay where they are.
+    """
+    key = F.col(parent_key).alias(column)
+    known, small = settled_side(parents.select(key).filter(F.col(parent_key).isNotNull()).distinct().withColumn("__known", F.lit(True)))
+    if small:
+        return items.join(known, column, "left")
+    rows = laid_out(items)
+    return joined_in_place(rows, rows.select(PART, ROW, column).join(known, column).drop(column)).drop(PART, ROW)
+
+
 def check_reference(items: DataFrame, parents: DataFrame, column: str = "submission_id",
                     parent_key: str = "id") -> DataFrame:
     """Add ``accepted``: the row has an id and its parent exists. One join serves
     both the accepted and the rejected rows."""
-    known = parents.select(F.col(parent_key).alias(column), F.lit(True).alias("_known")).distinct()
-    known = broadcast_if_small(known)
-    return (items.join(known, column, "left")
-            .withColumn("accepted", F.coalesce("_known", F.lit(False)) & F.col("id").isNotNull())
-            .drop("_known"))
-
-
-def _post_ids(posts: DataFrame) -> DataFrame:
-    return broadcast_if_small(posts.select(F.col("id").alias("submission_id")))
+    return (_with_parent(items, parents, column, parent_key)
+            .withColumn("accepted", F.coalesce("__known", F.lit(False)) & F.col("id").isNotNull())
+            .drop("__known"))
 
 
 def accepted_comments(comments: DataFrame, posts: DataFrame) -> DataFrame:
-    return comments.join(_post_ids(posts), "submission_id", "left_semi")
+    return _with_parent(comments, posts, "submission_id", "id").filter("__known").drop("__known").select(*comments.columns)
 
 
 def rejected_comments(comments: DataFrame, posts: DataFrame) -> DataFrame:
-    return comments.join(_post_ids(posts), "submission_id", "left_anti")
+    return _with_parent(comments, posts, "submission_id", "id").filter("__known is null").drop("__known").select(*comments.columns)
 
 
 def outcome_counts(checked: DataFrame) -> DataFrame:
