@@ -246,6 +246,7 @@ def statements() -> dict[str, str]:
     out["stored_comments_of_post"] = (f"WITH {C} SELECT id, submission_id, text, score, created_utc, author, parent_id, "
                                       "is_root FROM comments WHERE submission_id = '7' ORDER BY created_utc, id LIMIT 6")
     out["comment_depth"] = s.with_(C, s.DEPTH) + "SELECT id, depth FROM depths"
+    out["comment_depth_delta"] = out["comment_depth"]
     out["comments_topn_per_post"] = s.with_(P, C, _ranked_comments(3, "SELECT id FROM posts WHERE num_comments > 0")) + (
         "SELECT submission_id, rank, id, depth, text FROM replies")
     out["post_comment_join"] = (f"WITH {P}, {C} SELECT p.id, p.subreddit, p.score, c.id AS comment_id, "

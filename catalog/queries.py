@@ -222,6 +222,14 @@ def comment_depth(spark, d):
     return th.comment_depth(v.comments(spark, d))
 
 
+@query
+def comment_depth_delta(spark, d):
+    """Depths of all comments from a stored table without every third of them, and these as late ones."""
+    c = v.comments(spark, d)
+    stored = th.depth_table(c.filter("score % 3 <> 0")).select("id", "parent_id", "depth")
+    return th.with_late_comments(stored, c.filter("score % 3 = 0")).select("id", "depth")
+
+
 @query
 def comments_topn_per_post(spark, d):
     p = v.posts(spark, d, replies=True).filter(F.col("num_comments") > 0)

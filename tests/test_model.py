@@ -1,9 +1,11 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from threadlens.functions.probability import model_score, overall_model
+from threadlens.operators import model as om
 from threadlens.operators.model import score_model, score_model_batch
 
 
@@ -58,7 +60,7 @@ def test_truncation_is_an_option(spark):
 
 
 def test_posts_and_overall(spark):
-    df = spark.createDataFrame([("1", "", "xxxx"), ("2", "boom", "x")], "id string, title string, text string").coalesce(1)
+    df = spark.createDataFrame([("1", "", "xxxx"), ("2", "boom", "xxxxx")], "id string, title string, text string").coalesce(1)
     good, bad = score_model_batch(df, "submission", by_length, batch_size=2, model_name="m",
                                   run_ts="2024-01-01").orderBy("id").collect()
     t, x = softmax([0, 1, 0.0]), softmax([0, 1, 4.0])
@@ -78,3 +80,20 @@ def test_scores_are_computed_once_under_a_filter(spark):
     df = spark.createDataFrame([("1", "x")], "id string, text string")
     plan = score_model(df, {"s": "text"}, by_length).filter("s.sentiment = 'neutral'")
     assert plan._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
+def test_batches_by_length_pad_little_and_keep_the_order(spark):
+    draw = random.Random(2)
+    texts = ["x" * draw.choice([1, 3, 10, 40, 200, 900]) + str(i) for i in range(1000)]
+    padding = lambda batches: sum(len(b) * max(len(texts[at]) for at in b) - sum(len(texts[at]) for at in b) for b in batches)
+    plain = [list(range(at, min(at + 8, 1000))) for at in range(0, 1000, 8)]
+    sorted_ = list(om.mini_batches(texts, 8))
+    assert sorted(at for b in sorted_ for at in b) == list(range(1000)) and padding(sorted_) < 0.02 * padding(plain)
+    assert all(len({at // 100 for at in b}) == 1 for b in om.mini_batches(texts, 8, 100))
+
+    def make_scorer():
+        return lambda batch: [[float(len(text)), 0.0, float(text.lstrip("x"))] for text in batch]
+
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string").coalesce(1)
+    logits = df.select("id", "text", om.logits_of(F.array("text", F.lit("x7")), make_scorer)["logits"].alias("l")).collect()
+    assert all(r["l"] == [[float(len(r["text"])), 0.0, float(r["id"])], [2.0, 0.0, 7.0]] for r in logits)

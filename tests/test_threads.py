@@ -82,6 +82,19 @@ def test_depths_and_rows_of_all_rounds(spark, monkeypatch, shape, jump_max_rows)
         assert sum(written) <= 14 * len(rows)      # each is read a fixed number of times
 
 
+@pytest.mark.parametrize("shape", ["chain", "comb", "binary", "circles", "star"])
+def test_late_comments_give_the_table_of_all(spark, shape):
+    rows = shapes()[shape]
+    draw = random.Random(6)
+    late = [draw.random() < 0.3 for _ in rows]
+    frame = lambda some: spark.createDataFrame([(a, "p", b) for a, b in some], "id string, submission_id string, parent_id string")
+    stored = spark.createDataFrame(th.depth_table(frame([r for r, l in zip(rows, late) if not l])).collect(), "id string, parent_id string, depth int")
+    got = th.with_late_comments(stored, frame([r for r, l in zip(rows, late) if l]))
+    want, up_of = plain_depths(rows), dict(rows)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(((a, up_of[a], d) for a, d in want.items()), key=str)
+    assert th.with_late_comments(stored, frame(rows).limit(0)).count() == stored.count()
+
+
 def test_orphans_and_cycles_have_no_depth(spark):
     rows = [("a", "p", "t3_p"), ("b", "p", "t1_gone"), ("c", "p", "t1_b"), ("x", "p", "t1_y"), ("y", "p", "t1_x")]
     df = spark.createDataFrame(rows, "id string, submission_id string, parent_id string")

@@ -20,11 +20,24 @@ ScorerFactory = Callable[[], Callable[[list[str]], Sequence[Sequence[float]]]]
 _RESULT = "logits array<array<double>>, errors array<string>"
 
 
+# Texts that are sorted by length together.
+BUFFER_TEXTS = 4096
+
+
+def mini_batches(texts: Sequence[str], batch_size: int, buffer_texts: int = BUFFER_TEXTS) -> Iterator[list[int]]:
+    """Places of the texts of each mini-batch: texts of like length go together, so that a model
+    that pads to the longest of a batch pads little. Sorted within buffers of bounded length."""
+    for start in range(0, len(texts), buffer_texts):
+        order = sorted(range(start, min(start + buffer_texts, len(texts))), key=lambda at: len(texts[at]))
+        for at in range(0, len(order), batch_size):
+            yield order[at:at + batch_size]
+
+
 def logits_of(texts: Column, make_scorer: ScorerFactory, batch_size: int = 8) -> Column:
     """Logits and errors for an array of texts, in its order.
 
-    The texts of all rows of an Arrow batch share mini-batches of ``batch_size``;
-    a mini-batch that fails marks its own texts and no others. The function counts
+    The texts of all rows of an Arrow batch share mini-batches of ``batch_size``, put
+    together by length; a mini-batch that fails marks its own texts and no others. The function counts
     as non-deterministic: Spark then runs the model once per row even where a later
     filter reads the scores, instead of once for the filter and once for the result.
     Filter rows before scoring.
@@ -34,19 +47,18 @@ def logits_of(texts: Column, make_scorer: ScorerFactory, batch_size: int = 8) ->
         predict = make_scorer()
         for batch in batches:
             flat = [text for row in batch for text in row]
-            logits: list = []
-            errors: list = []
-            for start in range(0, len(flat), batch_size):
-                part = flat[start:start + batch_size]
+            logits: list = [None] * len(flat)
+            errors: list = [None] * len(flat)
+            for places in mini_batches(flat, batch_size):
                 try:
-                    scored = [[float(x) for x in row] for row in predict(part)]
-                    if len(scored) != len(part):
+                    scored = [[float(x) for x in row] for row in predict([flat[at] for at in places])]
+                    if len(scored) != len(places):
                         raise ValueError("the scorer must return one row of logits per text")
-                    logits.extend(scored)
-                    errors.extend([None] * len(part))
+                    for at, row in zip(places, scored):
+                        logits[at] = row
                 except Exception as problem:
-                    logits.extend([None] * len(part))
-                    errors.extend([str(problem)] * len(part))
+                    for at in places:
+                        errors[at] = str(problem)
             rows = []
             at = 0
             for row in batch:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from threadlens.scale import broadcast_if_small, cut_lineage, top_n_per_group
+from threadlens.scale import broadcast_if_small, cut_lineage, settled_side, top_n_per_group
 
 def breadth_first() -> list[Column]:
     """Level by level, older comments first; comments off the tree come last."""
@@ -120,6 +120,36 @@ def _contracted(nodes: DataFrame, open_rows: int, total: int, jump_max_rows: int
     return known
 
 
+def depth_table(comments: DataFrame) -> DataFrame:
+    """``(id, parent_id, depth)``: what to store so that late comments need no second run."""
+    return comment_depth(comments, carry=("parent_id",))
+
+
+def with_late_comments(stored: DataFrame, late: DataFrame) -> DataFrame:
+    """A depth table with late comments in it; equal to that of all comments together.
+
+    Only the late comments, and stored ones without a depth so far, whose ancestors may
+    have come now, are resolved. Of the other stored rows those are looked up that one of
+    these answers: a semi join with their ids, which are broadcast where they are measured to be small,
+    so the table is read where it lies. Ids of late comments are new.
+    """
+    top_level = F.col("parent_id").startswith("t3_")
+    open_rows = (late.select("id", "parent_id").unionByName(stored.filter("depth is null").select("id", "parent_id"))
+                 .select("id", "parent_id", F.when(~top_level, F.expr("substring(parent_id, 4)")).alias("up"),
+                         F.when(top_level, 0).otherwise(1).cast("long").alias("hops")))
+    open_rows, seen = _kept(open_rows, open=F.col("up").isNotNull())
+    wanted, _ = settled_side(open_rows.filter("up is not null").select(F.col("up").alias("id")).distinct())
+    placed = stored.filter("depth is not null")
+    base, _ = _kept(placed.select("id", "depth").join(wanted, "id", "left_semi").select(
+        "id", F.lit(None).cast("string").alias("parent_id"), F.lit(None).cast("string").alias("up"), F.col("depth").cast("long").alias("hops")),
+        rows=F.lit(True))
+    # No path is longer than the deepest stored comment it hangs on and all open ones together.
+    deepest = base.agg(F.coalesce(F.max("hops"), F.lit(0))).first()[0]
+    resolved = _jumped(open_rows.withColumn("late", F.lit(True)).unionByName(base.withColumn("late", F.lit(False))),
+                       seen["open"], open_rows.count() + deepest + 1, ("parent_id", "late"))
+    return placed.select("id", "parent_id", "depth").unionByName(resolved.filter("late").select("id", "parent_id", _depth()))
+
+
 def comments_of_post(comments: DataFrame, post_id: str, limit: int | None = None) -> DataFrame:
     """Comments of one post, breadth first; ``limit=None`` gives all of them."""
     own = comments.filter(F.col("submission_id") == post_id)
