@@ -16,8 +16,9 @@ from threadlens.operators.compare import agreement_summary, compare_scored, disa
 from threadlens.operators.model import ScorerFactory, score_model_batch
 from threadlens.operators.normalize import normalize_batch
 from threadlens.operators.rules import score_rules_batch
-from threadlens.operators.search import DEFAULT_LIMIT, DEFAULT_SORT, DEFAULT_TIME_FILTER, keyword_search
+from threadlens.operators.search import DEFAULT_LIMIT, DEFAULT_SORT, DEFAULT_TIME_FILTER, Keywords, keyword_search
 from threadlens.operators.threads import top_comments_per_post
+from threadlens.scale import cut_lineage
 from threadlens.sources.tables import scores_as_json
 
 
@@ -41,15 +42,15 @@ def score_items(items: DataFrame, item_type: str, make_scorer: ScorerFactory,
                              prefix="model_")
 
 
-def run_metadata(keywords: Sequence[str], groups: Sequence[str], posts: DataFrame,
+def run_metadata(keywords: Sequence[str] | None, groups: Sequence[str], posts: DataFrame,
                  comments: DataFrame | None, run_ts=None) -> DataFrame:
-    """One row about a run: what was asked, when, and how much was found."""
+    """One row about a run: what was asked (NULL for a table of phrases), when, and how much was found."""
     kinds = posts.select(F.lit("submission").alias("kind"))
     if comments is not None:
         kinds = kinds.unionAll(comments.select(F.lit("comment").alias("kind")))
     counted = kinds.agg(F.count_if(F.col("kind") == "submission").alias("submission_count"),
                         F.count_if(F.col("kind") == "comment").alias("comment_count"))
-    asked = lambda values: F.array(*[F.lit(v) for v in values]).cast("array<string>")
+    asked = lambda values: (F.lit(None) if values is None else F.array(*[F.lit(v) for v in values])).cast("array<string>")
     nothing = F.when(F.col("submission_count") == 0, F.lit("No submissions found"))
     return counted.select(asked(keywords).alias("keywords"), asked(groups).alias("subreddits"),
                           run_stamp(run_ts).alias("timestamp"), "submission_count",
@@ -84,7 +85,7 @@ class TopicAnalysis:
             f"{path}/comparison")
 
 
-def analyze_topic(posts: DataFrame, comments: DataFrame | None, keywords: str | Sequence[str],
+def analyze_topic(posts: DataFrame, comments: DataFrame | None, keywords: Keywords,
                   groups: str | Sequence[str] | None, make_scorer: ScorerFactory,
                   limit: int | None = DEFAULT_LIMIT, include_comments: bool = True,
                   comment_limit: int | None = 50, time_filter: str | None = DEFAULT_TIME_FILTER,
@@ -97,11 +98,14 @@ def analyze_topic(posts: DataFrame, comments: DataFrame | None, keywords: str |
     """
     found = keyword_search(posts, keywords, groups, time_filter=time_filter, limit=limit,
                            sort=sort, as_of=as_of, **(search_options or {}))
+    if limit is not None:
+        found = cut_lineage(found)      # about as many rows as the limit; four results are made of them
     scored = score_items(found, "submission", make_scorer, run_ts=run_ts, **scoring)
+    asked = None if isinstance(keywords, DataFrame) else as_list(keywords)
     replies = None
     scored_replies = None
     if include_comments and comments is not None:
         replies = top_comments_per_post(comments, found, comment_limit)
         scored_replies = score_items(replies, "comment", make_scorer, run_ts=run_ts, **scoring)
     return TopicAnalysis(scored, scored_replies,
-                         run_metadata(as_list(keywords), as_list(groups), found, replies, run_ts))
+                         run_metadata(asked, as_list(groups), found, replies, run_ts))
