@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import uuid
 from collections.abc import Callable, Iterator
@@ -61,7 +63,21 @@ def in_batches(df: DataFrame, body: Callable[..., Iterator[pa.RecordBatch]], sch
     if _ROOT not in environment.get("PYTHONPATH", "").split(os.pathsep):
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, (environment.get("PYTHONPATH"), _ROOT)))
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(2 << 20))
-    return df.mapInArrow(body, schema)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from body(batches)
+        give_back()
+
+    return df.mapInArrow(task, schema)
+
+
+def give_back() -> None:
+    """Return what a task has freed to the system, as idle workers outlive their tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # not in every C library
+    if trim:
+        trim(0)
 
 
 def pieces(batch: pa.RecordBatch, text: str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
