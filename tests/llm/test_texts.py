@@ -56,6 +56,17 @@ def test_style_tree_learns_repeated_branches(spark):
     assert styletree.main_text(df.limit(0)).count() == 0
 
 
+# ---- fingerprints drawn together
+
+def test_signatures_drawn_together_equal_those_drawn_alone(rows, monkeypatch):
+    texts = [(row[1] or "").encode() for row in rows] + [b"a b c d e f g " * 500, b"one two", b""]
+    alone = [sampling.signature(*w) for w in sampling.weights(texts)]
+    assert all((a == b).all() for a, b in zip(alone, sampling.signatures(texts)))
+    monkeypatch.setattr(sampling, "HELD_TERMS", 300)
+    monkeypatch.setattr(sampling, "ROWS", 7)
+    assert all((a == b).all() for a, b in zip(alone, sampling.signatures(texts)))
+
+
 # ---- compression bands
 
 def test_base_counts(docs, rows):

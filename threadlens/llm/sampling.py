@@ -23,8 +23,11 @@ from threadlens.llm.words import hash_texts, mix, runs
 SAMPLES = 64
 SEED = 20240501
 WIDTH = 5
-# Terms whose variates are drawn at a time.
+# Terms whose variates are drawn at a time, and terms of a text that are compared at a time.
 BLOCK = 1 << 8
+ROWS = 1 << 11
+# Terms of texts whose variates are held together; a text with more draws its own as it goes.
+HELD_TERMS = 1 << 17
 
 
 def variates(term: np.ndarray, samples: int, seed: int = SEED) -> tuple[np.ndarray, ...]:
@@ -70,6 +73,60 @@ def signature(term: np.ndarray, count: np.ndarray, seed: int = SEED, universe: i
     return (mix(name + mix(steps.astype(np.uint64) + np.uint64(1))) >> np.uint64(32)).astype(np.uint32)
 
 
+def signatures(texts: list[bytes], seed: int = SEED, samples: int = SAMPLES) -> list[np.ndarray]:
+    """``signature`` of each text; what texts have in common is drawn once.
+
+    A term that occurs once in a text is drawn at level 0 whatever the text, so its value
+    is the same in all of them.
+    """
+    out: list[np.ndarray | None] = [None] * len(texts)
+    held: list[tuple[int, np.ndarray, np.ndarray]] = []
+    for at, (term, count) in enumerate(weights(texts)):
+        if len(term) > HELD_TERMS:
+            out[at] = signature(term, count, seed, samples=samples)
+        else:
+            if held and sum(len(t) for _, t, _ in held) + len(term) > HELD_TERMS:
+                _together(held, out, seed, samples)
+                held = []
+            held.append((at, term, count))
+    if held:
+        _together(held, out, seed, samples)
+    return out
+
+
+def _together(held: list[tuple[int, np.ndarray, np.ndarray]], out: list[np.ndarray | None], seed: int, samples: int) -> None:
+    all_terms, place = np.unique(np.concatenate([term for _, term, _ in held]), return_inverse=True)
+    mixed = mix(all_terms.astype(np.uint64))
+    once = np.empty((len(mixed), samples), np.float32)
+    for at in range(0, len(mixed), BLOCK):
+        r, c, b = variates(mixed[at:at + BLOCK], samples, seed)
+        once[at:at + BLOCK] = c - r * (np.float32(0) - b) - r
+    every, start = np.arange(samples), 0
+    for which, term, count in held:
+        own, start = place[start:start + len(term)], start + len(term)
+        if not len(term):
+            out[which] = np.zeros(samples, np.uint32)
+            continue
+        best = np.full(samples, np.inf)
+        name, steps = np.zeros(samples, np.uint64), np.zeros(samples, np.int64)
+        for at in range(0, len(term), ROWS):
+            rows, times = own[at:at + ROWS], count[at:at + ROWS]
+            value = once[rows]
+            many = np.flatnonzero(times > 1)
+            level = None
+            if len(many):
+                level = np.zeros(value.shape, np.float32)
+                r, c, b = variates(mixed[rows[many]], samples, seed)
+                level[many] = np.floor(np.log(times[many]).astype(np.float32)[:, None] / r + b)
+                value[many] = c - r * (level[many] - b) - r
+            won = value.argmin(axis=0)
+            better = value[won, every] < best
+            best = np.where(better, value[won, every], best)
+            name = np.where(better, mixed[rows[won]], name)
+            steps = np.where(better, 0 if level is None else level[won, every].astype(np.int64), steps)
+        out[which] = (mix(name + mix(steps.astype(np.uint64) + np.uint64(1))) >> np.uint64(32)).astype(np.uint32)
+
+
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
     """Share of samples that agree: the estimate of the generalised Jaccard similarity."""
     return float((a == b).mean())
@@ -123,7 +180,7 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", buckets: int | None
                  F.struct("bucket", F.lit(False).alias("guest")),
                  F.when(F.col("also").isNotNull(), F.struct(F.col("also").alias("bucket"), F.lit(True).alias("guest")))))).alias("d"))
              .select("doc_id", "text", F.col("d.bucket").alias("bucket"), F.col("d.guest").alias("guest"))
-             .repartition(count, "bucket").sortWithinPartitions("bucket", "guest", "doc_id", "text"))
+             .repartitionById(count, "bucket").sortWithinPartitions("bucket", "guest", "doc_id", "text"))
 
     def consecutive(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
         """Lists of (id, text, next text) holding a few MB; a range ends at its first guest."""
@@ -134,7 +191,7 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", buckets: int | None
                     out.append((held[1], held[2], text))
                     size += 2 * len(held[2])
                 held = None if guest else (bucket, doc, text)
-                if size > 4 << 20:
+                if size > 1 << 20:
                     yield out
                     out, size = [], 0
         if out:
@@ -146,12 +203,12 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", buckets: int | None
             for _, text, after in rows:
                 half = len(text) // 2
                 edited.append((text[:len(text) - half] + after[:half]).encode())
-            own = [signature(*w) for w in weights([text.encode() for _, text, _ in rows])]
             # Within a run the next text's signature is the next row's.
             other = [at for at in range(len(rows)) if at + 1 == len(rows) or rows[at + 1][1] is not rows[at][2]]
-            extra = dict(zip(other, (signature(*w) for w in weights([rows[at][2].encode() for at in other]))))
+            made = signatures([part for (_, text, _), new in zip(rows, edited) for part in (text.encode(), new)] + [rows[at][2].encode() for at in other])
+            own, changed = made[:2 * len(rows):2], made[1:2 * len(rows):2]
+            extra = dict(zip(other, made[2 * len(rows):]))
             after = [extra[at] if at in extra else own[at + 1] for at in range(len(rows))]
-            changed = [signature(*w) for w in weights(edited)]
             yield pa.record_batch({
                 "id": pa.array([row[0] for row in rows]),
                 "n_chars": pa.array([len(row[1]) for row in rows], pa.int64()),
