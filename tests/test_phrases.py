@@ -3,8 +3,9 @@ from pyspark.sql import functions as F
 
 from tests.conftest import exchanged_columns
 from threadlens.functions.keywords import matches, occurrences
-from threadlens.operators.phrases import MATCHED, match_phrases
+from threadlens.operators.phrases import MATCHED, match_phrases, phrase_candidates, phrase_index
 from threadlens.operators.search import found_posts, keyword_search
+from threadlens.scale import laid_out
 
 TEXTS = ["The quick  Brown fox", "quick-brown fox; the fox", "a fox's tail (c++ and c#)", None, "", "AN AN AN an", "x\n\ty z x y z", "über-STRASSE 100% sure?",
          "C++ c++", "dog. Dog! hotdog", "-a b- -a", "\U0001f680 to the moon \U0001f680\U0001f680"]
@@ -46,3 +47,19 @@ def test_search_by_a_table_of_phrases(spark, posts):
     best = keyword_search(timed, table, search_all=True, limit=3, as_of="2024-01-02").collect()
     assert [sum(m["n"] for m in r[MATCHED]) for r in best] == [3, 3, 3]
     assert found_posts(posts, table.limit(0), time_filter=None).count() == 0 and found_posts(posts.limit(0), table, time_filter=None).count() == 0
+
+
+def test_words_that_do_not_follow_one_another_bring_no_candidates(spark):
+    words = [f"w{i}" for i in range(40)]
+    rows = laid_out(spark.createDataFrame([(" ".join(words),), (" ".join(words[::-1]),)], "text string"))
+    pairs = spark.createDataFrame([(f"{a} {b}",) for a in words for b in words if a != b], "phrase string")
+    assert phrase_candidates(rows, [F.col("text")], phrase_index(pairs)).count() == 2 * 39
+    both = match_phrases(rows.select("text"), ["text"], pairs)
+    assert [len(r[MATCHED]) for r in both.collect()] == [39, 39]
+
+
+def test_phrases_longer_than_their_key(spark):
+    posts = spark.createDataFrame([("a b c d e f g! a b c d e f gh",), ("a b c d e x g",)], "text string")
+    table = spark.createDataFrame([("a b c d e f g",), ("A B  c d e",), ("x g",)], "phrase string")
+    assert [[tuple(m) for m in r[MATCHED]] for r in match_phrases(posts, ["text"], table).orderBy("text").collect()] == [
+        [("a b c d e", 2), ("a b c d e f g", 1)], [("a b c d e", 1), ("x g", 1)]]
