@@ -110,3 +110,16 @@ def test_ascii_rows_do_not_reach_python(spark):
 def test_filter_on_cleaned_text_keeps_the_plan_small(spark):
     df = spark.createDataFrame([("1", "a <b>"), ("2", "")], "id string, text string")
     assert clean(df, ["text"]).filter("text != ''").count() == 1
+
+
+def test_python_gets_long_texts_in_batches_of_bounded_bytes(spark):
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(limit)
+    spark.conf.unset(limit)
+    try:
+        long = spark.range(0, 2000, 1, 1).select(F.repeat(F.lit("é"), 5000).alias("text"))
+        assert clean(long, ["text"]).filter(F.length("text") == 5000).count() == 2000
+        rows = F.pandas_udf(lambda batch: batch.map(lambda _: len(batch)), "long")
+        assert long.select(rows("text").alias("n")).agg(F.max("n")).first()[0] < 500
+    finally:
+        spark.conf.set(limit, before)

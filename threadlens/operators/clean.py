@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from threadlens.functions.cleaning import (CleanOptions, collapse_whitespace, nfkc_exposed, nfkc_of,
                                            strip_all)
+from threadlens.scale import bound_batches
 from threadlens.schemas import TEXT_COLUMNS, check_item_type
 
 
@@ -17,8 +18,9 @@ def clean(df: DataFrame, columns: Sequence[str], options: CleanOptions = CleanOp
     """Clean ``columns`` into ``<column><suffix>``; no shuffle.
 
     All columns share one expression and one Python call for the Unicode forms,
-    which gets only the texts that those may change.
+    which gets only the texts that those may change, a few megabytes at a time.
     """
+    bound_batches(df.sparkSession)
     texts = F.array(*[F.col(name) for name in columns])
     df = df.withColumn("_texts", F.transform(texts, lambda t: strip_all(t, options)))
     df = df.withColumn("_forms", nfkc_of(nfkc_exposed(F.col("_texts"))))
