@@ -77,6 +77,15 @@ def test_layout_of_an_empty_table(spark):
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("laid_out")]
 
 
+def test_files_of_a_layout_fill_its_buckets_evenly(spark):
+    bucket = F.pmod(F.hash(scale.PART), F.lit(16)).alias("bucket")
+    for parts, per_bucket in ((16, {1}), (5, {1}), (40, {2, 3})):
+        rows = scale.laid_out(spark.range(0, 400, 1, parts), buckets=16)
+        files = rows.groupBy(bucket).agg(F.countDistinct(F.shiftright(scale.ROW, 33)).alias("n")).collect()
+        assert {f["n"] for f in files} == per_bucket and sum(f["n"] for f in files) == parts
+        assert rows.select(scale.PART, scale.ROW).distinct().count() == 400
+
+
 def test_bytes_of_rows(spark):
     df = spark.createDataFrame([("éa", 1, ["x"]), (None, None, None)], "t string, n int, a array<string>")
     small, large = sorted(r[0] for r in df.select(scale.row_bytes(df)).collect())
