@@ -137,3 +137,29 @@ def test_scoring_needs_no_shuffle(spark):
     df = spark.range(5).select(F.col("id").cast("string").alias("id"), F.lit("good").alias("text"))
     plan = score_rules(df, {"s": "text"}, LEXICON)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_emphasis_is_looked_for_once(spark):
+    text = F.col("id").cast("string")
+    scored = spark.range(3).select(lx.rule_score(text, _mapping_lexicon(LEXICON)[0]).alias("s"))
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("replace(") == 2      # one for "!", one for "?"
+
+
+def test_words_without_a_changing_one_near_need_no_closer_look(spark, monkeypatch):
+    words = ["good", "bad", "GOOD", "Bad", "no", "or", "like", "very", "VERY", "hardly", "not", "isn't", "Never", "so",
+             "without", "doubt", "least", "at", "kind", "of", "but", "a", "day", ":)", "STREET", "road,", "house"]
+    draw = random.Random(7)
+    texts = [(n, " ".join(draw.choices(words, k=draw.randrange(12)))) for n in range(600)]
+    df = spark.createDataFrame(texts, "id int, text string")
+    scores = lambda: [tuple(r.s) for r in score_rules(df, {"s": "text"}, LEXICON).orderBy("id").collect()]
+    short = scores()
+    monkeypatch.setattr(lx, "may_change", lambda word: F.lit(True))
+    assert short == scores()
+
+
+def test_short_word_list_tests_for_entries_before_it_looks_them_up(spark):
+    lookup = scale.inline_lookup({f"w{n}": float(n) for n in range(20)}, "double")
+    rows = spark.range(25).select("id", F.concat(F.lit("w"), F.col("id").cast("string")).alias("w")).select("id", lookup(F.col("w")).alias("v"))
+    assert "INSET" in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.id: r.v for r in rows.collect()} == {n: float(n) if n < 20 else None for n in range(25)}

@@ -92,6 +92,15 @@ def is_negation(word: Column) -> Column:
     return F.coalesce(_word_roles()["negation"](word), word.contains("n't"))
 
 
+# Words that may change the valence of a lexicon word near them, or their own.
+_CHANGING = sorted({*STRONGER, *WEAKER, *NEGATIONS, "no", "least", "kind"})
+
+
+def may_change(word: Column) -> Column:
+    """Whether the valence at this lower-case word or after it needs a closer look."""
+    return word.isin(_CHANGING) | word.contains("n't")
+
+
 def token_context(tokens: Column) -> Column:
     """Each token with the three before it, read off the array."""
     return let(tokens, lambda ts: F.transform(ts, lambda token, i: F.struct(
@@ -109,11 +118,11 @@ def negation_factor(lower: Column, i: Column, distance: Column) -> Column:
              .otherwise(F.lit(1.0)))
 
 
-def word_valences(words: Column, lookup: Lookup) -> Column:
-    """``(pos, valence)`` of the lexicon words of a text, each in its context."""
-    lowered = let(words, lambda ws: F.transform(ws, F.lower))
-    return let(lowered, lambda lower: let(
-        F.transform(lower, lookup), lambda known: _valences(words, lower, known)))
+def word_valences(words: Column, lookup: Lookup, lowered: Column | None = None) -> Column:
+    """``(pos, valence)`` of the lexicon words of a text, each in its context.
+    ``lowered`` are the words in lower case, where the caller has them."""
+    valences = lambda lower: let(F.transform(lower, lookup), lambda known: _valences(words, lower, known))
+    return valences(lowered) if lowered is not None else let(F.transform(words, F.lower), valences)
 
 
 def _valences(words: Column, lower: Column, known: Column) -> Column:
@@ -123,7 +132,16 @@ def _valences(words: Column, lower: Column, known: Column) -> Column:
         signed = F.when(value > 0, F.lit(amount)).otherwise(F.lit(-amount))
         return value + F.when(shouted, signed).otherwise(F.lit(0.0))
 
-    def at(i: Column, caps: Column) -> Column:
+    def shouted(i: Column, caps: Column) -> Column:
+        word = F.get(words, i)
+        return caps & (F.get(lower, i) != word) & (F.upper(word) == word)
+
+    def at(i: Column, caps: Column, marks: Column) -> Column:
+        loud = with_caps(F.get(known, i), shouted(i, caps), CAPS)
+        quiet = F.get(marks, i - 1).isNull() & F.get(marks, i - 2).isNull() & F.get(marks, i - 3).isNull() & F.get(marks, i).isNull()
+        return F.struct(i.alias("pos"), F.when(quiet, loud).otherwise(changed(i, caps)).alias("valence"))
+
+    def changed(i: Column, caps: Column) -> Column:
         token, value = F.get(lower, i), F.get(known, i)
         first, second, third = (F.get(lower, i - d) for d in (1, 2, 3))
         denied = ((first == "no") | (second == "no")
@@ -137,28 +155,30 @@ def _valences(words: Column, lower: Column, known: Column) -> Column:
             boost = boost_of(F.get(lower, j))
             signed = F.when(total < 0, -boost).otherwise(boost)
             loud = F.when(total > 0, F.lit(CAPS)).otherwise(F.lit(-CAPS))
-            shouted = signed + F.when(caps & is_upper(F.get(words, j)), loud).otherwise(F.lit(0.0))
-            boosted = total + F.coalesce(shouted * F.get(damping, distance - 1), F.lit(0.0))
+            degree = signed + F.when(shouted(j, caps), loud).otherwise(F.lit(0.0))
+            boosted = total + F.coalesce(degree * F.get(damping, distance - 1), F.lit(0.0))
             return (F.when((j < 0) | F.get(known, j).isNotNull(), total)
                      .otherwise(boosted * negation_factor(lower, i, distance)))
 
         looked = F.aggregate(F.array(F.lit(1), F.lit(2), F.lit(3)),
-                             with_caps(start, caps & is_upper(F.get(words, i)), CAPS), look_back)
+                             with_caps(start, shouted(i, caps), CAPS), look_back)
         least = ((first == "least") & F.get(known, i - 1).isNull()
                  & ~F.coalesce(second.isin("at", "very"), F.lit(False)))
         final = looked * F.when(least, F.lit(NEGATE)).otherwise(F.lit(1.0))
         degree_word = boost_of(token).isNotNull() | (
             (token == "kind") & (F.get(lower, i + 1) == "of"))
-        return F.struct(i.alias("pos"), F.when(degree_word, F.lit(0.0)).otherwise(final).alias("valence"))
+        return F.when(degree_word, F.lit(0.0)).otherwise(final)
 
     places = F.transform(known, lambda v, i: F.when(v.isNotNull(), i))
     hits = F.filter(places, lambda i: i.isNotNull())
-    return let(mixed_case(words), lambda caps: F.transform(hits, lambda i: at(i, caps)))
+    marks = F.transform(lower, lambda word: F.when(may_change(word), True))
+    return let(mixed_case(words), lambda caps: let(marks, lambda marked: F.transform(hits, lambda i: at(i, caps, marked))))
 
 
-def contrast(hits: Column, words: Column) -> Column:
-    """Halve what precedes the first "but", raise what follows it by half."""
-    first = F.array_position(F.transform(words, F.lower), "but").cast("int") - 1
+def contrast(hits: Column, words: Column, lowered: Column | None = None) -> Column:
+    """Halve what precedes the first "but", raise what follows it by half.
+    ``lowered`` are the words in lower case, where the caller has them."""
+    first = F.array_position(F.transform(words, F.lower) if lowered is None else lowered, "but").cast("int") - 1
 
     def weighed(hit: Column, at: Column) -> Column:
         factor = (F.when(at < 0, F.lit(1.0)).when(hit["pos"] < at, F.lit(BEFORE_BUT))
@@ -174,9 +194,9 @@ def exclamation_emphasis(text: Column) -> Column:
 
 
 def question_emphasis(text: Column) -> Column:
-    count = F.length(text) - F.length(F.replace(text, F.lit("?")))
-    return (F.when(count <= 1, F.lit(0.0)).when(count <= 3, count * F.lit(QUESTION))
-             .otherwise(F.lit(QUESTION_MAX)))
+    found = F.length(text) - F.length(F.replace(text, F.lit("?")))
+    return let(found, lambda count: F.when(count <= 1, F.lit(0.0)).when(count <= 3, count * F.lit(QUESTION))
+               .otherwise(F.lit(QUESTION_MAX)))
 
 
 def classify(compound: Column, threshold: float = THRESHOLD) -> Column:
@@ -199,16 +219,13 @@ def score_struct(neg: Column, neu: Column, pos: Column, compound: Column, sentim
 def summarize(hits: Column, n_words: Column, emphasis: Column,
               threshold: float = THRESHOLD) -> Column:
     """Compound score, shares and class of one text from its word valences."""
-    start = F.struct(F.lit(0.0).alias("pos"), F.lit(0.0).alias("neg"), F.lit(0).alias("n"),
-                     F.lit(0.0).alias("sum"))
-
-    def add(acc: Column, hit: Column) -> Column:
-        x = hit["valence"]
+    def totals(values: Column) -> Column:
+        add = lambda part: F.aggregate(values, F.lit(0.0), lambda acc, x: acc + part(x))
         return F.struct(
-            (acc["pos"] + F.when(x > 0, x + 1.0).otherwise(F.lit(0.0))).alias("pos"),
-            (acc["neg"] + F.when(x < 0, 1.0 - x).otherwise(F.lit(0.0))).alias("neg"),
-            (acc["n"] + F.when(x != 0, F.lit(1)).otherwise(F.lit(0))).alias("n"),
-            (acc["sum"] + x).alias("sum"))
+            add(lambda x: F.when(x > 0, x + 1.0).otherwise(F.lit(0.0))).alias("pos"),
+            add(lambda x: F.when(x < 0, 1.0 - x).otherwise(F.lit(0.0))).alias("neg"),
+            F.size(F.filter(values, lambda x: x != 0)).alias("n"),
+            add(lambda x: x).alias("sum"))
 
     def finish(acc: Column) -> Column:
         raw = acc["sum"] + F.signum(acc["sum"]) * emphasis
@@ -221,7 +238,7 @@ def summarize(hits: Column, n_words: Column, emphasis: Column,
         return let(compound, lambda c: score_struct(share(neg), share(neu), share(pos), c,
                                                     classify(c, threshold)))
 
-    return F.aggregate(hits, start, add, finish)
+    return let(let(F.transform(hits, lambda hit: hit["valence"]), totals), finish)
 
 
 @dataclass(frozen=True)
@@ -288,9 +305,10 @@ def rule_score(text: Column, lookup: Lookup, threshold: float = THRESHOLD, phras
         value_of = lambda w: F.when(w.contains(" "), phrases.lookup(w)).otherwise(lookup(w))
 
     def score(t: Column) -> Column:
-        emphasis = exclamation_emphasis(t) + question_emphasis(t)
-        scored = let(words_of(t), lambda words: summarize(
-            contrast(word_valences(words, value_of), words), F.size(words), emphasis, threshold))
+        # Looked for once: the summary reads it several times.
+        scored = let(exclamation_emphasis(t) + question_emphasis(t), lambda emphasis: let(words_of(t), lambda words: let(
+            F.transform(words, F.lower), lambda lower: summarize(
+                contrast(word_valences(words, value_of, lower), words, lower), F.size(words), emphasis, threshold))))
         return F.when(t == "", neutral_score()).otherwise(scored)
 
     return let(F.coalesce(text, F.lit("")), score)
