@@ -35,7 +35,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts bytes that lie in strings of 400 bytes found elsewhere as well.
+    """Cuts bytes that lie in strings of 400 bytes found elsewhere as well, and passages of
+    over 50 words that another text has as well.
 
     Null and short texts stay as they are, repeated rows lose the same bytes, a text that
     repeats whole is left empty; long texts are cut whole; an empty table stays empty.

@@ -187,6 +187,30 @@ def test_repeats_of_odd_tables(odd, empty):
     assert all(r["n_chars"] == (None if r["text"] is None else len(r["text"])) for r in left.collect())
 
 
+def test_stage_cuts_shared_passages_of_over_50_words(spark):
+    """Passages of fewer than 400 bytes; one of 50 words stays, and so does one that only its own text repeats."""
+    draw = random.Random(15)
+    prose = lambda n: [f"w{draw.randrange(10 ** 3)}" for _ in range(n)]
+    rows, want = [], {}
+    for case in range(12):
+        n = 51 + case % 3 if case % 4 else 50
+        passage = prose(n)
+        assert len(" ".join(passage)) < repeats.LENGTH
+        for copy in range(2 + case % 2):
+            before, after, doc = prose(draw.randint(0, 40)), prose(draw.randint(0, 60)), 10 * case + copy
+            rows.append((doc, (" \n" if copy else " ").join([*before, f"a{copy}", *passage, "é" * copy, *after])))
+            want[doc] = [*before, f"a{copy}", *(passage if n == 50 else []), "é" * copy, *after]
+    own = prose(55)
+    rows += [(500, " ".join([*own, "x", *own])), (501, None), (502, ""), (503, "few words"), (504, " ".join(prose(51))), (505, " ".join(prose(20000)))]
+    rows += [(506, rows[-2][1]), (507, " ".join(rows[-1][1].split()[9000:9051]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.cut_repeats(spark, docs, "").collect()}
+    assert {doc: got[doc].split() for doc in want} == {doc: [w for w in words if w] for doc, words in want.items()}
+    assert [got[d] for d in (500, 501, 502, 503, 504, 506, 507)] == [rows[-8][1], None, "", "few words", "", "", ""]
+    long = rows[-3][1].split()
+    assert got[505].split() == long[:9000] + long[9051:]
+
+
 # ---- chains
 
 def test_fenwick_chain_is_the_best_chain():

@@ -13,6 +13,10 @@ interval of the one and an interval of the other share two suffixes.
 
 Refining the interleave of the whole corpus byte by byte would take 400 passes over
 every byte; the sample, the buckets and the eight-byte rounds give the same intervals.
+
+Passages counted in words, which may have fewer than 400 bytes, are sampled alike: a run of
+51 words by the least hash of the 16-word runs in it. Runs whose sample another text has as
+well are compared by a hash of the whole run.
 """
 
 from __future__ import annotations
@@ -25,8 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadlens.llm.common import in_batches, pieces, settle, sized_side, written
-from threadlens.llm.words import mix, powers
+from threadlens.llm.common import encoded, in_batches, pieces, settle, sized_side, written
+from threadlens.llm.words import bounds, hash_texts, mix, powers, runs
 
 LENGTH = 400
 GRAM = 32
@@ -34,11 +38,26 @@ GRAM = 32
 # those before it; either way a core of this many bytes.
 HALF = (LENGTH - GRAM) // 2
 CORE = HALF + GRAM
+# Words that texts may not share in a row, and of the runs that sample them.
+SHARED_WORDS = 51
+GRAM_WORDS = 16
 _STEP = 1 << 19
 _MERGE_ROWS = 20_000
 _MERGE_BYTES = 24 << 20
 
 
+def _least(value: np.ndarray, span: int) -> np.ndarray:
+    """The least of each ``span`` values in a row."""
+    rows = -(-len(value) // span)
+    full = np.full(rows * span, np.iinfo(np.uint64).max, np.uint64)
+    full[:len(value)] = value
+    grid = full.reshape(rows, span)
+    ahead = np.minimum.accumulate(grid, axis=1).ravel()
+    behind = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
+    windows = len(value) - span + 1
+    return np.minimum(behind[:windows], ahead[span - 1:span - 1 + windows])
+
+
 def _samples(data: np.ndarray) -> tuple[np.ndarray, ...]:
     """For one piece: sample place, first and last window it stands for, and the hashes of
     the cores after and before it (0 where no window needs them)."""
@@ -51,15 +70,8 @@ def _samples(data: np.ndarray) -> tuple[np.ndarray, ...]:
     bits = np.uint64(21)
     # The least hash of each window; of equal ones the last.
     value = (value >> bits << bits) | (np.uint64((1 << 21) - 1) - np.arange(grams, dtype=np.uint64))
-    span = LENGTH - GRAM + 1
-    rows = -(-grams // span)
-    full = np.full(rows * span, np.iinfo(np.uint64).max, np.uint64)
-    full[:grams] = value
-    grid = full.reshape(rows, span)
-    ahead = np.minimum.accumulate(grid, axis=1).ravel()
-    behind = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
+    least = _least(value, LENGTH - GRAM + 1)
     windows = n - LENGTH + 1
-    least = np.minimum(behind[:windows], ahead[span - 1:span - 1 + windows])
     place = ((1 << 21) - 1) - (least & np.uint64((1 << 21) - 1)).astype(np.int64)
     first = np.flatnonzero(np.diff(place, prepend=-1))
     last = np.append(first[1:], windows) - 1
@@ -166,7 +178,7 @@ def _merged(held: list[tuple]) -> Iterator[tuple[list, list, list]]:
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """``key, starts, ends``: bytes to remove from each text that has any, sorted and apart.
+    """``key, start, end``: bytes to remove from texts, which may overlap.
 
     ``key`` is the 64-bit hash of the text. Equal texts of 400 bytes or more repeat whole.
     """
@@ -250,7 +262,78 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
                .repartition("core").sortWithinPartitions("core", "_shard").drop("_shard"))
     found = in_batches(buckets, merge, "key long, start long, end long")
     whole = texts.filter(f"copies > 1 AND n_bytes >= {LENGTH}").select("key", F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end"))
-    spans = found.union(whole).groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("s"))
+    return found.union(whole)
+
+
+def word_runs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For each run of ``SHARED_WORDS`` words in a text: its hash, the least hash of the
+    16-word runs in it, the text and the first word's index."""
+    words, offsets = hash_texts(texts)
+    span = SHARED_WORDS - GRAM_WORDS
+    if len(words) < SHARED_WORDS:
+        none = np.empty(0, np.int64)
+        return none.astype(np.uint64), none.astype(np.uint64), none, none
+    value, owner, place = runs(words, offsets, GRAM_WORDS, short=False)
+    end = np.cumsum(np.bincount(owner, minlength=len(texts)))
+    at = np.flatnonzero(np.arange(len(value)) + span < end[owner])
+    name = np.full(len(at), SHARED_WORDS, np.uint64)
+    for step in [*range(0, span, GRAM_WORDS), span]:
+        name = mix(name + value[at + step])
+    least = _least(value, span + 1)[at] if len(at) else name
+    return name, least, owner[at], place[at]
+
+
+def shared_spans(docs: DataFrame) -> DataFrame:
+    """``key, start, end``: bytes of runs of ``SHARED_WORDS`` words that another row has as
+    well, whatever white space is between them; they may overlap. ``key`` as in
+    ``repeated_spans``. Equal texts of so many words are shared whole.
+    """
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    kind = dict(rows.dtypes)["doc_id"]
+    keyed = rows.withColumn("key", F.xxhash64("text"))
+
+    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (piece for whole in batches for piece in pieces(whole, "text")):
+            _, least, owner, _ = word_runs(encoded(batch.column("text")))
+            new = np.append(True, (least[1:] != least[:-1]) | (owner[1:] != owner[:-1]))[:len(least)]      # a sample stands for runs that follow one another
+            offset = np.searchsorted(owner[new], np.arange(batch.num_rows + 1))
+            yield pa.record_batch({
+                "doc_id": batch.column("doc_id"), "key": batch.column("key"), "n_bytes": pa.compute.binary_length(batch.column("text")).cast(pa.int64()),
+                "grams": pa.ListArray.from_arrays(pa.array(offset, pa.int32()), pa.array(least[new].view(np.int64), pa.int64()))})
+
+    sampled = written(in_batches(keyed, sample, f"doc_id {kind}, key long, n_bytes long, grams array<long>"), "grams")
+    grams = sampled.select("key", F.explode("grams").alias("gram"))
+    # Kept, so that the joins deal both sides anew and may split what is very common.
+    twice = settle(grams.groupBy("gram").agg(F.min("key").alias("low"), F.max("key").alias("high")).filter("low != high").select("gram"))
+    wanted = grams.join(twice, "gram", "left_semi").distinct().groupBy("key").agg(F.collect_list("gram").alias("_grams"))
+    texts = sampled.filter("size(grams) > 0").groupBy("key").agg(F.min("doc_id").alias("_one"), F.count(F.lit(1)).alias("copies"), F.first("n_bytes").alias("n_bytes"))
+    chosen = texts.join(wanted, "key").select("_one", F.col("key").alias("_key"), "_grams")
+    given = (keyed.join(sized_side(chosen), F.col("doc_id").eqNullSafe(F.col("_one")) & (F.col("key") == F.col("_key")))
+             .select("key", "text", "_grams"))
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (piece for whole in batches for piece in pieces(whole, "text")):
+            texts = encoded(batch.column("text"))
+            name, least, owner, place = word_runs(texts)
+            cut = np.searchsorted(owner, np.arange(len(texts) + 1))
+            out = []
+            for text, key, grams, a, b in zip(texts, batch.column("key").to_pylist(), batch.column("_grams"), cut[:-1], cut[1:]):
+                pick = np.flatnonzero(np.isin(least[a:b], grams.values.to_numpy().view(np.uint64))) + a
+                start, end = bounds(text)
+                out.append((name[pick].view(np.int64), np.full(len(pick), key, np.int64), start[place[pick]], end[place[pick] + SHARED_WORDS - 1]))
+            if out:
+                yield pa.record_batch([np.concatenate(column) for column in zip(*out)], names=["name", "key", "start", "end"])
+
+    placed = written(in_batches(given, places, "name long, key long, start long, end long"), "runs")
+    shared = settle(placed.groupBy("name").agg(F.min("key").alias("low"), F.max("key").alias("high")).filter("low != high").select("name"))
+    whole = texts.filter("copies > 1").select("key", F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end"))
+    return placed.join(shared, "name", "left_semi").select("key", "start", "end").union(whole)
+
+
+def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
+    """``docs`` with ``__starts, __ends``, the spans of each text sorted and apart; null where
+    nothing is removed."""
+    listed = spans.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("s"))
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -266,13 +349,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
                 ends.append([b for _, b in own])
             yield pa.record_batch({"key": batch.column("key"), "starts": pa.array(starts, pa.list_(pa.int64())), "ends": pa.array(ends, pa.list_(pa.int64()))})
 
-    return in_batches(spans, joined, "key long, starts array<long>, ends array<long>")
-
-
-def with_spans(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``__starts, __ends``, null where nothing is removed."""
-    spans = repeated_spans(docs).select(F.col("key").alias("__key"), F.col("starts").alias("__starts"), F.col("ends").alias("__ends"))
-    return docs.join(sized_side(spans), F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("__key"), "left").drop("__key")
+    apart = in_batches(listed, joined, "key long, starts array<long>, ends array<long>")
+    apart = apart.select(F.col("key").alias("__key"), F.col("starts").alias("__starts"), F.col("ends").alias("__ends"))
+    return docs.join(sized_side(apart), F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("__key"), "left").drop("__key")
 
 
 def kept(text: bytes, starts: list[int] | None, ends: list[int] | None) -> bytes:
@@ -290,7 +369,8 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     in pieces that overlap by a window; of equal hashes in a window the last is the sample, so
     ties are settled alike everywhere. An empty table gives no rows. Other columns are not read.
     """
-    rows = with_spans(docs.select(F.col(id_column).alias("doc_id"), "text"))
+    rows = docs.select(F.col(id_column).alias("doc_id"), "text")
+    rows = with_spans(rows, repeated_spans(rows))
     kind = dict(rows.dtypes)["doc_id"]
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -309,8 +389,8 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` with repeated bytes cut from each text; a character that loses a byte goes with
-    it. A text of which nothing is left stays as an empty text, a null text as null. Columns
+    """``docs`` with repeated bytes cut from each text, and passages of over 50 words that
+    another text has as well; a character that loses a byte goes with it. A text of which nothing is left stays as an empty text, a null text as null. Columns
     may have any names but those that begin with two underscores."""
     columns = docs.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
@@ -324,4 +404,4 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                 new["n_chars"] = pa.array([None if t is None else len(t) for t in texts], batch.schema.field("n_chars").type)
             yield pa.RecordBatch.from_arrays([new.get(name, batch.column(name)) for name in columns], names=columns)
 
-    return in_batches(with_spans(docs), body, schema)
+    return in_batches(with_spans(docs, repeated_spans(docs).union(shared_spans(docs))), body, schema)
