@@ -272,15 +272,25 @@ def test_passages_that_lower_texts_hold_in_parts(spark):
     assert all((r["end"] - r["start"], r["n_common"]) == (60, 60) for r in found)
 
 
-def test_the_first_of_equal_texts_stands_for_all(spark):
+def test_the_first_of_equal_texts_is_searched_for_all(spark, monkeypatch):
     draw = random.Random(21)
     prose = lambda n: [f"w{draw.randrange(10 ** 6)}" for _ in range(n)]
     passage, other = prose(60), prose(70)
     text, loose, short = " ".join(prose(20) + passage + prose(30) + other), " ".join(other + prose(25)), " ".join(prose(49))
     rows = [(7, text), (3, " ".join(passage + prose(40))), (5, text), (9, text), (9, text), (8, loose), (11, short), (12, short), (None, text), (13, None), (14, None)]
+    sown, keep = [], chaining.written
+
+    def noted(df, label):
+        kept = keep(df, label)
+        if label == "seeds":
+            sown.extend(r["doc"] for r in kept.select("doc").distinct().collect())
+        return kept
+
+    monkeypatch.setattr(chaining, "written", noted)
     found = chaining.passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted(sown) == [3, 5, 8]
     assert sorted((r["doc_id"], r["other_id"], r["start"], r["end"], r["other_start"], r["other_end"]) for r in found) == [
-        (5, 3, 20, 80, 0, 60), (7, 5, 0, 180, 0, 180), (8, 5, 0, 70, 110, 180), (9, 5, 0, 180, 0, 180)]
+        (5, 3, 20, 80, 0, 60), (7, 3, 20, 80, 0, 60), (7, 5, 0, 180, 0, 180), (8, 5, 0, 70, 110, 180), (9, 3, 20, 80, 0, 60), (9, 5, 0, 180, 0, 180)]
     assert all(r["n_words"] == r["n_common"] == r["end"] - r["start"] and r["identity"] == 1 for r in found)
 
 
