@@ -278,15 +278,15 @@ def test_the_first_of_equal_texts_is_searched_for_all(spark, monkeypatch):
     passage, other = prose(60), prose(70)
     text, loose, short = " ".join(prose(20) + passage + prose(30) + other), " ".join(other + prose(25)), " ".join(prose(49))
     rows = [(7, text), (3, " ".join(passage + prose(40))), (5, text), (9, text), (9, text), (8, loose), (11, short), (12, short), (None, text), (13, None), (14, None)]
-    sown, keep = [], chaining.written
+    sown, keep = [], chaining.in_batches
 
-    def noted(df, label):
-        kept = keep(df, label)
-        if label == "seeds":
-            sown.extend(r["doc"] for r in kept.select("doc").distinct().collect())
-        return kept
+    def noted(df, body, schema):
+        out = keep(df, body, schema)
+        if schema.startswith("seed "):
+            sown.extend(r["doc"] for r in out.select("doc").distinct().collect())
+        return out
 
-    monkeypatch.setattr(chaining, "written", noted)
+    monkeypatch.setattr(chaining, "in_batches", noted)
     found = chaining.passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
     assert sorted(sown) == [3, 5, 8]
     assert sorted((r["doc_id"], r["other_id"], r["start"], r["end"], r["other_start"], r["other_end"]) for r in found) == [
