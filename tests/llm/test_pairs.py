@@ -2,17 +2,20 @@
 
 import hashlib
 import random
+import tracemalloc
 from collections import defaultdict
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.conftest import SCHEMA, WORD, words_of
-from threadlens.llm import chaining, jaccard, repeats, words
+from threadlens.llm import chaining, common, jaccard, pieces, repeats, words
 from threadlens.llm.components import components
 
 
@@ -319,6 +322,40 @@ def test_passages_with_evenly_replaced_words(spark):
 
 # ---- pipeline
 
+def test_counters_of_shingles_are_held_once(spark, monkeypatch):
+    """A task needs room for one array of counters, and hands it on in parts."""
+    bodies = []
+    monkeypatch.setattr(jaccard, "in_batches", lambda df, body, schema: bodies.append(body) or (_ for _ in ()).throw(InterruptedError))
+    docs = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")
+    with pytest.raises(InterruptedError):
+        jaccard.describe(docs)
+    batch = pa.record_batch({"doc_id": pa.array([1, 2]), "text": ["a b c d e f", "a b c d e g " * 50]})
+    tracemalloc.start()
+    try:
+        out = list(bodies[0](iter([batch, batch])))
+        assert tracemalloc.get_traced_memory()[1] < 6 * jaccard.CELLS
+    finally:
+        tracemalloc.stop()
+    assert len(out) > 4
+    chunks = {k: np.frombuffer(zstandard.ZstdDecompressor().decompress(c), np.uint32) for part in out for k, c in
+              zip(part.column("chunk").to_pylist(), part.column("counts").to_pylist()) if c is not None}
+    cells = np.concatenate([chunks[k] for k in range(jaccard.CELLS // jaccard.CHUNK)])
+    value, _ = jaccard.shingle_sets([b"a b c d e f", b"a b c d e g " * 50])
+    assert np.array_equal(cells, 2 * np.bincount(jaccard.cell_of(value), minlength=jaccard.CELLS))
+
+
+def test_workers_keep_no_segmented_parts(spark):
+    docs = spark.createDataFrame([(i, f"some words of text {i} zyx{i}") for i in range(200)], "doc_id long, text string").repartition(8)
+    pieces.encode_texts(docs).collect()
+
+    def held(batches):
+        for batch in batches:
+            yield pa.record_batch({"n": [len(pieces.lattice(pieces.MODEL_PATH).cache)]})
+
+    kept = common.in_batches(spark.range(0, 64, 1, 16), held, "n long").collect()
+    assert kept and not any(r["n"] for r in kept)
+
+
 def test_stages_against_brute_force(spark, docs, rows, tmp_path):
     kept = {row[0]: row[1] for row in rows if row[1] and any(map(str.isalpha, row[1]))}
     stages = dict(corpus_pipeline.STAGES)

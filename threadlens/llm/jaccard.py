@@ -27,6 +27,8 @@ WIDTH = 5
 # Counters of the frequency sketch, whatever the corpus: what the executors receive.
 CELLS = 1 << 22
 CHUNK = 1 << 14
+# Chunks that a task hands on at a time.
+CHUNKS_SENT = 32
 MOST_MATCHES = 4
 # Cost of verifying one candidate, in postings read.
 VERIFY_COST = 20.0
@@ -60,22 +62,25 @@ def describe(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     kind = dict(docs.dtypes)["doc_id"]
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(CELLS, np.int64)
+        cells = np.zeros(CELLS, np.uint32)
         none = None
         for whole in batches:
             none = whole.column("doc_id").type
             for batch in pieces(whole, "text"):
                 value, cut = shingle_sets(encoded(batch.column("text")))
-                cells += np.bincount(cell_of(value), minlength=CELLS)
+                at, times = np.unique(cell_of(value), return_counts=True)      # no second array of all counters
+                cells[at] += times.astype(np.uint32)
                 size = batch.num_rows
                 yield pa.record_batch({"doc_id": batch.column("doc_id"), "sig": signatures(value, cut).view(np.int64),
                                        "n": np.diff(cut), "chunk": pa.nulls(size, pa.int32()), "counts": pa.nulls(size, pa.binary())})
         if none is not None:
             pack = zstandard.ZstdCompressor(level=3).compress
-            blobs = [pack(cells[at:at + CHUNK].astype(np.uint32).tobytes()) for at in range(0, CELLS, CHUNK)]
-            size = len(blobs)
-            yield pa.record_batch({"doc_id": pa.nulls(size, none), "sig": pa.nulls(size, pa.int64()), "n": pa.nulls(size, pa.int64()),
-                                   "chunk": pa.array(range(size), pa.int32()), "counts": blobs})
+            for first in range(0, CELLS // CHUNK, CHUNKS_SENT):
+                chunks = range(first, min(first + CHUNKS_SENT, CELLS // CHUNK))
+                blobs = [pack(cells[k * CHUNK:(k + 1) * CHUNK].tobytes()) for k in chunks]
+                size = len(blobs)
+                yield pa.record_batch({"doc_id": pa.nulls(size, none), "sig": pa.nulls(size, pa.int64()), "n": pa.nulls(size, pa.int64()),
+                                       "chunk": pa.array(chunks, pa.int32()), "counts": blobs})
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(CHUNK, np.int64)

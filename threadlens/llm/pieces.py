@@ -38,7 +38,7 @@ SEEK = 256
 BLOCK = 64
 NEVER = -(1 << 60)
 # Parts kept with their ids, and the longest that are segmented together.
-_CACHE = 400_000
+_CACHE = 200_000
 _TOGETHER = 32
 
 
@@ -328,6 +328,7 @@ def encode_texts(docs: DataFrame, model_path: str = MODEL_PATH, id_column: str =
                 texts = part.column("text").to_pylist()
                 encoded = model.encode_many([escaped(text) for text in texts])
                 yield result(part.column("id").to_pylist(), [0] * len(texts), encoded, texts, [True] * len(texts), part.column("id").type)
+        model.cache.clear()      # the worker lives on in tasks that have no use for it
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = lattice(model_path)
@@ -347,6 +348,7 @@ def encode_texts(docs: DataFrame, model_path: str = MODEL_PATH, id_column: str =
             made = [model.transfer(*row) for row in zip(*(batch.column(n).to_pylist() for n in ("text", "lead", "free_in", "free_out")))]
             yield pa.record_batch({"row": batch.column("row"), "chunk": batch.column("chunk"), "block": pa.compute.divide(batch.column("chunk"), BLOCK),
                                    "width": pa.array([m.shape[1] for m in made], pa.int32()), "matrix": pa.array([m.tobytes() for m in made], pa.binary())})
+        model.cache.clear()
 
     def unpack(rows: pd.DataFrame) -> list[np.ndarray]:
         return [np.frombuffer(m, np.int64).reshape(-1, w) for m, w in zip(rows["matrix"], rows["width"])]
@@ -376,6 +378,7 @@ def encode_texts(docs: DataFrame, model_path: str = MODEL_PATH, id_column: str =
             parts = [model.encode_chunk(t, lead, i, o) for t, lead, i, o in zip(*columns[2:])]
             own = [t[lead - i:len(t) - o].replace(SPACE, " ")[1 if not k else 0:] for k, t, lead, i, o in zip(chunk, *columns[2:])]
             yield result(ids, chunk, parts, own, [k == 0 for k in chunk], batch.column("id").type)
+        model.cache.clear()
 
     is_giant = F.char_length("text") > giant_chars
     whole = in_batches(rows.filter(~is_giant), small, schema)
