@@ -307,6 +307,53 @@ def test_an_exact_passage_is_not_lost_among_loose_words():
     assert got == [(100, 150, 100, 150, 50)]
 
 
+def test_what_one_text_repeats_by_itself_does_not_move(spark, monkeypatch):
+    """Only seeds that another text may have leave their task, and the sketch travels packed."""
+    draw = random.Random(31)
+    prose = lambda n: [f"w{draw.randrange(10 ** 6)}" for _ in range(n)]
+    line, passage = prose(60), prose(60)
+    rows = [(1, " ".join(line + prose(5) + line)), (2, " ".join(prose(30) + passage)), (3, " ".join(passage + prose(20))), (4, " ".join(prose(3000)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    sown, keep = [], chaining.in_batches
+
+    def noted(df, body, schema):
+        out = keep(df, body, schema)
+        if schema.startswith("seed "):
+            sown.extend(r["doc"] for r in out.select("doc").collect())
+        return out
+
+    monkeypatch.setattr(chaining, "in_batches", noted)
+    found = chaining.passages(docs).collect()
+    assert [(r["doc_id"], r["other_id"], r["n_common"]) for r in found] == [(3, 2, 60)]
+    assert sown.count(1) < 30 and sown.count(2) >= 56 + 11      # a cell of the sketch may be shared by chance
+    width, chunks = chaining.sketch(docs)
+    assert sum(map(len, chunks.values())) < width // 8
+    bitmap = chaining.bitmap_of(width, chunks)
+    assert np.array_equal(chaining.unpacked(chaining.packed(bitmap), width), bitmap)
+    for odd in (np.zeros(64, np.uint8), np.arange(64, dtype=np.uint8)):
+        assert np.array_equal(chaining.unpacked(chaining.packed(odd), 64), odd)
+
+
+def test_stretches_of_many_places_are_those_of_each(monkeypatch):
+    monkeypatch.setattr(chaining, "MOST_PLACES", 64)
+    draw = np.random.default_rng(7)
+    a = draw.integers(3, size=900, dtype=np.uint32)
+    b = np.where(draw.random(900) < 0.1, 9, a).astype(np.uint32)
+    x = draw.integers(0, 896, size=300)
+    y = np.where(draw.random(300) < 0.7, x, draw.integers(0, 896, size=300))
+    before, same = chaining.stretches(a, x - 1, b, y - 1, np.minimum(x, y), -1)
+    after, also = chaining.stretches(a, x + 5, b, y + 5, np.minimum(900 - x, 900 - y) - 5, 1)
+    for i in range(300):
+        one, two = chaining._stretch(a[:x[i]][::-1], b[:y[i]][::-1]), chaining._stretch(a[x[i] + 5:], b[y[i] + 5:])
+        assert before[i] == -1 or (before[i], same[i]) == one
+        assert after[i] == -1 or (after[i], also[i]) == two
+    assert (before >= 0).sum() > 100 and (before < 0).any()
+    fits, left, right, total = chaining.alone(before, same, after, also, 50, 0.8)
+    for i in np.flatnonzero((before >= 0) & (after >= 0)):
+        want = [(x[i] - left[i], x[i] + 5 + right[i], y[i] - left[i], y[i] + 5 + right[i], total[i])] if fits[i] else []
+        assert chaining.align(a, b, [int(x[i])], [int(y[i])]) == want
+
+
 def test_passages_with_evenly_replaced_words(spark):
     draw = random.Random(4)
     prose = lambda n: [f"w{draw.randrange(10 ** 6)}" for _ in range(n)]
