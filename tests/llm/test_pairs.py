@@ -214,6 +214,22 @@ def test_stage_cuts_shared_passages_of_over_50_words(spark):
     assert got[505].split() == long[:9000] + long[9051:]
 
 
+def test_repeats_tell_shared_passages_of_over_50_words(spark):
+    """They may have fewer than 400 bytes and are not removed then."""
+    draw = random.Random(16)
+    prose = lambda n: [f"w{draw.randrange(10 ** 3)}" for _ in range(n)]
+    passage, fifty, own = prose(52), prose(50), prose(55)
+    texts = {1: prose(10) + ["a"] + passage, 2: passage + ["é", "b"] + prose(9) + fifty, 3: ["c"] + fifty + prose(3), 4: own + ["x"] + own, 6: [], 7: ["few"], 8: prose(51)}
+    rows = [(k, " ".join(w)) for k, w in texts.items()] + [(5, None), (9, " ".join(texts[8]))]
+    got = {r["doc_id"]: r for r in repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    size = len(" ".join(passage))
+    assert size < repeats.LENGTH and len(got) == len(rows) and all(r["n_removed"] == 0 for r in got.values())
+    assert {k: r["n_shared"] for k, r in got.items()} == {1: size, 2: size, 3: 0, 4: 0, 5: 0, 6: 0, 7: 0, 8: got[8]["n_bytes"], 9: got[8]["n_bytes"]}
+    for k in (1, 2):
+        text = dict(rows)[k].encode()
+        assert [text[a:b].decode() for a, b in zip(got[k]["shared_starts"], got[k]["shared_ends"])] == [" ".join(passage)]
+
+
 # ---- chains
 
 def test_fenwick_chain_is_the_best_chain():
