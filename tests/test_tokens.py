@@ -54,3 +54,31 @@ def test_one_result_whatever_the_lemma_table_size(spark, monkeypatch):
     monkeypatch.setattr("threadlens.operators.normalize.attach_dictionary", lambda *a: plain(*a, max_rows=1))
     joined = normalize(df, ["text"], lemmas=lemmas)
     assert not set(scale.IN_PLACE_COLUMNS) & set(joined.columns) and rows(joined) == want
+
+
+@pytest.mark.parametrize("max_rows", [1_000_000, 0])
+def test_lemmas_of_a_table_are_looked_up_for_whole_batches(spark, monkeypatch, max_rows):
+    """Several columns, repeated and missing words, stop words kept as written, and no look at a single word."""
+    entries = {f"w{i}": f"l{i}" for i in range(0, 60, 2)} | {"paris": "", "not": "never", "can": "be able"}
+    lemmas = spark.createDataFrame(list(entries.items()), "token string, lemma string")
+    texts = [(i, " ".join(f"W{(i * k) % 61}" for k in range(i % 9)) + " NOT in Paris", None if i % 4 == 0 else f"we CAN'T w{i}") for i in range(80)]
+    df = spark.createDataFrame([*texts, (None, None, None), (3, "", "")], "k int, a string, b string").repartition(3)
+    plain = scale.attach_dictionary
+    monkeypatch.setattr("threadlens.operators.normalize.attach_dictionary", lambda *a: plain(*a, max_rows=max_rows))
+    monkeypatch.setattr(scale.Found, "__call__", lambda *a: pytest.fail("one word at a time"))
+    options = dict(stopwords=["not", "in"])
+    rows = lambda d: sorted(map(repr, d.select("k", "a_normalized", "b_normalized", "a_original", "b_original").collect()))
+    got = rows(normalize(df, ["a", "b"], lemmas=lemmas, **options))
+    assert got == rows(normalize(df, ["a", "b"], lemmas=entries, **options))
+    assert rows(normalize(df.limit(0), ["a", "b"], lemmas=lemmas)) == [] and len(rows(normalize(df, ["a"], lemmas=lemmas.limit(0)).withColumns(
+        {"b_normalized": F.lit(""), "b_original": F.lit("")}))) == 82
+
+
+def test_words_before_an_apostrophe_are_split_as_before(spark):
+    """The quick way for other words takes the same tokens."""
+    from itertools import product
+    texts = [("".join(p),) for n in range(1, 6) for p in product("nt'a ’", repeat=n)]
+    df = spark.createDataFrame(texts, "t string")
+    slow = tk.SPLIT_TOKEN.split("|", 1)[1]
+    both = df.select(F.regexp_extract_all("t", F.lit(slow), F.lit(0)).alias("a"), F.regexp_extract_all("t", F.lit(tk.SPLIT_TOKEN), F.lit(0)).alias("b"))
+    assert slow.startswith(tk.WORD + "+?") and both.filter("a != b").count() == 0

@@ -19,7 +19,8 @@ PLAIN_TOKEN = rf"{WORD}+|{_SYMBOL}"
 _EDGE = rf"(?!{WORD})"
 _NEGATED = rf"(?i:n['’]t){_EDGE}"
 _CLITIC = rf"['’](?i:s|m|re|ve|ll|d){_EDGE}"
-SPLIT_TOKEN = rf"{WORD}+?(?={_NEGATED})|{_NEGATED}|{_CLITIC}|{PLAIN_TOKEN}"
+# Only a word before an apostrophe may have to be split.
+SPLIT_TOKEN = rf"{WORD}++(?!['’])|{WORD}+?(?={_NEGATED})|{_NEGATED}|{_CLITIC}|{PLAIN_TOKEN}"
 
 # A small starter dictionary of irregular forms; pass a larger one for real use.
 STARTER_LEMMAS = {
@@ -79,6 +80,18 @@ def lemmatize(tokens: Column, lookup: Callable[[Column], Column],
     return let(tokens, lambda words: F.zip_with(words, F.transform(words, F.lower), one))
 
 
+def lemmatize_found(tokens: Column, lemmas: Column, stopwords: Iterable[str] = (), keep: Iterable[str] = KEEP_WORDS) -> Column:
+    """``lemmatize`` with the lemmas of all tokens, in their order, looked up before: NULL
+    for an unknown word, empty for one kept as written."""
+    verbatim = sorted({w.lower() for w in stopwords} & set(keep))
+
+    def one(token: Column, lemma: Column) -> Column:
+        known = F.when(lemma.isNull(), F.lower(token)).when(lemma == "", token).otherwise(lemma)
+        return F.when(F.lower(token).isin(verbatim), token).otherwise(known) if verbatim else known
+
+    return F.zip_with(tokens, lemmas, one)
+
+
 def join_tokens(tokens: Column) -> Column:
     return F.array_join(tokens, " ")
 

@@ -45,26 +45,31 @@ def normalize(df: DataFrame, columns: Sequence[str], lemma: str = "dictionary",
         table = table.select(F.lower("token").alias("token"), "lemma").filter(
             F.col("lemma").isNotNull() & ~numeric)
 
+    kept_words = lambda text: tk.remove_stopwords(words_of(text), stop, keep) if stop else words_of(text)
     if entries is None:
-        words = lambda rows: [F.transform(words_of(rows[name]), F.lower) for name in columns]
-        df, lookup = attach_dictionary(df, words, table, "token", "lemma")
-    elif entries:
+        # Tokens are taken once, and lie beside the texts until their lemmas are found.
+        held = {name: f"__words_{i}" for i, name in enumerate(columns)}
+        lowered = lambda words: F.transform(words, F.lower)
+        df, lookup = attach_dictionary(df.withColumns({words: kept_words(F.col(name)) for name, words in held.items()}),
+                                       lambda rows: [lowered(rows[words]) for words in held.values()], table, "token", "lemma")
+        df = df.withColumns({f"{name}_normalized": tk.join_tokens(tk.lemmatize_found(F.col(words), lookup.all(lowered(F.col(words))), stop, keep))
+                             for name, words in held.items()}).drop(*held.values(), *IN_PLACE_COLUMNS)
+        return df.withColumns({f"{name}_original": F.col(name) for name in columns})
+    if entries:
         entries = settled_entries(entries)
         lookup = inline_lookup(entries, "string")
     else:
         lookup = lambda token: F.lit(None).cast("string")
 
-    keeps_some = entries is None or "" in entries.values()
+    keeps_some = "" in entries.values()
 
     def normalized(text: Column) -> Column:
-        words = words_of(text)
-        if stop:
-            words = tk.remove_stopwords(words, stop, keep)
+        words = kept_words(text)
         if lemma != "none":
             words = tk.lemmatize(words, lookup, stop, keep, keeps_some)
         return tk.join_tokens(words)
 
-    df = map_columns(df, {f"{name}_normalized": name for name in columns}, normalized).drop(*IN_PLACE_COLUMNS)
+    df = map_columns(df, {f"{name}_normalized": name for name in columns}, normalized)
     return df.withColumns({f"{name}_original": F.col(name) for name in columns})
 
 
