@@ -105,6 +105,20 @@ def test_one_result_whatever_the_dictionary_size(spark, monkeypatch, max_rows):
     assert all("text" not in columns for columns in moved)
 
 
+def test_a_short_lexicon_table_leaves_the_rows_where_they_are(spark, monkeypatch):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(
+        ["Not a GOOD day, but great!", "none here", None, "a kiss of death row", "KISS OF DEATH", "bad good kiss", "kiss of"])], "k int, text string")
+    table = spark.createDataFrame([*SPELLED, (None, 1.0), ("nothing", None), (" ", 5.0)], "token string, valence double")
+    rows = lambda d: sorted(map(str, d.collect()))
+    monkeypatch.setattr(scale, "MOST_INLINE", 0)
+    laid = rows(score_rules(df, {"s": "text"}, table))
+    endless = rows(score_rules(df, {"s": "text"}, table.union(spark.createDataFrame([("day", math.inf)], table.schema))))
+    monkeypatch.undo()
+    assert endless == rows(score_rules(df, {"s": "text"}, table.union(spark.createDataFrame([("day", math.inf)], table.schema))))
+    monkeypatch.setattr("threadlens.operators.rules.laid_out", lambda *a: pytest.fail("a layout was written"))
+    assert laid == rows(score_rules(df, {"s": "text"}, table))
+
+
 def plain_merge(words, entries):
     out, i = [], 0
     while i < len(words):
@@ -126,6 +140,19 @@ def test_phrases_are_merged_from_the_left_the_longest_first(spark):
         assert {w.lower() for w in r["m"] if " " in w} <= set(r["c"])
 
 
+def test_only_words_that_begin_an_entry_together_are_joined(spark):
+    entries = {"a b": 1.0, "a b c": 2.0, "b a a": 1.0}
+    _, phrases = _mapping_lexicon(entries)
+    texts = [["a", "c", "a", "b", "c"], ["b", "a", "b", "a"], ["a"], [], ["A", "A", "B"], ["b", "a", "a", "b", "c", "a"]]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, words array<string>")
+    lower = F.transform("words", F.lower)
+    got = df.select("id", lx._heads(lower, phrases.lengths, phrases.pairs).alias("few"), lx._heads(lower, phrases.lengths).alias("all"),
+                    lx.merge_phrases(F.col("words"), phrases).alias("m"),
+                    lx.merge_phrases(F.col("words"), lx.Phrases(phrases.lengths, phrases.lookup)).alias("n")).orderBy("id").collect()
+    assert [[h["pos"] for h in r["few"]] for r in got] == [[2], [0, 1], [], [], [1], [0, 2]]
+    assert all(r["m"] == r["n"] == plain_merge(texts[r["id"]], entries) and len(r["few"]) <= len(r["all"]) for r in got)
+
+
 @pytest.mark.parametrize("text, total", [("a kiss of death", -3.0), ("very kiss of death", -3.0 - 0.293), ("not kiss of death!", 3.0 * 0.74 + 0.292),
                                          ("KISS OF DEATH here", -3.0 - 0.733), ("kiss of deaths", 1.0), ("a kiss of death row", -3.0), ("kiss of kiss of death", -2.0)])
 def test_an_entry_of_several_words_counts_as_one(spark, text, total):

@@ -172,7 +172,8 @@ def _valences(words: Column, lower: Column, known: Column) -> Column:
     places = F.transform(known, lambda v, i: F.when(v.isNotNull(), i))
     hits = F.filter(places, lambda i: i.isNotNull())
     marks = F.transform(lower, lambda word: F.when(may_change(word), True))
-    return let(mixed_case(words), lambda caps: let(marks, lambda marked: F.transform(hits, lambda i: at(i, caps, marked))))
+    # Asked only where a word is in capitals, so some are; that others are not is soon seen.
+    return let(~F.forall(words, is_upper), lambda caps: let(marks, lambda marked: F.transform(hits, lambda i: at(i, caps, marked))))
 
 
 def contrast(hits: Column, words: Column, lowered: Column | None = None) -> Column:
@@ -244,21 +245,29 @@ def summarize(hits: Column, n_words: Column, emphasis: Column,
 @dataclass(frozen=True)
 class Phrases:
     """Lexicon entries of several words: ``lengths`` gives how many words the entries have that
-    a word begins (NULL for none), ``lookup`` the valence of words joined by blanks."""
+    a word begins (NULL for none), ``lookup`` the valence of words joined by blanks. ``pairs``,
+    where there is one, gives the lengths of the entries that two words begin: a common word
+    begins entries wherever it stands, two words that do seldom follow one another."""
 
     lengths: Lookup
     lookup: Lookup
+    pairs: Lookup | None = None
 
 
-def _heads(lower: Column, lengths: Lookup) -> Column:
+def _heads(lower: Column, lengths: Lookup, pairs: Lookup | None = None) -> Column:
     """``(pos, ns)`` of the words that begin entries, with the lengths there is room for. Each
     word is looked up once."""
-    places = F.transform(lower, lambda w, i: F.struct(i.alias("pos"), F.filter(lengths(w), lambda n: n <= F.size(lower) - i).alias("ns")))
+    known = F.transform(lower, lengths) if pairs is None else F.transform(
+        lower, lambda w, i: F.when(lengths(w).isNotNull(), pairs(F.concat(w, F.lit(" "), F.get(lower, i + 1)))))
+    places = F.transform(known, lambda ns, i: F.when(ns.isNotNull(), F.struct(
+        i.alias("pos"), F.filter(ns, lambda n: n <= F.size(lower) - i).alias("ns"))))
     return F.filter(places, lambda head: F.size(head["ns"]) > 0)
 
 
 def _runs_at(lower: Column, head: Column) -> Column:
-    return F.transform(head["ns"], lambda n: F.struct(n.alias("n"), F.array_join(F.slice(lower, head["pos"] + 1, n), " ").alias("run")))
+    # Word by word, as a slice of an array has Spark copy all of it.
+    run = lambda n: F.array_join(F.transform(F.sequence(head["pos"], head["pos"] + n - 1), lambda at: F.get(lower, at)), " ")
+    return F.transform(head["ns"], lambda n: F.struct(n.alias("n"), run(n).alias("run")))
 
 
 def phrase_candidates(words: Column, lengths: Lookup) -> Column:
@@ -273,10 +282,15 @@ def merge_phrases(words: Column, phrases: Phrases) -> Column:
     From left to right, and of the entries that begin at a word the longest: what it
     covers begins no other. An entry counts as one word from then on.
     """
+    return let(words, lambda ws: let(F.transform(ws, F.lower), lambda lower: _merged(ws, lower, phrases, lambda merged, _: merged)))
+
+
+def _merged(words: Column, lowered: Column, phrases: Phrases, result: Callable[[Column, Column], Column]) -> Column:
+    """``result`` of the merged words and these in lower case; ``lowered`` are the words in lower case."""
     def longest_at(lower: Column) -> Column:
         known = lambda head: F.array_max(F.transform(F.filter(
             _runs_at(lower, head), lambda r: phrases.lookup(r["run"]).isNotNull()), lambda r: r["n"]))
-        places = F.transform(_heads(lower, phrases.lengths), lambda head: F.struct(head["pos"].alias("pos"), known(head).alias("n")))
+        places = F.transform(_heads(lower, phrases.lengths, phrases.pairs), lambda head: F.struct(head["pos"].alias("pos"), known(head).alias("n")))
         return F.filter(places, lambda m: m["n"].isNotNull())
 
     def taken(found: Column) -> Column:
@@ -292,23 +306,27 @@ def merge_phrases(words: Column, phrases: Phrases) -> Column:
             F.slice(ws, run["pos"] + run["n"] + 1, after(run, k) - run["pos"] - run["n"])))
         return F.concat(F.slice(ws, F.lit(1), F.get(runs, F.lit(0))["pos"]), F.flatten(parts))
 
-    return let(words, lambda ws: let(let(F.transform(ws, F.lower), longest_at), lambda found: F.when(F.size(found) == 0, ws).otherwise(
-        let(taken(found), lambda runs: rebuilt(ws, runs)))))
+    return let(longest_at(lowered), lambda found: F.when(F.size(found) == 0, result(words, lowered)).otherwise(
+        let(let(taken(found), lambda runs: rebuilt(words, runs)), lambda merged: result(merged, F.transform(merged, F.lower)))))
 
 
 def rule_score(text: Column, lookup: Lookup, threshold: float = THRESHOLD, phrases: Phrases | None = None) -> Column:
     """Polarity struct of a text; empty and NULL texts are neutral. Entries of several words
     count as one word."""
-    words_of, value_of = rule_tokens, lookup
+    value_of = lookup
+    # Words, and words in lower case.
+    both_of = lambda words, lower: F.struct(words.alias("words"), lower.alias("lower"))
+    split = lambda t: let(rule_tokens(t), lambda words: both_of(words, F.transform(words, F.lower)))
     if phrases is not None:
-        words_of = lambda t: merge_phrases(rule_tokens(t), phrases)
         value_of = lambda w: F.when(w.contains(" "), phrases.lookup(w)).otherwise(lookup(w))
+        plain = split
+        split = lambda t: let(plain(t), lambda both: _merged(both["words"], both["lower"], phrases, both_of))
 
     def score(t: Column) -> Column:
         # Looked for once: the summary reads it several times.
-        scored = let(exclamation_emphasis(t) + question_emphasis(t), lambda emphasis: let(words_of(t), lambda words: let(
-            F.transform(words, F.lower), lambda lower: summarize(
-                contrast(word_valences(words, value_of, lower), words, lower), F.size(words), emphasis, threshold))))
+        scored = let(exclamation_emphasis(t) + question_emphasis(t), lambda emphasis: let(split(t), lambda both: let(both["words"], lambda words: let(
+            both["lower"], lambda lower: summarize(
+                contrast(word_valences(words, value_of, lower), words, lower), F.size(words), emphasis, threshold)))))
         return F.when(t == "", neutral_score()).otherwise(scored)
 
     return let(F.coalesce(text, F.lit("")), score)

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from threadlens.functions import lexicon as lx
 from threadlens.functions.cleaning import empty_if_null
 from threadlens.functions.dates import run_stamp
-from threadlens.scale import (HITS, IN_PLACE_COLUMNS, PHRASE_HITS, dictionary_of, hit, inline_lookup, laid_out,
-                              map_columns, settled_entries, settled_side, word_hits)
+from threadlens.scale import (HITS, IN_PLACE_COLUMNS, PHRASE_HITS, all_finite, dictionary_of, few_entries, hit, inline_lookup,
+                              laid_out, map_columns, settled_entries, settled_side, word_hits)
 from threadlens.schemas import TEXT_COLUMNS, check_item_type
 
 
@@ -54,27 +54,40 @@ def _mapping_lexicon(lexicon: Mapping[str, float]) -> tuple[lx.Lookup, lx.Phrase
     entries = settled_entries({" ".join(filter(None, token.split(" "))): float(value) for token, value in lexicon.items()})
     several = {token: value for token, value in entries.items() if " " in token}
     lookup = inline_lookup({token: value for token, value in entries.items() if token not in several}, "double")
+    return lookup, _inline_phrases(several)
+
+
+def _inline_phrases(several: Mapping[str, float]) -> lx.Phrases | None:
+    """Entries of several words as constants of the plan."""
     if not several:
-        return lookup, None
-    lengths: dict[str, set[int]] = {}
+        return None
+    heads: dict[str, set[int]] = {}
+    pairs: dict[str, set[int]] = {}
     for token in several:
         words = token.split(" ")
-        lengths.setdefault(words[0], set()).add(len(words))
-    return lookup, lx.Phrases(inline_lookup({word: sorted(ns) for word, ns in lengths.items()}, "array<int>"), inline_lookup(several, "double"))
+        heads.setdefault(words[0], set()).add(len(words))
+        pairs.setdefault(" ".join(words[:2]), set()).add(len(words))
+    lengths, following = (inline_lookup({key: sorted(ns) for key, ns in found.items()}, "array<int>") for found in (heads, pairs))
+    return lx.Phrases(lengths, inline_lookup(several, "double"), following)
 
 
 def _table_lexicon(df: DataFrame, columns: Sequence[str], lexicon: DataFrame) -> tuple[DataFrame, lx.Lookup, lx.Phrases | None]:
     """The rows laid out, with what the lexicon holds of their words. Runs of words are only
-    looked up where a word begins an entry of several words."""
+    looked up where a word begins an entry of several words. A table that is measured to be
+    short travels with the plan, and the rows stay as they are."""
     token = F.array_join(F.filter(F.split(F.lower("token"), " +"), lambda w: w != ""), " ")
     table = lexicon.select(token.alias("token"), F.col("valence").cast("double").alias("valence")).filter("token != '' and valence is not null")
     one_word = ~F.col("token").contains(" ")
-    several, _ = settled_side(dictionary_of(table.filter(~one_word), "token", "valence"))
+    several, few = settled_side(dictionary_of(table.filter(~one_word), "token", "valence"))
     # Words that are entries, and words that begin entries of several words.
-    heads, _ = settled_side(
+    heads, fewer = settled_side(
         table.groupBy(F.substring_index("token", " ", 1).alias("__k")).agg(F.struct(
             F.max(F.when(one_word, F.col("valence"))).alias("valence"),
             F.sort_array(F.collect_set(F.when(~one_word, F.size(F.split("token", " "))))).alias("lengths")).alias("__v")))
+    if few and fewer:
+        inline = _inlined(heads, several)
+        if inline:
+            return df, *inline
     words_of = lambda rows: [lx.rule_tokens(empty_if_null(rows[name])) for name in columns]
     rows = laid_out(df)
     rows = word_hits(rows, F.flatten(F.array(*[F.transform(words, F.lower) for words in words_of(rows)])), heads, HITS)
@@ -86,6 +99,17 @@ def _table_lexicon(df: DataFrame, columns: Sequence[str], lexicon: DataFrame) ->
     return rows, lookup, lx.Phrases(lengths, lambda run: hit(PHRASE_HITS, run))
 
 
+def _inlined(heads: DataFrame, several: DataFrame) -> tuple[lx.Lookup, lx.Phrases | None] | None:
+    """Lookups of a short lexicon table held in the plan as constants, or None."""
+    first, runs = few_entries(heads), few_entries(several)
+    if first is None or runs is None:
+        return None
+    valences = {word: entry["valence"] for word, entry in first.items() if entry["valence"] is not None}
+    if not all_finite([*valences.values(), *runs.values()]):
+        return None
+    return inline_lookup(valences, "double"), _inline_phrases(runs)
+
+
 def score_rules_batch(df: DataFrame, item_type: str = "submission", use_normalized: bool = True,
                       *, lexicon: Mapping[str, float] | DataFrame,
                       threshold: float = lx.THRESHOLD, run_ts=None, prefix: str = "") -> DataFrame:
